@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slotwise.config import EngineConfig, ModelConfig
 
@@ -138,3 +139,40 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def config(mode: str = "inference", **kw) -> EngineConfig:
     kw.setdefault("model", ModelConfig())
     return EngineConfig(as_of=AS_OF, programs=PROGRAMS, mode=mode, plan_sla_scale=100.0, **kw)
+
+
+# A fixed linear model in target space: (feature, weight, center). It covers every
+# pillar with both signs, and has more than 15 inputs so that a waterfall has a rest.
+LINEAR_BASE = 0.4
+LINEAR_MODEL = [
+    ("vol_plan", 0.0121733, 3.0),
+    ("hc_plan", -0.0151733, 2.0),
+    ("aht_plan_total", 0.000021733, 400.0),
+    ("hour", 0.0021733, 11.0),
+    ("absence_rate_daily", 0.31733, 0.07),
+    ("vacation", -0.00041733, 15.0),
+    ("avg_wait_lag_1", 0.00151733, 20.0),
+    ("vol_dev_pct_lag_1", 0.031733, -0.5),
+    ("strain_index", 0.111733, 0.1),
+    ("capacity_margin", -0.071733, 0.6),
+    ("log_gap_rate_daily", 0.051733, 0.1),
+    ("sl_mean_3", -0.251733, 0.4),
+    ("sl_lag_1", -0.121733, 0.4),
+    ("sl_accel", -0.061733, 0.0),
+    ("program_enc", -0.21733, 0.6),
+    ("is_peak_hour", 0.011733, 0.2),
+    ("is_weekend", -0.00051733, 0.3),
+    ("sl_plan", -0.081733, 0.5),
+]
+LINEAR_FEATURES = [f for f, _, _ in LINEAR_MODEL]
+
+
+def linear_coefs(programs: DataFrame) -> DataFrame:
+    """The fixed model for every program of the given one-column table."""
+    return programs.select(
+        "program_id",
+        F.array(*[F.lit(w) for _, w, _ in LINEAR_MODEL]).alias("weights"),
+        F.array(*[F.lit(c) for _, _, c in LINEAR_MODEL]).alias("centers"),
+        F.lit(LINEAR_BASE).alias("base_value"),
+        F.array(*[F.lit(f) for f in LINEAR_FEATURES]).alias("features"),
+    )
