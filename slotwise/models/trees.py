@@ -1,0 +1,123 @@
+"""Tree ensembles per program, fitted with Spark ML and kept as tables of nodes.
+
+A fitted ensemble is stored as rows (program_id, member, tree, weight, node
+...). Scoring and attribution read that table, so one pass over the data serves
+all programs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+from pyspark import inheritable_thread_target
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from slotwise.config import ModelConfig
+from slotwise.functions.numbers import to_target_space
+from slotwise.sources.stages import new_stage
+
+NODE_SCHEMA = (
+    "program_id int, member string, tree int, weight double, node int, left int, right int, "
+    "feature string, threshold double, value double, cover double"
+)
+VECTOR, LABEL = "_x", "_y"
+
+
+@dataclass(frozen=True)
+class FitData:
+    """Rows of one program, ready for Spark ML."""
+
+    program_id: int
+    rows: DataFrame
+    features: tuple[str, ...]
+
+    def labelled(self, target: str, transform: bool) -> DataFrame:
+        y = to_target_space(target) if transform else F.col(target).cast("double")
+        rows = VectorAssembler(inputCols=list(self.features), outputCol=VECTOR).transform(self.rows)
+        return rows.withColumn(LABEL, y)
+
+
+def boosted(cfg: ModelConfig, weight_col: str | None = None) -> GBTRegressor:
+    est = GBTRegressor(
+        featuresCol=VECTOR, labelCol=LABEL, lossType="absolute", maxIter=cfg.trees, maxDepth=cfg.depth,
+        stepSize=cfg.step, subsamplingRate=cfg.subsample, featureSubsetStrategy=cfg.feature_fraction,
+        minInstancesPerNode=cfg.min_instances, seed=cfg.seed,
+    )
+    return est.setWeightCol(weight_col) if weight_col else est
+
+
+def forest(cfg: ModelConfig) -> RandomForestRegressor:
+    """Half the trees, two levels deeper (at most 10)."""
+    return RandomForestRegressor(
+        featuresCol=VECTOR, labelCol=LABEL, numTrees=max(1, int(cfg.trees * 0.5)), maxDepth=min(cfg.depth + 2, 10),
+        minInstancesPerNode=cfg.min_instances, seed=cfg.seed,
+    )
+
+
+def classifier(cfg: ModelConfig) -> GBTClassifier:
+    return GBTClassifier(
+        featuresCol=VECTOR, labelCol=LABEL, maxIter=cfg.trees, maxDepth=cfg.depth, stepSize=cfg.step,
+        subsamplingRate=cfg.subsample, minInstancesPerNode=cfg.min_instances, seed=cfg.seed,
+    )
+
+
+def node_table(spark: SparkSession, model, program_id: int, features: Sequence[str], member: str = "boosted") -> DataFrame:
+    """A saved ensemble as node rows. Saving goes to the shared stage folder."""
+    path = new_stage(spark, f"model-{program_id}-{member}")
+    model.write().save(path)
+    scale = 1.0 / len(model.treeWeights) if isinstance(model.treeWeights, list) and member == "forest" else 1.0
+    weights = F.array(*[F.lit(float(w) * scale) for w in model.treeWeights])
+    names = F.array(*[F.lit(f) for f in features])
+    n = F.col("nodeData")
+    is_split = n["leftChild"] >= 0
+    return spark.read.parquet(f"{path}/data").select(
+        F.lit(int(program_id)).alias("program_id"),
+        F.lit(member).alias("member"),
+        F.col("treeID").alias("tree"),
+        F.get(weights, F.col("treeID")).alias("weight"),
+        n["id"].alias("node"),
+        n["leftChild"].alias("left"),
+        n["rightChild"].alias("right"),
+        F.when(is_split, F.get(names, n["split"]["featureIndex"])).alias("feature"),
+        F.when(is_split, F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        n["prediction"].alias("value"),
+        n["rawCount"].cast("double").alias("cover"),
+    )
+
+
+def importance_table(spark: SparkSession, model, program_id: int, features: Sequence[str]) -> DataFrame:
+    values = model.featureImportances.toArray().tolist()
+    rows = [(int(program_id), i, f, float(v)) for i, (f, v) in enumerate(zip(features, values))]
+    return spark.createDataFrame(rows, "program_id int, position int, feature string, importance double")
+
+
+def per_key(
+    units: Mapping[int, tuple[DataFrame, Sequence[str]]], work: Callable[[FitData], object], parallelism: int = 4
+) -> dict[int, object]:
+    """Run `work` for every keyed (rows, features); driver threads only submit Spark jobs."""
+
+    def one(key: int):
+        rows, features = units[key]
+        return work(FitData(int(key), rows, tuple(features)))
+
+    if not units:
+        return {}
+    session = next(iter(units.values()))[0].sparkSession
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        futures = {k: pool.submit(inheritable_thread_target(session)(one), k) for k in sorted(units)}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def per_program(
+    rows: DataFrame, features: Mapping[int, Sequence[str]], work: Callable[[FitData], object], parallelism: int = 4
+) -> dict[int, object]:
+    """Run `work` for every program. `rows` should be a stage partitioned by
+    program, so that each program reads only its own files."""
+    units = {p: (rows.where(F.col("program_id") == int(p)), fs) for p, fs in features.items()}
+    return per_key(units, work, parallelism)

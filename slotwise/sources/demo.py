@@ -145,24 +145,24 @@ def config(mode: str = "inference", **kw) -> EngineConfig:
 # pillar with both signs, and has more than 15 inputs so that a waterfall has a rest.
 LINEAR_BASE = 0.4
 LINEAR_MODEL = [
-    ("vol_plan", 0.0121733, 3.0),
-    ("hc_plan", -0.0151733, 2.0),
-    ("aht_plan_total", 0.000021733, 400.0),
-    ("hour", 0.0021733, 11.0),
-    ("absence_rate_daily", 0.31733, 0.07),
-    ("vacation", -0.00041733, 15.0),
-    ("avg_wait_lag_1", 0.00151733, 20.0),
-    ("vol_dev_pct_lag_1", 0.031733, -0.5),
-    ("strain_index", 0.111733, 0.1),
-    ("capacity_margin", -0.071733, 0.6),
-    ("log_gap_rate_daily", 0.051733, 0.1),
-    ("sl_mean_3", -0.251733, 0.4),
-    ("sl_lag_1", -0.121733, 0.4),
-    ("sl_accel", -0.061733, 0.0),
-    ("program_enc", -0.21733, 0.6),
-    ("is_peak_hour", 0.011733, 0.2),
-    ("is_weekend", -0.00051733, 0.3),
-    ("sl_plan", -0.081733, 0.5),
+    ("vol_plan", 0.01217339171, 3.0),
+    ("hc_plan", -0.01517339171, 2.0),
+    ("aht_plan_total", 0.0000217339171, 400.0),
+    ("hour", 0.00217339171, 11.0),
+    ("absence_rate_daily", 0.317339171, 0.07),
+    ("vacation", -0.000417339171, 15.0),
+    ("avg_wait_lag_1", 0.001517339171, 20.0),
+    ("vol_dev_pct_lag_1", 0.0317339171, -0.5),
+    ("strain_index", 0.1117339171, 0.1),
+    ("capacity_margin", -0.0717339171, 0.6),
+    ("log_gap_rate_daily", 0.0517339171, 0.1),
+    ("sl_mean_3", -0.2517339171, 0.4),
+    ("sl_lag_1", -0.1217339171, 0.4),
+    ("sl_accel", -0.0617339171, 0.0),
+    ("program_enc", -0.217339171, 0.6),
+    ("is_peak_hour", 0.0117339171, 0.2),
+    ("is_weekend", -0.000517339171, 0.3),
+    ("sl_plan", -0.0817339171, 0.5),
 ]
 LINEAR_FEATURES = [f for f, _, _ in LINEAR_MODEL]
 

@@ -44,8 +44,13 @@ def read_stage(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.parquet(path)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a new stage and read it back: cuts lineage, keeps column pruning. Eager."""
+def staged(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """Write df as a new stage and read it back: cuts lineage, keeps column pruning. Eager.
+
+    With `partition`, rows are rebalanced on that column first: small values
+    share a file, a hot value is split over several.
+    """
     spark = df.sparkSession
-    path = stage_sink(df, new_stage(spark, name))
-    return read_stage(spark, path, df.schema)
+    rows = df.hint("rebalance", partition) if partition else df
+    path = stage_sink(rows, new_stage(spark, name), partition)
+    return read_stage(spark, path, df.schema).select(*df.columns)

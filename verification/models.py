@@ -1 +1,180 @@
+"""Model operators. Tree fits have no SQL twin; linear ones do."""
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from slotwise import catalog
+from slotwise.config import ModelConfig
+from slotwise.models import training as tr
+from slotwise.models.linear import linear_per_program, score_linear
+from slotwise.models.shap import score_trees
+from slotwise.operators import cleaning, features, metrics
+from slotwise.sources import demo
+from slotwise.sources.stages import new_stage, staged
+from verification import inputs as i
+from verification.registry import check
+from verification.sqltext import METRIC_SPEC, metric_select
+
+K = i.KEYS
+# Small ensembles: the data is whole, only the number of trees is low.
+CFG = demo.config("training", model=ModelConfig(trees=3, depth=3, step=0.1, folds=2, search_folds=2))
+JOBS = 8
+
+
+def train_rows(s, d):
+    """Training features, staged by program."""
+    return staged(i.feats(s, d, "training"), "features", "program_id")
+
+
+def _features(s, d):
+    """Inputs of every program that has actuals."""
+    programs = cleaning.active_programs(i.live_mart(s, d, "training")).where("is_active")
+    return tr.features_of(programs, CFG)
+
+
+def _halves(s, d):
+    rows = train_rows(s, d)
+    cut = F.col("ref_date") < "2024-01-25"
+    return rows.where(cut), rows.where(~cut)
+
+
+@check("train_per_program")
+def _(s, d):
+    """Boosted regressors of all programs, as saved and reloaded node tables."""
+    rows = train_rows(s, d)
+    model = tr.train_per_program(rows, _features(s, d), CFG, None, JOBS)
+    return tr.load_models(s, tr.save_models(model, new_stage(s, "models"))).nodes
+
+
+@check("feature_importance")
+def _(s, d):
+    rows = train_rows(s, d)
+    return tr.train_per_program(rows, _features(s, d), CFG, None, JOBS).importances
+
+
+@check("importance_report")
+def _(s, d):
+    rows = train_rows(s, d)
+    return metrics.importance_report(tr.train_per_program(rows, _features(s, d), CFG, None, JOBS).importances)
+
+
+@check("linear_per_program", "program_id n_rows:bigint slope center base_value:double", ["clean_train"], """
+SELECT program_id, count(*) AS n_rows, regr_slope(sl_actual, sl_plan) AS slope, avg(sl_plan) AS center, avg(sl_actual) AS base_value
+FROM clean_train GROUP BY 1""")
+def _(s, d):
+    coefs = linear_per_program(i.light(s, d, "training"), ["sl_plan"], "sl_actual")
+    return coefs.select("program_id", "n_rows", F.get("weights", F.lit(0)).alias("slope"),
+                        F.get("centers", F.lit(0)).alias("center"), "base_value")
+
+
+@check("linear_all_features")
+def _(s, d):
+    """Ridge over all 37 inputs: one aggregation for all programs."""
+    return linear_per_program(train_rows(s, d), catalog.FEATURES, "sl_actual", 20.0)
+
+
+@check("time_series_cv")
+def _(s, d):
+    return tr.time_series_cv(train_rows(s, d), _features(s, d), CFG, 2, JOBS)
+
+
+@check("param_search")
+def _(s, d):
+    small = replace(CFG, model=replace(CFG.model, search_folds=2))
+    return tr.param_search(train_rows(s, d), _features(s, d), small, 2, (2, 3), JOBS)
+
+
+@check("ensemble")
+def _(s, d):
+    train, test = _halves(s, d)
+    return tr.ensemble(train, test, _features(s, d), CFG, JOBS).select(*catalog.KEYS, "boosted", "forest", "ridge", "sl_pred")
+
+
+@check("weighted_sum", f"{K} sl_pred:double", ["clean_infer"],
+       "SELECT *, sl_plan * 0.517 / 0.848 + least(sl_actual, 0.5) * 0.331 / 0.848 AS sl_pred FROM clean_infer")
+def _(s, d):
+    rows = i.light(s, d).withColumn("cap", F.least("sl_actual", F.lit(0.5)))
+    return tr.weighted_sum(rows, ["sl_plan", "cap"], (0.517, 0.331, 0.2))
+
+
+@check("two_stage")
+def _(s, d):
+    train, test = _halves(s, d)
+    return tr.two_stage(train, test, _features(s, d), CFG, "predicted", 10, JOBS).select(*catalog.KEYS, "prob_below", "sl_pred")
+
+
+@check("score_per_program", f"{K} raw_value sl_pred:double", ["scored_infer"], "SELECT * FROM scored_infer")
+def _(s, d):
+    """Linear scoring; programs without a model drop out."""
+    return i.scored(s, d)
+
+
+@check("score_trees")
+def _(s, d):
+    rows = train_rows(s, d)
+    model = tr.train_per_program(rows, _features(s, d), CFG, None, JOBS)
+    return score_trees(rows, model.nodes, model.features, attribute=False).select(*catalog.KEYS, "raw_value", "sl_pred")
+
+
+@check("attributions", f"{K} position:bigint feature pillar:string impact:double", ["long_infer"], "SELECT * FROM long_infer")
+def _(s, d):
+    return i.scored(s, d).select(*catalog.KEYS, F.inline("contribs"))
+
+
+@check("attributions_trees")
+def _(s, d):
+    """Exact Shapley values of the boosted models: base + impacts = raw value."""
+    rows = train_rows(s, d)
+    model = tr.train_per_program(rows, _features(s, d), CFG, None, JOBS)
+    out = score_trees(rows, model.nodes, model.features)
+    return out.select(*catalog.KEYS, "base_value", "raw_value", F.inline("contribs"))
+
+
+@check("evaluate_holdout")
+def _(s, d):
+    train, test = _halves(s, d)
+    model = tr.train_per_program(train, _features(s, d), CFG, None, JOBS)
+    return tr.evaluate_holdout(train, test, model, CFG)
+
+
+@check("evaluate_holdout_linear", f"program_id:bigint {METRIC_SPEC}", ["scored_train"],
+       f"SELECT program_id, {metric_select()} FROM scored_train WHERE ref_date >= DATE '2024-01-25' GROUP BY 1")
+def _(s, d):
+    return metrics.metrics_by_program(i.scored(s, d, "training").where("ref_date >= DATE '2024-01-25'"))
+
+
+@check("backtest")
+def _(s, d):
+    train, test = _halves(s, d)
+    model = tr.train_per_program(train, _features(s, d), CFG, None, JOBS)
+    rows = tr.backtest(test, model, CFG)
+    return metrics.metrics_by_program(rows)
+
+
+LINEAR_WHAT_IF = {"vol_plan": 0.0, "aht_plan_total": 0.0, "strain_index": 0.0}
+
+
+def _what_if_terms() -> str:
+    terms = []
+    for f, w, c in demo.LINEAR_MODEL:
+        value = "0.0" if f in LINEAR_WHAT_IF else "CASE WHEN hc_plan > 0 THEN 1.0 ELSE 0.0 END" if f == "capacity_margin" else f
+        terms.append(f"({w!r} * (({value}) - {c!r}))")
+    return " + ".join(terms)
+
+
+@check("what_if_volume", "program_id n_rows:bigint mean_change max_change:double", ["scored_infer"], f"""
+SELECT program_id, count(*) AS n_rows, avg(changed - raw_value) AS mean_change, max(abs(changed - raw_value)) AS max_change
+FROM (SELECT *, {demo.LINEAR_BASE!r} + {_what_if_terms()} AS changed FROM scored_infer) AS t GROUP BY 1""")
+def _(s, d):
+    """Zero planned volume everywhere: change of the raw prediction per program."""
+    history = i.history_stage(s, d)
+    base = i.feats(s, d, "inference", history)
+    coefs, cols = i.coefs(history), demo.LINEAR_FEATURES
+    a = score_linear(base, coefs, cols).select(*catalog.KEYS, "raw_value")
+    b = score_linear(features.override_volume(base, 0), coefs, cols).select(*catalog.KEYS, F.col("raw_value").alias("changed"))
+    diff = F.col("changed") - F.col("raw_value")
+    return a.join(b, catalog.KEYS).groupBy("program_id").agg(
+        F.count("*").alias("n_rows"), F.avg(diff).alias("mean_change"), F.max(F.abs(diff)).alias("max_change"))
+
 
