@@ -9,6 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotwise import catalog
 from slotwise.config import EngineConfig, ModelConfig
 from slotwise.functions.numbers import clip, from_target_space, total
 from slotwise.models import trees
@@ -66,8 +67,16 @@ def train_per_program(
     )
 
 
+CARRIED = [*catalog.KEYS, "slot_ts", "sl_actual", "sl_plan", "sl_residual", "vol_plan", "vol_actual", "part", "role", "fold", "_program"]
+
+
 def predict(rows: DataFrame, model: Trained, cfg: EngineConfig) -> DataFrame:
-    """sl_pred in target units, clipped to [0, 1] for the direct target."""
+    """sl_pred in target units, clipped to [0, 1] for the direct target.
+
+    Only model inputs and the columns that evaluation reads go to Python.
+    """
+    wanted = {*CARRIED, cfg.target, *(f for fs in model.features.values() for f in fs)}
+    rows = rows.select(*[c for c in rows.columns if c in wanted])
     out = explain_trees(rows, model.nodes, model.features, attribute=False)
     level = from_target_space("raw_value") if _transform(cfg) else F.col("raw_value")
     if cfg.target != "sl_residual":

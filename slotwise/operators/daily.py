@@ -76,17 +76,34 @@ def daily_merge(slots: DataFrame, daily: DataFrame) -> DataFrame:
     return slots.join(daily, ["program_id", "ref_date"], "left")
 
 
-def validity_range_join(system_time: DataFrame, versions: DataFrame, position: int = 140468) -> DataFrame:
+def validity_range_join(
+    system_time: DataFrame, versions: DataFrame, position: int = 140468, bucket_days: int = 28
+) -> DataFrame:
     """Rows per program-day whose agent held a position on that day.
 
-    Work rows are first reduced to agent-days, so the range condition is only
-    tested between an agent's days and that agent's versions.
+    Work rows are first reduced to agent-days. A version is then repeated for
+    every time bucket its validity touches inside the span of the work days, so
+    the join is an equality on (agent, bucket) and the range is only tested
+    within one bucket, however many versions an agent has.
     """
     days = system_time.groupBy("work_date", "program_id", "agent_id").agg(F.count("*").alias("n_rows"))
-    v = versions.where("excluded = 0").withColumnRenamed("agent_id", "v_agent")
-    joined = days.join(
+
+    def bucket(c):
+        return F.floor(F.unix_date(c) / bucket_days).cast("int")
+
+    first, last = system_time.agg(F.min("work_date")).scalar(), system_time.agg(F.max("work_date")).scalar()
+    v = (
+        versions.where("excluded = 0 AND valid_from < valid_to")
+        .withColumns({"_lo": F.greatest(F.col("valid_from"), first), "_hi": F.least(F.date_sub("valid_to", 1), last)})
+        .where(F.col("_lo") <= F.col("_hi"))
+        .withColumn("_bucket", F.explode(F.sequence(bucket(F.col("_lo")), bucket(F.col("_hi")))))
+        .select("agent_id", "_bucket", "valid_from", "valid_to", "position_code")
+    )
+    d, v = days.withColumn("_bucket", bucket(F.col("work_date"))).alias("d"), v.alias("v")
+    joined = d.join(
         v,
-        (F.col("agent_id") == F.col("v_agent"))
+        (F.col("d.agent_id") == F.col("v.agent_id"))
+        & (F.col("d._bucket") == F.col("v._bucket"))
         & (F.col("work_date") >= F.col("valid_from"))
         & (F.col("work_date") < F.col("valid_to")),
         "left",

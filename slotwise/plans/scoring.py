@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,12 @@ def explained(scored: DataFrame) -> DataFrame:
     return scored.transform(drivers.pillar_rollup).transform(drivers.top_drivers)
 
 
+def scoring_columns(df: DataFrame, features: Sequence[str] = tuple(catalog.FEATURES)) -> DataFrame:
+    """Only what scoring reads and the published tables carry."""
+    wanted = {*FACT_COLUMNS, *RESULT_COLUMNS, *features, "slot_ts", "sl_plan", "sl_actual", "vol_actual"}
+    return df.select(*[c for c in df.columns if c in wanted])
+
+
 def future_features(history: DataFrame, cfg: EngineConfig, stored_encoding: DataFrame) -> DataFrame:
     """Feature rows from today on; earlier rows only feed the lags."""
     cfg = cfg.with_mode("inference")
@@ -39,7 +45,7 @@ def inference_run(history: DataFrame, cfg: EngineConfig, stored_encoding: DataFr
     """Forecast rows in published shape, before the type cast; see sources.forecast.publish."""
     future = future_features(history, cfg, stored_encoding)
     future = encoding.encoding_override(future, stored_encoding)
-    return explained(scorer(future))
+    return explained(scorer(scoring_columns(future, cfg.features)))
 
 
 def forecast_rows(run: DataFrame, updated_at: dt.datetime | None = None) -> DataFrame:
@@ -59,7 +65,8 @@ def benchmark_rows(
     inference = cfg.with_mode("inference")
     feats = feature_table(cleaning.clean(past, inference), inference, stored_encoding)
     rows = windows.evaluation_window(feats, cfg.as_of, days)
-    return explained(scorer(encoding.encoding_override(rows, stored_encoding)))
+    rows = encoding.encoding_override(rows, stored_encoding)
+    return explained(scorer(scoring_columns(rows, cfg.features)))
 
 
 def benchmark_run(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotwise.operators import reports
-from slotwise.sources import forecast, stages, stores
+from slotwise.sources import database, forecast, stages, stores
 
 KEYS = "ref_date date, slot int, program_id int, channel_id int, sl_pred double"
 D1, D2, D3 = (dt.date(2024, 1, d) for d in (1, 2, 3))
@@ -114,3 +114,18 @@ def test_registry_helpers():
     grown = reports.with_exclusions({1: ["a"]}, 2, ["b"])
     assert grown == {1: ["a"], 2: ["b"]}
     assert reports.configured_programs(grown, {"x": None, "y": [7, 1]}) == [1, 2, 7]
+
+
+def test_named_queries(spark, tmp_path):
+    f = tmp_path / "queries.ini"
+    f.write_text("[mart]\nquery =\n    SELECT * FROM {mart}\n    WHERE program_id = :program\n      AND slot < 100 -- 50% of it\n")
+    text = database.load_queries(str(f))["mart"]
+    mart = rows(spark, [(D1, 0, 1, 7, 0.1), (D1, 600, 1, 7, 0.1), (D1, 0, 2, 7, 0.1)])
+    assert database.run_query(spark, text, {"program": 1}, mart=mart).count() == 1
+    with pytest.raises(FileNotFoundError):
+        database.load_queries(str(tmp_path / "absent.ini"))
+
+
+def test_day_predicates_cover_the_window_once():
+    p = database.day_predicates("d", dt.date(2024, 1, 30), dt.date(2024, 2, 3), 2)
+    assert p == ["d >= '2024-01-30' AND d < '2024-02-01'", "d >= '2024-02-01' AND d < '2024-02-03'", "d >= '2024-02-03' AND d < '2024-02-04'"]

@@ -92,10 +92,10 @@ def _(s, d):
 
 
 @check("weighted_sum", f"{K} sl_pred:double", ["clean_infer"],
-       "SELECT *, sl_plan * 0.517 / 0.848 + least(sl_actual, 0.5) * 0.331 / 0.848 AS sl_pred FROM clean_infer")
+       "SELECT *, sl_plan * (0.5173917 / 0.8486276) + least(sl_actual, 0.37) * (0.3312359 / 0.8486276) AS sl_pred FROM clean_infer")
 def _(s, d):
-    rows = i.light(s, d).withColumn("cap", F.least("sl_actual", F.lit(0.5)))
-    return tr.weighted_sum(rows, ["sl_plan", "cap"], (0.517, 0.331, 0.2))
+    rows = i.light(s, d).withColumn("cap", F.least("sl_actual", F.lit(0.37)))
+    return tr.weighted_sum(rows, ["sl_plan", "cap"], (0.5173917, 0.3312359, 0.2))
 
 
 @check("two_stage")

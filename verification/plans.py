@@ -10,7 +10,7 @@ from slotwise.sources import demo, forecast
 from slotwise.sources.stages import new_stage, staged
 from verification import inputs as i
 from verification.models import CFG, JOBS
-from verification.registry import check
+from verification.registry import check, columns
 from verification.sqltext import D, METRIC_SPEC, div, metric_select
 
 K = i.KEYS
@@ -95,15 +95,16 @@ def _(s, d):
     return scoring.benchmark_run(history, demo.config(), _stored(history), _linear(history))[1]
 
 
-def _trained(s, d):
+def _trained(s, d, cross_validate=False):
     history = i.history_stage(s, d)
-    return history, training_run(history, demo.plan(s, d).select("program_id").distinct(), CFG, None, False, JOBS)
+    programs = demo.plan(s, d).select("program_id").distinct()
+    return history, training_run(history, programs, CFG, None, cross_validate, JOBS)
 
 
 @check("training_run")
 def _(s, d):
     """Metric rows of a full training run with boosted trees."""
-    return _trained(s, d)[1].metrics
+    return _trained(s, d, True)[1].metrics
 
 
 @check("inference_run")
@@ -132,19 +133,32 @@ FRONT_DBL = ("abandon_rate_now hc_equiv hc_delta absence_rate_now aht_now aht_pl
              "impact_people impact_volume impact_handle_time impact_context:double")
 
 
-@check("bi_frontend", f"{K} {FRONT_INTS} {FRONT_DBL} {DRIVERS}", ["mart", "explained_infer"], f"""
+FRONT_SQL = f"""
 SELECT m.*, m.vol_actual - m.vol_plan AS vol_delta, {div('m.vol_abandoned', 'm.vol_actual')} AS abandon_rate_now,
  m.hc_equiv - m.hc_plan AS hc_delta, {div('m.absence_sec', 'm.scheduled_sec')} AS absence_rate_now, {div('m.aht_actual_total', 'm.vol_actual')} AS aht_now,
  {div('m.aht_plan_total', 'm.vol_plan')} AS aht_plan, {div('m.wait_total', 'm.vol_answered')} AS wait_now, {div('m.vol_in_sla', 'm.vol_actual')} AS sl_now,
  e.sl_pred, e.sl_lag_1, e.impact_people, e.impact_volume, e.impact_handle_time, e.impact_context,
  {', '.join('e.' + c.split(':')[0] for c in DRIVERS.split())}
 FROM mart m LEFT JOIN (SELECT * FROM explained_infer WHERE ref_date >= {D}) AS e USING (ref_date, slot, program_id, channel_id)
-WHERE m.ref_date >= {D} AND m.channel_id = 7 AND m.program_id BETWEEN 900000 AND 900005""")
-def _(s, d):
-    history = i.history_stage(s, d)
-    run = scoring.inference_run(history, demo.config(), _stored(history), _linear(history))
-    published = run.select(*[c for c in forecast.FACT_COLUMNS if c != "updated_at"])
-    return reports.bi_frontend(i.mart(s, d), published, i.AS_OF, demo.PROGRAMS, 7)
+WHERE m.ref_date >= {D} AND m.channel_id = 7 AND m.program_id BETWEEN 900000 AND 900005"""
+FRONT_TYPES = columns(f"{K} {FRONT_INTS} {FRONT_DBL} {DRIVERS}")
+
+
+def _frontend(name, variant):
+    """The BI screen in its full form and its two smaller ones."""
+    spec = " ".join(f"{c}:{FRONT_TYPES[c]}" for c in reports.FRONTEND_VARIANTS[variant])
+
+    @check(name, spec, ["mart", "explained_infer"], FRONT_SQL)
+    def _(s, d):
+        history = i.history_stage(s, d)
+        run = scoring.inference_run(history, demo.config(), _stored(history), _linear(history))
+        published = run.select(*[c for c in forecast.FACT_COLUMNS if c != "updated_at"])
+        return reports.bi_frontend(i.mart(s, d), published, i.AS_OF, demo.PROGRAMS, 7, variant)
+
+
+_frontend("bi_frontend", "full")
+_frontend("bi_frontend_without_plan", "without_plan_sl")
+_frontend("bi_frontend_reduced", "reduced")
 
 
 @check("plan_vs_model", "ref_date:date slot program_id:bigint sl_plan sl_pred sl_actual abs_err_plan abs_err_model impact_people "
