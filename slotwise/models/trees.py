@@ -26,6 +26,11 @@ NODE_SCHEMA = (
     "program_id int, member string, tree int, weight double, node int, left int, right int, "
     "feature string, threshold double, value double, cover double"
 )
+# Saved node rows, reduced to what scoring needs; declared so that reading needs no extra job.
+SAVED_NODES = (
+    "treeID int, nodeData struct<id:int,prediction:double,rawCount:bigint,leftChild:int,rightChild:int,"
+    "split:struct<featureIndex:int,leftCategoriesOrThreshold:array<double>>>"
+)
 VECTOR, LABEL = "_x", "_y"
 
 
@@ -71,12 +76,13 @@ def node_table(spark: SparkSession, model, program_id: int, features: Sequence[s
     """A saved ensemble as node rows. Saving goes to the shared stage folder."""
     path = new_stage(spark, f"model-{program_id}-{member}")
     model.write().save(path)
-    scale = 1.0 / len(model.treeWeights) if isinstance(model.treeWeights, list) and member == "forest" else 1.0
-    weights = F.array(*[F.lit(float(w) * scale) for w in model.treeWeights])
+    weights = list(model.treeWeights)
+    scale = 1.0 / len(weights) if member == "forest" else 1.0  # a forest averages its trees
+    weights = F.array(*[F.lit(float(w) * scale) for w in weights])
     names = F.array(*[F.lit(f) for f in features])
     n = F.col("nodeData")
     is_split = n["leftChild"] >= 0
-    return spark.read.parquet(f"{path}/data").select(
+    return spark.read.schema(SAVED_NODES).parquet(f"{path}/data").select(
         F.lit(int(program_id)).alias("program_id"),
         F.lit(member).alias("member"),
         F.col("treeID").alias("tree"),

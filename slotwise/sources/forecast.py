@@ -83,7 +83,7 @@ def publish(spark: SparkSession, path: str, batch: DataFrame, scope: str = "date
     staged_path = stage_sink(merged.select(*batch.columns), new_stage(spark, "merged"), None)
     rows = read_stage(spark, staged_path, batch.schema)
     (
-        rows.repartition("ref_date", "program_id")
+        rows.hint("rebalance", "ref_date")
         .sortWithinPartitions("ref_date", "program_id", "channel_id", "slot")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
