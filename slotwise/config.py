@@ -19,7 +19,10 @@ class ModelConfig:
     l2: float = 20.0
     seed: int = 42
     target_transform: bool = True
+    use_cv: bool = True
     folds: int = 5
+    validation_share: float = 0.2
+    min_drift_rows: int = 11
     search_trials: int = 20
     search_folds: int = 3
     window_days: int = 90

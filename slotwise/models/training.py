@@ -41,13 +41,16 @@ def _transform(cfg: EngineConfig) -> bool:
 
 def train_per_program(
     rows: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, weight_col: str | None = None,
-    parallelism: int = 4,
+    parallelism: int = 4, tuned: Mapping[int, ModelConfig] | None = None,
 ) -> Trained:
-    """One boosted regressor per program over all its rows. Eager: runs the fits."""
+    """One boosted regressor per program over all its rows. Eager: runs the fits.
+
+    `tuned` overrides the model parameters of single programs.
+    """
     spark = rows.sparkSession
 
     def fit(data: trees.FitData):
-        model = trees.boosted(cfg.model, weight_col).fit(data.labelled(cfg.target, _transform(cfg)))
+        model = trees.boosted((tuned or {}).get(data.program_id, cfg.model), weight_col).fit(data.labelled(cfg.target, _transform(cfg)))
         return (
             trees.node_table(spark, model, data.program_id, data.features),
             trees.importance_table(spark, model, data.program_id, data.features),
@@ -70,7 +73,7 @@ def train_per_program(
 CARRIED = [*catalog.KEYS, "slot_ts", "sl_actual", "sl_plan", "sl_residual", "vol_plan", "vol_actual", "part", "role", "fold", "_program"]
 
 
-def predict(rows: DataFrame, model: Trained, cfg: EngineConfig) -> DataFrame:
+def predict(rows: DataFrame, model: Trained, cfg: EngineConfig, clipped: bool = True) -> DataFrame:
     """sl_pred in target units, clipped to [0, 1] for the direct target.
 
     Only model inputs and the columns that evaluation reads go to Python.
@@ -79,16 +82,16 @@ def predict(rows: DataFrame, model: Trained, cfg: EngineConfig) -> DataFrame:
     rows = rows.select(*[c for c in rows.columns if c in wanted])
     out = explain_trees(rows, model.nodes, model.features, attribute=False)
     level = from_target_space("raw_value") if _transform(cfg) else F.col("raw_value")
-    if cfg.target != "sl_residual":
+    if clipped and cfg.target != "sl_residual":
         level = clip(level)
     return out.withColumn("sl_pred", level).drop("features", "impacts", "base_value", "raw_value")
 
 
 def time_series_cv(
     rows: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, folds: int | None = None,
-    parallelism: int = 4,
+    parallelism: int = 4, tuned: Mapping[int, ModelConfig] | None = None,
 ) -> DataFrame:
-    """R2 and MAE of every expanding-window fold, on the original scale. Eager.
+    """R2 and MAE of every expanding-window fold, on the original scale and not clipped. Eager.
 
     Every (program, fold) is one fit; all of them share one pool of job
     submitters and one scoring pass.
@@ -104,7 +107,8 @@ def time_series_cv(
     spark = rows.sparkSession
 
     def fit(data: trees.FitData):
-        model = trees.boosted(cfg.model).fit(data.labelled(cfg.target, _transform(cfg)))
+        params = (tuned or {}).get(data.program_id // k, cfg.model)
+        model = trees.boosted(params).fit(data.labelled(cfg.target, _transform(cfg)))
         return trees.node_table(spark, model, data.program_id, data.features)
 
     nodes = union_programs(list(trees.per_key(units, fit, parallelism).values()))
@@ -114,7 +118,7 @@ def time_series_cv(
         {"_program": F.col("program_id"), "program_id": (F.col("program_id") * k + F.col("fold")).cast("int")}
     )
     model = Trained(nodes, nodes, {key: list(features[p]) for key, (p, _) in keys.items()})
-    scored = predict(tests, model, cfg)
+    scored = predict(tests, model, cfg, clipped=False)
     y = F.col(cfg.target)
     return scored.withColumns({"_y": y, "program_id": F.col("_program")}).groupBy("program_id", "fold").agg(
         F.count("*").alias("n_rows"), metrics.r2("_y", "sl_pred").alias("r2"),
@@ -169,6 +173,17 @@ def param_search(
     return table.join(best, "program_id").withColumn("is_best", F.col("trial") == F.col("best")).drop("best")
 
 
+def best_params(search: DataFrame, base: ModelConfig) -> dict[int, ModelConfig]:
+    """Winning parameters per program; one driver row per program."""
+    return {
+        r["program_id"]: replace(
+            base, trees=r["trees"], depth=r["depth"], step=r["step"], min_instances=r["min_instances"],
+            feature_fraction=r["feature_fraction"], subsample=r["subsample"],
+        )
+        for r in search.where("is_best").collect()
+    }
+
+
 def weighted_sum(df: DataFrame, members: Sequence[str], weights: Sequence[float], out: str = "sl_pred") -> DataFrame:
     """Weighted mean of member columns; weights are renormalised over the members present."""
     used = [weights[i] if i < len(weights) else weights[-1] for i in range(len(members))]
@@ -258,16 +273,25 @@ def two_stage(
 
 
 def last_fold(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Rows with role train/test of the last fold, or the tail split where rows are too few for folds."""
-    k = cfg.model.folds
+    """Rows with role train/test: the last fold, or the tail split without folds or with too few rows for them."""
+    k, share = cfg.model.folds, cfg.model.validation_share
     sizes = rows.groupBy("program_id").agg(F.count("*").alias("_size"))
     sized = rows.join(sizes, "program_id")
-    many = time_folds(sized.where(F.col("_size") >= k * 10), k).where(F.col("fold") == k - 1).drop("fold")
-    few = head_tail_split(sized.where(F.col("_size") < k * 10), 0.2)
+    folded = (F.col("_size") >= k * 10) & F.lit(cfg.model.use_cv)
+    many = time_folds(sized.where(folded), k).where(F.col("fold") == k - 1).drop("fold")
+    few = head_tail_split(sized.where(~folded), share)
     few = few.withColumn("role", F.when(F.col("is_validation"), "test").otherwise("train")).drop("is_validation")
     return many.unionByName(few).drop("_size")
 
 
+def fit_rows(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """What the final model sees: all rows after cross-validation, the head of the tail split otherwise."""
+    sizes = rows.groupBy("program_id").agg(F.count("*").alias("_size"))
+    sized = head_tail_split(rows.join(sizes, "program_id"), cfg.model.validation_share)
+    folded = (F.col("_size") >= cfg.model.folds * 10) & F.lit(cfg.model.use_cv)
+    return sized.where(folded | ~F.col("is_validation")).select(*rows.columns)
+
+
 def evaluate_holdout(train: DataFrame, test: DataFrame, model: Trained, cfg: EngineConfig) -> DataFrame:
     """Metrics of model and plan per program on both sets; the residual target is rebuilt to service level."""
     both = train.withColumn("part", F.lit("train")).unionByName(

@@ -12,7 +12,8 @@ from slotwise.models import training as tr
 from slotwise.operators import cleaning, encoding, metrics, splits, windows
 from slotwise.operators.reports import union_programs
 from slotwise.plans.history import feature_table
-from slotwise.sources.stages import staged
+from slotwise.sources.stages import stage_sink, staged
+from slotwise.sources.stores import save_encoding
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,14 @@ class TrainingRun:
     test: DataFrame
     future: DataFrame
 
+    def save(self, path: str) -> str:
+        """Models, encoding, metrics and readiness as tables under one folder."""
+        tr.save_models(self.model, path)
+        save_encoding(self.encoding, f"{path}/encoding")
+        stage_sink(self.metrics, f"{path}/metrics")
+        stage_sink(self.readiness, f"{path}/readiness")
+        return path
+
 
 def long_metrics(df: DataFrame, prefix: str | F.Column = "") -> DataFrame:
     """Wide metric columns -> (program_id, metric, value) rows."""
@@ -42,11 +51,12 @@ def long_metrics(df: DataFrame, prefix: str | F.Column = "") -> DataFrame:
 
 def training_run(
     history: DataFrame, programs: DataFrame, cfg: EngineConfig, exclusions=None, cross_validate: bool = False,
-    parallelism: int = 4,
+    parallelism: int = 4, tune: bool = False, tree_range: tuple[int, int] | None = None,
 ) -> TrainingRun:
     """Eager: writes the feature stage and fits one model per trainable program.
 
     The encoding is fitted before the split, as the reference results require.
+    `tune` searches the parameters of every program first.
     """
     cfg = cfg.with_mode("training")
     window = windows.program_filter(history.where(windows.config_window("ref_date", cfg)), cfg.programs, cfg.channel)
@@ -59,25 +69,36 @@ def training_run(
     train = staged(train, "train", "program_id")
     readiness = metrics.training_readiness(train, programs, cfg.model.min_operational)
     features = tr.features_of(tr.trainable_programs(readiness), cfg, exclusions)
-    model = tr.train_per_program(train, features, cfg, None, parallelism)
-    parts = []
+    parts, tuned = [], None
+    if features and tune:
+        found = tr.param_search(train, features, cfg, None, tree_range, parallelism)
+        tuned = tr.best_params(found, cfg.model)
+    model = tr.train_per_program(staged(tr.fit_rows(train, cfg), "fit", "program_id"), features, cfg, None, parallelism, tuned)
     if features:
-        drift = metrics.psi_drift(tr.last_fold(train, cfg), ["program_id"], "role", cfg.target, 10, cfg.model.drift_threshold)
+        folds = staged(tr.last_fold(train, cfg), "last_fold", "program_id")
+        drift = metrics.psi_drift(folds, ["program_id"], "role", cfg.target, 10, cfg.model.drift_threshold)
+        drift = drift.where(F.col("n_actual") >= cfg.model.min_drift_rows)
         parts.append(long_metrics(drift.select("program_id", "psi", (F.col("drift") == "DRIFT").cast("int").alias("has_drift"))))
-        holdout = tr.evaluate_holdout(train, test, model, cfg)
+        seen = folds.where("role = 'train'").drop("role", "row_num", "n_rows")
+        holdout = tr.evaluate_holdout(seen, with_service(test), model, cfg)
         parts.append(long_metrics(holdout, F.concat(F.lit("_"), "part")))
-        validation = tr.last_fold(train, cfg).withColumn("part", F.lit("in_sample_last_fold")).where("role = 'test'")
-        scored = tr.predict(validation.drop("role", "row_num", "n_rows"), model, cfg)
+        scored = tr.predict(folds.where("role = 'test'").drop("row_num", "n_rows"), model, cfg)
         if cfg.target == "sl_residual":
             scored = metrics.residual_final(
                 scored.withColumnRenamed("sl_pred", "residual_pred"), cfg.model.residual_limit)
         parts.append(long_metrics(metrics.metrics_by_program(scored, ["program_id"]), "_in_sample_last_fold"))
         if cross_validate:
-            folds = tr.time_series_cv(train, features, cfg, None, parallelism)
-            parts.append(long_metrics(metrics.cv_summary(folds)))
+            scores = tr.time_series_cv(train, features, cfg, None, parallelism, tuned)
+            parts.append(long_metrics(metrics.cv_summary(scores)))
     rows = union_programs(parts) if parts else history.sparkSession.createDataFrame(
         [], "program_id int, metric string, value double")
     return TrainingRun(
         model, encoding.target_encoding_fit(feats), readiness, metrics.training_summary(readiness), rows, train, test,
         future,
     )
+
+
+def with_service(test: DataFrame) -> DataFrame:
+    """Test rows of programs that had any service level above 0 in the test dates."""
+    served = test.where("sl_actual > 0").select("program_id").distinct()
+    return test.join(served, "program_id", "left_semi")

@@ -160,7 +160,10 @@ def test_cv_and_search(data):
     assert len(cv) == 4 and (cv["n_rows"] == 40).all() and (cv["r2"] <= 1).all()
     found = tr.param_search(data, {1: FEATS}, replace(CFG, model=replace(CFG.model, search_folds=2)), 2, (1, 2)).toPandas()
     assert found["is_best"].sum() == 1
-    assert found.loc[found["cv_mae"].idxmin(), "is_best"]
+    best = found.loc[found["cv_mae"].idxmin()]
+    assert best["is_best"]
+    tuned = tr.best_params(data.sparkSession.createDataFrame(found), CFG.model)
+    assert tuned[1].depth == best["depth"] and tuned[1].folds == CFG.model.folds
 
 
 def test_search_space_is_seeded():
@@ -198,6 +201,14 @@ def test_last_fold_or_tail(data):
     assert (out[out["program_id"] == 2]["role"] == "test").sum() == 3
 
 
+def test_final_fit_rows(data):
+    short = data.where("program_id = 2").orderBy("slot_ts").limit(15)
+    rows = data.where("program_id = 1").unionByName(short)
+    assert {r.program_id: r["count"] for r in tr.fit_rows(rows, CFG).groupBy("program_id").count().collect()} == {1: 120, 2: 12}
+    no_cv = replace(CFG, model=replace(CFG.model, use_cv=False))
+    assert {r.program_id: r["count"] for r in tr.fit_rows(rows, no_cv).groupBy("program_id").count().collect()} == {1: 96, 2: 12}
+
+
 def test_holdout_of_residual_target(data):
     cfg = replace(CFG, target="sl_residual")
     rows = data.withColumn("sl_residual", F.col("sl_actual") - F.col("sl_plan"))
