@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 
 from verification.sqltext import with_ctes
 
+# Sums of doubles differ in the last bit with their order. A value that ends in
+# exactly half a unit of the sixth digit (0.6796875) would then round either way,
+# so both sides move such values off the boundary before rounding.
+TIE_BREAK = 1.7e-9
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -25,7 +30,7 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            c = F.round(c.cast("double") + F.lit(TIE_BREAK), 6) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))
@@ -37,7 +42,7 @@ def _typed(select: str, columns: dict[str, str]) -> str:
     cast = {
         "date": "strftime({c}, '%Y-%m-%d')",
         "timestamp": "strftime({c}, '%Y-%m-%d %H:%M:%S')",
-        "double": "round(cast({c} AS double), 6) + 0.0",
+        "double": f"round(cast({{c}} AS double) + {TIE_BREAK!r}, 6) + 0.0",
         "bigint": "cast({c} AS bigint)",
         "string": "cast({c} AS varchar)",
         "boolean": "cast({c} AS boolean)",
