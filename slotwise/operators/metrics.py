@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.functions.numbers import clip
+from slotwise.functions.numbers import clip, clip_residual
+from slotwise.models.linear import moments
+from slotwise.operators.cleaning import r2_label
 
 # Bands of the actual service level.
 BANDS = [("sl_0_30", 0.0, 0.3), ("sl_30_60", 0.3, 0.6), ("sl_60_80", 0.6, 0.8), ("sl_80_100", 0.8, 1.01)]
@@ -90,8 +92,6 @@ def metrics_document(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def evaluated_programs(df: DataFrame, min_rows: int = 10) -> DataFrame:
     """Holdout variant: programs with enough rows, rounded to 4 digits, labelled."""
-    from slotwise.operators.cleaning import r2_label
-
     base = df.withColumn("sl_pred", clip("sl_pred")).groupBy("program_id").agg(*metric_columns())
     return base.where(F.col("n_rows") >= min_rows).select(
         "program_id",
@@ -125,8 +125,6 @@ def metrics_by_band(df: DataFrame, min_rows: int = MIN_BAND_ROWS) -> DataFrame:
 
 def residual_final(df: DataFrame, limit: float | None = 0.15) -> DataFrame:
     """Service level rebuilt from plan + predicted residual (optionally clipped)."""
-    from slotwise.functions.numbers import clip_residual
-
     plan = clip(F.coalesce("sl_plan", F.lit(0.0)))
     res = F.col("residual_pred") if limit is None else clip_residual("residual_pred", limit)
     clipped = F.lit(False) if limit is None else F.abs("residual_pred") > limit
@@ -214,8 +212,6 @@ def training_summary(readiness: DataFrame) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair (long form); NULL where a column is constant."""
-    from slotwise.models.linear import moments
-
     cols = list(columns)
     m = moments(df, cols, None)
     # Row 0 of the moment table is (sum of ones, sum of x_j): one row per column.
@@ -252,8 +248,6 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 def importance_report(importances: DataFrame, top: int = 5) -> DataFrame:
     """Rank of each feature per program, with flags for the top ones and the unused ones."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("program_id").orderBy(F.col("importance").desc(), "position")
     return importances.withColumn("rank", F.row_number().over(w)).withColumns(
         {"is_top": F.col("rank") <= top, "is_unused": F.col("importance") == 0}

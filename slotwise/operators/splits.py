@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +43,3 @@ def future_split(df: DataFrame, as_of: dt.datetime, ts: str = "slot_ts") -> Data
 def bounded_sample(df: DataFrame, keys: list[str], n: int = 1000, seed: int = 42) -> DataFrame:
     """At most n rows, the same ones on every run: a seeded hash orders the keys."""
     return df.orderBy(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), *keys).limit(n)
-
-
-def validation_rows(n: int, share: float) -> int:
-    return math.ceil(n * share)

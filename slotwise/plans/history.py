@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from slotwise import catalog
 from slotwise.config import EngineConfig
-from slotwise.operators import cleaning, daily, encoding, features, history, windows
+from slotwise.operators import daily, encoding, features, history, windows
 from slotwise.operators.mart import interval_mart
 from slotwise.sources.stages import staged
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.config import EngineConfig
@@ -36,12 +36,12 @@ class TrainingRun:
         return path
 
 
-def long_metrics(df: DataFrame, prefix: str | F.Column = "") -> DataFrame:
+def long_metrics(df: DataFrame, suffix: str | Column = "") -> DataFrame:
     """Wide metric columns -> (program_id, metric, value) rows."""
     names = [c for c in df.columns if c not in ("program_id", "part")]
     pairs = F.array(
         *[
-            F.struct(F.concat(F.lit(n), F.lit(prefix) if isinstance(prefix, str) else prefix).alias("metric"),
+            F.struct(F.concat(F.lit(n), F.lit(suffix) if isinstance(suffix, str) else suffix).alias("metric"),
                      F.col(n).cast("double").alias("value"))
             for n in names
         ]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from slotwise.operators import cleaning, columns, daily, drivers, encoding, history, metrics, reports, windows
+from slotwise.operators import cleaning, columns, daily, drivers, history, metrics
 from slotwise.operators import mart as mart_ops
 from slotwise.sources import demo, forecast
 from verification import inputs as i

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from slotwise import catalog
-from slotwise.operators import cleaning, drivers, metrics, reports, splits
+from slotwise.operators import drivers, metrics, reports, splits
 from slotwise.sources import demo
 from verification import inputs as i
 from verification.registry import check

@@ -6,6 +6,7 @@ the Spark operators.
 
 from __future__ import annotations
 
+from slotwise import catalog
 from slotwise.sources import demo
 
 D = "DATE '2024-01-31'"  # as_of
@@ -256,8 +257,7 @@ FROM (SELECT *, {_RAW} AS raw_value, {demo.LINEAR_BASE!r} AS base_value FROM fea
     cte(f"long_{s}", [f"scored_{s}"], "\nUNION ALL\n".join(
         f"SELECT ref_date, slot, program_id, channel_id, base_value, {i} AS position, '{f}' AS feature, "
         f"'{p}' AS pillar, {t} AS impact FROM scored_{s}"
-        for i, ((f, t), p) in enumerate(zip(linear_terms(), [
-            __import__("slotwise.catalog", fromlist=["PILLAR_OF"]).PILLAR_OF[f] for f, _ in linear_terms()]))))
+        for i, (f, t) in enumerate(linear_terms()) for p in [catalog.PILLAR_OF[f]]))
     cte(f"pillars_{s}", [f"long_{s}"], f"""
 SELECT ref_date, slot, program_id, channel_id,
   coalesce(sum(impact) FILTER (pillar = 'volume'), 0) AS impact_volume,
