@@ -94,5 +94,6 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     found = rows.join(taken.filter("taken > 0"), F.col("_id").eqNullSafe(F.col("doc_id")))
     times = F.transform(F.sequence(F.lit(1), F.expr("(taken + size - 1) div size")), lambda i: F.least("size", F.col("taken") - (i - 1) * F.col("size")))
     out = found.select("row", "size", F.explode(times).alias("words"))
-    cut = F.expr(rf"regexp_extract(row.text, concat('^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){{', words, '}}'), 0)")
+    words = F.regexp_extract_all(F.col("row.text"), F.lit(rf"[\x20\x09-\x0D]*+{WORD}"), F.lit(0))
+    cut = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")
     return out.select(F.when(F.col("words") < F.col("size"), F.col("row").withField("text", cut)).otherwise(F.col("row")).alias("row")).select("row.*")
