@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slotwise.llm import exact_dedup, merkle, mixing
+from slotwise.llm import exact_dedup, merkle, mixing, piece_bpe
 from slotwise.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op2_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_sentencepiece(spark, sf_dir):
+    return piece_bpe.digests(table(spark, sf_dir, "documents"), piece_bpe.default_vocabulary())
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
@@ -18,7 +22,7 @@ def op10_fingerprints(spark, sf_dir):
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op7_exact_dedup, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_sentencepiece, op7_exact_dedup, op10_fingerprints)}
 
 ORACLES = {
     "op2_mixing": r"""
