@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 from slotwise.sources.stages import new_stage, staged  # noqa: F401
 
@@ -37,3 +41,17 @@ def semi(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"))
     keys = ids.select(F.col("doc_id").alias("_key"))
     return rows.join(keys, F.col("_id").eqNullSafe(F.col("_key")), how).select("row.*")
+
+
+def with_made(df: DataFrame, read: str, made: pa.Schema, worker: Callable[[], Callable]) -> DataFrame:
+    """df with the columns `made`, which worker()(value of column `read`) returns as a tuple; other columns pass as they are."""
+    schema = StructType([*df.schema.fields, *from_arrow_schema(made).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = worker()
+        for batch in batches:
+            rows = [of(x.as_py()) for x in batch.column(read)]
+            new = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(made)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
+
+    return df.mapInArrow(run, schema)

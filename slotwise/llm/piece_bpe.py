@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain, groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from slotwise.llm.common import with_made
 
 BLANK = "▁"
 #: Units, and pairs of pieces, that a worker remembers, and as many from before; the least recent half goes.
@@ -232,35 +233,26 @@ def default_vocabulary(path: str | None = None) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _apply(docs: DataFrame, vocabulary: Vocabulary, read: str, schema: str, of: Callable) -> DataFrame:
-    """docs with the columns of `schema`, made from column `read`; the other columns pass through."""
-    names = [c.split()[0] for c in schema.split(", ")]
-    kept = [c for c in docs.columns if c not in names]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _apply(docs: DataFrame, vocabulary: Vocabulary, read: str, made: pa.Schema, of: Callable) -> DataFrame:
+    def worker():
         work = codec(vocabulary)
-        for batch in batches:
-            made = [of(work, x) for x in batch[read]]
-            out = batch[kept].copy()
-            for k, n in enumerate(names):
-                out[n] = [m[k] for m in made]
-            yield out
+        return lambda x: of(work, x)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema)
-    return docs.mapInPandas(run, f"{fields}, {schema}" if fields else schema)
+    return with_made(docs.select("doc_id", read), read, made, worker).drop(read)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids."""
-    return _apply(docs.select("doc_id", "text"), vocabulary, "text", "n_tokens long, ids array<int>", lambda c, t: (len(i := c.encode(t)), i)).drop("text")
+    made = pa.schema([("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    return _apply(docs, vocabulary, "text", made, lambda c, t: (len(i := c.encode(t)), i))
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, text from doc_id, ids; null ids give a null text."""
-    return _apply(rows.select("doc_id", "ids"), vocabulary, "ids", "text string", lambda c, i: (None if i is None else c.decode([int(x) for x in i]),)).drop("ids")
+    return _apply(rows, vocabulary, "ids", pa.schema([("text", pa.string())]), lambda c, i: (None if i is None else c.decode(i),))
 
 
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: of the ids, and of the text that they decode to."""
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _apply(docs.select("doc_id", "text"), vocabulary, "text", schema, lambda c, t: c.digest(t)).drop("text")
+    made = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    return _apply(docs, vocabulary, "text", made, lambda c, t: c.digest(t))

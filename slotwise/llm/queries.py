@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slotwise.llm import exact_dedup, merkle, mixing, piece_bpe, substring_dedup
+from slotwise.llm import exact_dedup, merkle, mixing, piece_bpe, secrets, substring_dedup
 from slotwise.llm.common import table
 
 
@@ -22,11 +22,15 @@ def op8_substring_dedup(spark, sf_dir):
     return substring_dedup.substring_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scans(spark, sf_dir):
+    return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark, sf_dir):
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_sentencepiece, op7_exact_dedup, op8_substring_dedup, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_sentencepiece, op7_exact_dedup, op8_substring_dedup, op9_secret_scans, op10_fingerprints)}
 
 ORACLES = {
     "op2_mixing": r"""
