@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from slotwise.llm import exact_dedup, merkle, mixing, piece_bpe, secrets, substring_dedup
+from slotwise.llm import exact_dedup, language_id, merkle, minhash, mixing, piece_bpe, secrets, substring_dedup
 from slotwise.llm.common import table
 
 
+def op1_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -14,6 +18,10 @@ def op3_sentencepiece(spark, sf_dir):
     return piece_bpe.digests(table(spark, sf_dir, "documents"), piece_bpe.default_vocabulary())
 
 
+def op6_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
@@ -30,7 +38,7 @@ def op10_fingerprints(spark, sf_dir):
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_sentencepiece, op7_exact_dedup, op8_substring_dedup, op9_secret_scans, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_sentencepiece, op6_minhash, op7_exact_dedup, op8_substring_dedup, op9_secret_scans, op10_fingerprints)}
 
 ORACLES = {
     "op2_mixing": r"""
