@@ -2,7 +2,7 @@
 
 Native: DataFrame operations only.
 
-Cases: a null text is an empty text. Equal ids on several rows are one document, they stay or go together. A null id
+Cases: a null text is an empty text. Rows equal in id and text are one document, they stay or go together. A null id
 sorts below all others; it stays only if its class has no other id. An empty table gives an empty result. Other
 columns are not read.
 """
@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import semi, whole
+from slotwise.llm.common import whole, without
 
 
 def content_hash(text: Column) -> Column:
@@ -51,6 +51,6 @@ def exact_classes(
     )
 
 
-def exact_dedup(docs: DataFrame, **options) -> DataFrame:
-    """The rows that stay, in all their columns."""
-    return semi(docs, exact_classes(docs, **options).filter(~F.col("kept")), "left_anti")
+def exact_dedup(docs: DataFrame, keep: Callable[[Column], Column] = F.max) -> DataFrame:
+    """The rows that stay, in all their columns. For texts that are kept as they are, without `normalise`."""
+    return without(docs, exact_classes(docs, keep=keep).filter(~F.col("kept")))

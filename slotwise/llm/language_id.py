@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import semi, stage, whole, with_made
+from slotwise.llm.common import stage, text_hash, whole, with_made, without
 
 #: Labelled rows that the trigram model is fitted on, at most.
 TRAIN_ROWS = 4000
@@ -177,4 +177,5 @@ def identify(docs: DataFrame, pages: DataFrame) -> DataFrame:
 
 def keep_languages(docs: DataFrame) -> DataFrame:
     """The documents that are in a language, in all their columns."""
-    return semi(docs, classify(from_documents(docs), *document_model(docs)).filter(~F.col("kept")), "left_anti")
+    rows = from_documents(docs).withColumn("text_sha256", text_hash(F.col("text")))
+    return without(docs, classify(rows, *document_model(docs)).filter(~F.col("kept")))

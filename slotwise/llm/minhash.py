@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import semi, stage
+from slotwise.llm.common import stage, without
 from slotwise.llm.components import components
 from slotwise.llm.hashing import NO_ID, windows
 
@@ -311,4 +311,4 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCEN
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:
     """One document of each component, the one with the smallest id, in all columns."""
-    return semi(docs, near_duplicates(docs, **options).filter(~F.col("kept")), "left_anti")
+    return without(docs, near_duplicates(docs, **options).filter(~F.col("kept")))

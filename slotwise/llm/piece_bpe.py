@@ -18,6 +18,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain, groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -244,7 +245,18 @@ def _apply(docs: DataFrame, vocabulary: Vocabulary, read: str, made: pa.Schema,
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids."""
     made = pa.schema([("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    return _apply(docs, vocabulary, "text", made, lambda c, t: (len(i := c.encode(t)), i))
+    return _apply(docs, vocabulary, "text", made, lambda c, t: (len(i := c.encode(t)), np.array(i, np.int32)))
+
+
+def encode_and_check(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """doc_id, n_tokens, ids, decoded_sha256 (of the text that the ids decode to)."""
+    made = pa.schema([("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded_sha256", pa.string())])
+
+    def of(c: Codec, text: str | None) -> tuple:
+        ids = c.encode(text)
+        return len(ids), np.array(ids, np.int32), hashlib.sha256(c.decode(ids).encode()).hexdigest()
+
+    return _apply(docs, vocabulary, "text", made, of)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:

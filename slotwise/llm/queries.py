@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slotwise.llm import exact_dedup, language_id, merkle, minhash, mixing, piece_bpe, secrets, substring_dedup
+from slotwise.llm import exact_dedup, html_text, language_id, line_dedup, merkle, minhash, mixing, piece_bpe, secrets, substring_dedup
 from slotwise.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op3_sentencepiece(spark, sf_dir):
     return piece_bpe.digests(table(spark, sf_dir, "documents"), piece_bpe.default_vocabulary())
 
 
+def op4_line_dedup(spark, sf_dir):
+    return line_dedup.line_digests(table(spark, sf_dir, "documents"))
+
+
+def op5_html_extraction(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -38,7 +46,13 @@ def op10_fingerprints(spark, sf_dir):
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_sentencepiece, op6_minhash, op7_exact_dedup, op8_substring_dedup, op9_secret_scans, op10_fingerprints)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id, op2_mixing, op3_sentencepiece, op4_line_dedup, op5_html_extraction, op6_minhash, op7_exact_dedup,
+        op8_substring_dedup, op9_secret_scans, op10_fingerprints,
+    )
+}
 
 ORACLES = {
     "op2_mixing": r"""
@@ -74,4 +88,21 @@ ORACLES = {
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
             doc_id is not distinct from max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
         from documents window same as (partition by coalesce(text, ''))""",
+    "op4_line_dedup": """
+        with docs as (select coalesce(doc_id, -9223372036854775808) as id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+        flat as (select id, i, lines[i] as line from (select id, lines, unnest(range(1, len(lines) + 1)) as i from docs)),
+        solid as (
+            select id, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as line from flat
+            where trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+        runs as (
+            select id, i, line, lead(line) over next as line2, lead(i) over next as i2
+            from solid window next as (partition by id order by i)),
+        firsts as (
+            select id, i, i2, min(id * 1000000 + i) over (partition by line, line2) as first from runs where line2 is not null),
+        gone as (
+            select id, i from firsts where id * 1000000 + i <> first
+            union select id, i2 from firsts where id * 1000000 + i <> first)
+        select f.id as doc_id, count(*) as n_lines, count(g.id) as n_removed,
+            sha256(coalesce(string_agg(f.line, chr(10) order by f.i) filter (g.id is null), '')) as kept_sha256
+        from flat f left join gone g on f.id = g.id and f.i = g.i group by f.id""",
 }
