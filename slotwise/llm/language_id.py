@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from slotwise.llm.common import stage, text_hash, whole, with_made, without
 
@@ -30,6 +31,7 @@ from slotwise.llm.common import stage, text_hash, whole, with_made, without
 TRAIN_ROWS = 4000
 #: Cells of the trigram table of a language; strength of a parent's prior, in rows; prior and name of no language.
 CELLS, STRENGTH, NONE_PRIOR, NONE = 1 << 14, 5.0, 0.01, "und"
+EVIDENCE = ("declared", "suffix", "domain", "host")
 #: A letter is in three trigrams, so each counts a third.
 TEMPER = 1 / 3
 
@@ -97,70 +99,73 @@ def from_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", primary(F.col("lang")).alias("declared"), none.alias("suffix"), none.alias("domain"), F.col("source").cast("string").alias("host"))
 
 
-def scored(rows: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
-    """rows without their text, with has_letter and t0, t1, ...: log likelihoods of the classes, the largest being 0."""
-    made = pa.schema([("has_letter", pa.bool_()), *[(f"t{k}", pa.float64()) for k in range(len(names) + 1)]])
+def shares(logs: np.ndarray) -> np.ndarray:
+    """Chances from log chances, along the last axis."""
+    e = np.exp(logs - logs.max(-1, keepdims=True))
+    return e / e.sum(-1, keepdims=True)
+
+
+def scored(rows: DataFrame, table: np.ndarray, prior: np.ndarray) -> DataFrame:
+    """rows without text, with has_letter, t0, t1, ... (log likelihoods of the classes), r0, r1, ... (posteriors of the text alone)."""
+    n = len(table)
+    made = pa.schema([("has_letter", pa.bool_()), *[(f"{c}{k}", pa.float64()) for c in "tr" for k in range(n)]])
 
     def worker():
         def of(text):
             at = cells(text)
             ll = TEMPER * table[:, at].sum(1)
-            return len(at) > 0, *map(float, ll - ll.max())
+            own = shares(ll + np.log(prior)) if len(at) else np.zeros(n)
+            return len(at) > 0, *map(float, ll - ll.max()), *map(float, own)
 
         return of
 
     return with_made(rows.withColumn("text", whole(F.col("text"))), "text", made, worker).drop("text")
 
 
-def total(values: list[Column]) -> Column:
-    out = values[0]
-    for v in values[1:]:
-        out = out + v
-    return out
-
-
 def classify(rows: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
     """rows without text and evidence, with lang, posterior and kept."""
-    keys = ["text", "declared", "suffix", "domain", "host"]
-    own = [c for c in rows.columns if c not in keys]
+    own = [c for c in rows.columns if c not in ("text", *EVIDENCE)]
     n = len(names) + 1
-    df = stage(scored(rows, names, table), "languages")
-    prior = [(1 - NONE_PRIOR) / max(1, n - 1)] * (n - 1) + [NONE_PRIOR]
-    weight = [F.exp(F.col(f"t{k}")) * prior[k] for k in range(n)]
-    df = df.withColumns({f"r{k}": F.when(F.col("has_letter"), w / total(weight)).otherwise(0.0) for k, w in enumerate(weight)})
-
-    def sums(by: str) -> DataFrame:
-        return df.filter(F.col(by).isNotNull()).groupBy(by).agg(*[F.sum(f"r{k}").alias(f"{by}_{k}") for k in range(n)]).withColumnRenamed(by, f"_{by}")
-
-    whole_sum = df.agg(*[F.coalesce(F.sum(f"r{k}"), F.lit(0.0)) for k in range(n)]).first()
-    rows_in = sum(whole_sum)
-    base = [(whole_sum[k] + STRENGTH * prior[k]) / (rows_in + STRENGTH) for k in range(n)]
-    tables = {by: sums(by) for by in ("declared", "suffix", "domain", "host")}
-    kinds = tables["declared"].count() + 1, tables["suffix"].count() + 1
-    for by, t in tables.items():
-        df = df.join(t, F.col(by) == F.col(f"_{by}"), "left").drop(f"_{by}")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-
-    def likelihood(by: str, k: int, values: int) -> Column:
-        return F.when(F.col(by).isNull(), 0.0).otherwise(F.log((zero(f"{by}_{k}") + 0.5) / (whole_sum[k] + 0.5 * values)))
-
-    def smoothed(by: str, parent: list) -> list[Column]:
-        """Shares of the classes among the other rows of the same value, drawn towards the parent's."""
-        rest = [F.when(F.col(by).isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), zero(f"{by}_{k}") - F.col(f"r{k}"))) for k in range(n)]
-        return [(rest[k] + STRENGTH * parent[k]) / (total(rest) + STRENGTH) for k in range(n)]
-
-    df = df.withColumns({f"d{k}": c for k, c in enumerate(smoothed("domain", [F.lit(b) for b in base]))})
-    df = df.withColumns({f"h{k}": c for k, c in enumerate(smoothed("host", [F.col(f"d{k}") for k in range(n)]))})
-    logs = {f"l{k}": F.col(f"t{k}") + likelihood("declared", k, kinds[0]) + likelihood("suffix", k, kinds[1]) + F.log(f"h{k}") for k in range(n)}
-    df = df.withColumns(logs).withColumn("top", F.greatest(*[F.col(f"l{k}") for k in range(n)]) if n > 1 else F.col("l0"))
-    best = F.coalesce(*[F.when(F.col(f"l{k}") == F.col("top"), F.lit(name)) for k, name in enumerate([*names, NONE])])
-    sure = F.round(1 / total([F.exp(F.col(f"l{k}") - F.col("top")) for k in range(n)]), 6)
+    prior = np.append(np.full(n - 1, (1 - NONE_PRIOR) / max(1, n - 1)), NONE_PRIOR)
+    df = stage(scored(rows, table, prior), "languages")
     if not names:
         return df.select(*own, F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("posterior"), F.col("has_letter").alias("kept"))
-    return df.select(
-        *own, F.when(F.col("has_letter"), best).otherwise(NONE).alias("lang"), F.when(F.col("has_letter"), sure).otherwise(0.0).alias("posterior"),
-        (F.col("has_letter") & (best != NONE)).alias("kept"),
-    )
+    sums = [F.sum(f"r{k}") for k in range(n)]
+    everything = np.array([x or 0.0 for x in df.agg(*[s.alias(f"s{k}") for k, s in enumerate(sums)]).first()])
+    base = (everything + STRENGTH * prior) / (everything.sum() + STRENGTH)
+    kinds = {}
+    for by in EVIDENCE:
+        of = df.filter(F.col(by).isNotNull()).groupBy(F.col(by).alias("value")).agg(*[s.alias(f"{by}_{k}") for k, s in enumerate(sums)])
+        if by in ("declared", "suffix"):
+            of = stage(of, by)
+            kinds[by] = of.count() + 1
+        df = df.join(of, F.col(by) == F.col("value"), "left").drop("value", by)
+    schema = StructType([f for f in df.schema if f.name in own]).add("lang", "string").add("posterior", "double").add("kept", "boolean")
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            def matrix(prefix: str) -> np.ndarray:
+                columns = [batch.column(f"{prefix}{k}").to_numpy(zero_copy_only=False) for k in range(n)]
+                return np.stack(columns, 1).astype(float)
+
+            text, part = matrix("t"), matrix("r")
+            letter = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
+            logs = text
+            for by, values in kinds.items():
+                seen = matrix(f"{by}_")  # NaN where there is no such evidence
+                logs = logs + np.where(np.isnan(seen), 0.0, np.log((np.nan_to_num(seen) + 0.5) / (everything + 0.5 * values)))
+            chance = np.broadcast_to(base, text.shape)
+            for by in ("domain", "host"):
+                rest = np.maximum(0.0, np.nan_to_num(matrix(f"{by}_") - part))
+                chance = (rest + STRENGTH * chance) / (rest.sum(1, keepdims=True) + STRENGTH)
+            found = shares(logs + np.log(chance))
+            best = found.argmax(1)
+            lang = [[*names, NONE][k] if ok else NONE for k, ok in zip(best.tolist(), letter.tolist())]
+            sure = np.where(letter, found.max(1).round(6), 0.0)
+            made = [pa.array(lang, pa.string()), pa.array(sure), pa.array(letter & (best < n - 1))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in schema if f.name in own], *made], names=schema.names)
+
+    return df.mapInArrow(fuse, schema)
 
 
 def document_model(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
