@@ -1,10 +1,11 @@
 """MinHash near-dedup with bottom-k sketches of one hash function.
 
-(1) A document's shingles are hashed; equal sets are one class, and each class keeps its SKETCH smallest hashes.
-(2) Inverted lists of retained values: two sketches of a linked pair have OVERLAP values in common, but for a chance of
-about 1e-8 (all that the smaller set must share, if sets are below the sketch and nothing is left to chance), so
-they share one of their rarest SKETCH - OVERLAP + 1 values. Only lists of those are built; values of common passages and
-phrases drop out of nearly all documents without a cap.
+(1) A document's shingles are hashed; equal sets are one class. A class retains its SKETCH smallest hashes, and in each
+of BANDS residue classes of the hash the DEPTH smallest (a bottom-k sketch of that part of the set).
+(2) Inverted lists: the retained values of a part are one key, so documents that share a passage or phrases, but little
+else, rarely meet. A pair at the least similarity has a part in common but for a chance of (1 - 0.8**3)**28 = 2e-9.
+Sets below SMALL keep their parts whole, in as many parts as their size lets differ and half as many more, by classes of
+size (a linked pair is in the same class or the next); the chance is below 3e-6 for the smallest and far less for others.
 (3) In each list all members are held against the smallest id: sizes, then the sketch of the union, then the exact
 Jaccard of the full sets. Groups of near copies become components there, at a cost linear in their size.
 (4) In lists whose members are still in several components, the pairs of different components are held against each
@@ -31,12 +32,14 @@ from pyspark.sql import functions as F
 
 from slotwise.llm.common import stage, without
 from slotwise.llm.components import components
-from slotwise.llm.hashing import NO_ID, windows
+from slotwise.llm.hashing import NO_ID, mixed, windows
 
 #: Words of a shingle, and least percentage of the Jaccard similarity.
 SHINGLE, PERCENT = 5, 80
-#: Hashes that a sketch retains; how many of them a linked pair has in common.
+#: Hashes that a sketch retains; how many of them a linked pair has in common (but for a chance of 1e-8).
 SKETCH, OVERLAP = 32, 12
+#: Parts of a set and values retained of each, for the inverted lists; sizes below which sets are kept whole.
+BANDS, DEPTH, SMALL = 28, 3, 80
 #: Members of one hub in a task; shingles of a block in step 4; bits of the bitmap of wanted ids.
 FAN, BLOCK_SHINGLES, BITS = 512, 500_000, 1 << 25
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -63,37 +66,49 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterato
             yield batch.slice(at, rows)
 
 
-def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """id, n (size of the set), set (128-bit hash of the set), sketch (its smallest hashes, as unsigned numbers)."""
+def part_keys(values: np.ndarray, parts: int, depth: int, salt: int) -> np.ndarray:
+    """A key for each part of a set that isn't empty: a hash of its `depth` smallest values."""
+    part = (mixed(values) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part, values = part[order], values[order]
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    place = np.arange(len(part)) - np.repeat(first, np.diff(np.append(first, len(part))))
+    mark = np.uint64(2 * (salt * BANDS * 4) + 1) + 2 * part.astype(np.uint64)
+    return np.add.reduceat(np.where(place < depth, mixed(values ^ mixed(mark)), 0).astype(np.uint64), first)
+
+
+def list_keys(values: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set for the inverted lists."""
+    n, ratio, keys = len(values), 100 / percent, [np.zeros(0, np.uint64)]
+    if n >= SMALL / ratio:
+        keys.append(part_keys(values, BANDS, DEPTH, 0))
+    if n and n <= SMALL:
+        size = next(g for g in range(1000) if n < ratio ** (g + 1))
+        for group in (size, size + 1):
+            differ = int((100 - percent) * 2 * ratio ** (group + 1) / (100 + percent))  # values that a linked pair does not share
+            if differ:
+                parts = BANDS if differ == 1 else min(BANDS, max(12, -(-3 * differ // 2)))
+                keys.append(part_keys(values, parts, n, group + 1))
+    return np.concatenate(keys)
+
+
+def sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """id, n (size of the set), set (128-bit hash of the set), sketch (its smallest hashes, as unsigned numbers), keys."""
     def run(batches):
         for b in small_batches(batches):
             sets = list(shingle_sets(b.column("text").to_pylist(), words))
-            sketch = [s[:SKETCH].view(np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([len(s) for s in sets]), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]), pa.array(sketch, pa.list_(pa.int64()))],
-                names=["id", "n", "set", "sketch"],
-            )
-
-    return docs.mapInArrow(run, "id long, n long, set binary, sketch array<long>")
-
-
-def least(n: Column, percent: int) -> Column:
-    """Values that the sketches of a linked pair share, if one of its sets has n."""
-    return F.least(F.ceil(n * percent / F.lit(100)), F.lit(OVERLAP))
-
-
-def inverted_lists(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """id, n, keys of each class; and value, id, n, and of the list: hub (its smallest id), size, shingles; lists of one are left out."""
-    values = classes.select("id", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
-    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    rare = values.join(often, "value").groupBy("id", "n", "kept").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("shared"))
-    alone = F.col("kept") - F.size("shared")  # values of one document come before all others
-    take = (F.col("kept") - least(F.col("n"), percent) + 1 - alone).cast("int")
-    keys = rare.filter(take > 0).select("id", "n", F.transform(F.slice("shared", F.lit(1), take), lambda s: s["value"]).alias("keys"))
-    keys = stage(keys, "keys")
-    entries = keys.select("id", "n", F.explode("keys").alias("value"))
+            numbers = [pa.array([x.view(np.int64) for x in xs], pa.list_(pa.int64())) for xs in ([s[:SKETCH] for s in sets], [list_keys(s, percent) for s in sets])]
+            names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), *numbers], names=["id", "n", "set", "sketch", "keys"])
+
+    return docs.mapInArrow(run, "id long, n long, set binary, sketch array<long>, keys array<long>")
+
+
+def inverted_lists(classes: DataFrame) -> DataFrame:
+    """value, id, n, and of the list: hub (its smallest id), size, shingles; lists of one are left out."""
+    entries = classes.select("id", "n", F.explode("keys").alias("value"))
     lists = entries.groupBy("value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).filter("size > 1")
-    return keys, stage(entries.join(lists, "value"), "lists")
+    return stage(entries.join(lists, "value"), "lists")
 
 
 def near_size(a: Column, b: Column, percent: int) -> Column:
@@ -189,11 +204,7 @@ def cross_pairs(rows: list[dict], percent: int) -> tuple[np.ndarray, np.ndarray]
     comp, n, side = (np.array([r[c] for r in rows], np.int64) for c in ("component", "n", "side"))
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     low, high, value = np.minimum, np.maximum, rows[0]["value"]
-    keys = np.full((len(rows), max(len(r["keys"]) for r in rows)), NO_ID, np.int64)
-    for k, r in enumerate(rows):
-        keys[k, : len(r["keys"])] = sorted(r["keys"])
-    smaller = (keys < value) & (keys != NO_ID)
-    some = [set(keys[k][smaller[k]].tolist()) for k in range(len(rows))]
+    some = [{x for x in r["keys"] if x < value} for r in rows]
     a_out, b_out = [], []
     for i in left:
         ok = right[(comp[right] != comp[i]) & (low(n[right], n[i]) * 100 >= high(n[right], n[i]) * percent)]
@@ -275,7 +286,7 @@ def block_links(entries: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between classes, enough for their components."""
-    keys, lists = inverted_lists(classes, percent)
+    lists = inverted_lists(classes)
     sketch = classes.select("id", "n", "sketch")
     of_hub = sketch.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
     pairs = lists.filter("id <> hub").select("hub", "id", "n").distinct()
@@ -287,8 +298,8 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
 
     found = components(stars)
     rest = lists.filter("size > 2").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = rest.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
-    rest = stage(rest.join(mixed, "value", "left_semi").join(keys.select("id", "keys"), "id"), "rest")
+    several = rest.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
+    rest = stage(rest.join(several, "value", "left_semi").join(classes.select("id", "keys"), "id"), "rest")
     chosen = stage(block_candidates(rest.join(sketch.drop("n"), "id"), percent).distinct(), "chosen")
     sets = full_sets(docs, chosen, words)
     return stars.unionByName(block_links(rest.join(chosen, ["value", "id"], "left_semi").join(sets, "id"), percent))
@@ -297,8 +308,8 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
-    rows = stage(sketched(docs, words), "sketches")
-    classes = rows.filter("n > 0").groupBy("set").agg(F.min(F.struct("id", "n", "sketch")).alias("c"), F.count(F.lit(1)).alias("copies"))
+    rows = stage(sketched(docs, words, percent), "sketches")
+    classes = rows.filter("n > 0").groupBy("set").agg(F.min(F.struct("id", "n", "sketch", "keys")).alias("c"), F.count(F.lit(1)).alias("copies"))
     classes = stage(classes.select("set", "copies", "c.*"), "classes")
     found = components(links(docs, classes, words, percent))
     of_class = classes.join(found, "id", "left").select(F.col("set").alias("_set"), F.coalesce("component", "id").alias("component"), "copies", F.col("component").alias("_linked"))
