@@ -2,7 +2,7 @@
 
 A token's encoding is inferred from its characters. It passes the battery if a chi-squared test of its alphabet, a runs
 test and a serial-correlation test together do not speak against equally likely, independent symbols. What it must
-beat is ordinary text: a table of neighbouring characters, counted over all texts, gives the likelihood of the token as
+beat is ordinary text: a table of neighbouring characters, counted over all texts outside such tokens, gives the likelihood of the token as
 text. If the token is text, a likelihood ratio of x or more has a chance of 1/x at most, whatever the length; on
 that bound the false-discovery rate is controlled among all tokens of a length class, so that many short tokens need
 more evidence than a few long ones.
@@ -98,14 +98,14 @@ def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for text in batch["text"]:
             if text:
-                c = codes(text)
+                c = codes(TOKEN.sub(" ", text))
                 total += np.bincount(c[:-1] * WIDTH + c[1:], minlength=WIDTH * WIDTH)
     at = np.flatnonzero(total)
     yield pd.DataFrame({"pair": at, "n": total[at]})
 
 
 def text_model(docs: DataFrame) -> np.ndarray:
-    """Log chance of each character after each other one, over all texts: WIDTH * WIDTH numbers, whatever the input."""
+    """Log chance of each character after each other one, over all texts without the tokens: WIDTH * WIDTH numbers, whatever the input."""
     counts = np.full(WIDTH * WIDTH, 0.5)
     for pair, n in docs.select("text").mapInPandas(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
         counts[pair] += n
