@@ -6,53 +6,71 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise import catalog
 from slotwise.functions.numbers import from_target_space, publishable, total
 
-MOMENT_SCHEMA = "program_id int, i int, j int, s double, n double"
-FLUSH_GROUPS = 256
+MOMENT_SCHEMA = "program_id int, part int, n double, means array<double>, products array<double>"
+#: Groups that a task holds before it sends them on; parts of a program that are merged one by one before the last merge.
+FLUSH_GROUPS, MERGE_PARTS = 256, 64
+
+Moment = tuple[float, np.ndarray, np.ndarray]
+
+
+def merge(a: Moment | None, b: Moment) -> Moment:
+    """Count, means and sums of products about the means, of two sets of rows together."""
+    if a is None:
+        return b
+    n = a[0] + b[0]
+    gap = b[1] - a[1]
+    return n, a[1] + gap * (b[0] / n), a[2] + b[2] + np.outer(gap, gap) * (a[0] * b[0] / n)
 
 
 def moments(df: DataFrame, columns: Sequence[str], group: str | None = "program_id") -> DataFrame:
-    """Sums of products x_i * x_j per group, with x_0 = 1, for all i <= j.
+    """Count, means and centred sums of products per group, in up to MERGE_PARTS rows each.
 
-    Each task multiplies its own rows as one matrix product and emits k x k
-    partial sums; a grouped sum adds the partials. A hot program therefore
-    reaches the exchange as a few hundred numbers per task.
+    Each task centres its own rows, so large means do not cancel the spread, and emits k x k numbers per program. A hot
+    program therefore reaches the exchange as a few hundred numbers per task.
     """
     cols = list(columns)
-    k = len(cols) + 1
+    k = len(cols)
     gid = F.col(group).cast("int") if group else F.lit(0)
     data = df.select(gid.alias("g"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    upper_i, upper_j = np.triu_indices(k)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[int, np.ndarray] = {}
-
-        def emit() -> Iterator[pd.DataFrame]:
-            for g, m in acc.items():
-                yield pd.DataFrame(
-                    {"program_id": np.int32(g), "i": upper_i.astype("int32"), "j": upper_j.astype("int32"),
-                     "s": m[upper_i, upper_j], "n": m[0, 0]}
-                )
-            acc.clear()
+    def rows_of(found: dict[int, Moment], part: int) -> pd.DataFrame:
+        return pd.DataFrame(
+            [(g, part, m[0], m[1].tolist(), m[2].ravel().tolist()) for g, m in found.items()],
+            columns=["program_id", "part", "n", "means", "products"],
+        )
 
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = TaskContext.get()
+        part = (context.partitionId() if context else 0) % MERGE_PARTS
+        acc: dict[int, Moment] = {}
         for pdf in batches:
-            for g, part in pdf.groupby("g"):
-                x = np.column_stack([np.ones(len(part)), part.iloc[:, 1:].to_numpy(dtype="float64")])
-                acc[g] = acc.get(g, 0.0) + x.T @ x
+            for g, own in pdf.groupby("g"):
+                x = own.iloc[:, 1:].to_numpy(dtype="float64")
+                mean = x.mean(0)
+                acc[g] = merge(acc.get(g), (float(len(x)), mean, (x - mean).T @ (x - mean)))
             if len(acc) > FLUSH_GROUPS:
-                yield from emit()
-        yield from emit()
+                yield rows_of(acc, part)
+                acc.clear()
+        yield rows_of(acc, part)
 
-    return (
-        data.mapInPandas(partial, MOMENT_SCHEMA)
-        .groupBy("program_id", "i", "j")
-        .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    )
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        return rows_of({int(pdf["program_id"].iloc[0]): total_moment(pdf, k)}, int(pdf["part"].iloc[0]))
+
+    return data.mapInPandas(partial, MOMENT_SCHEMA).groupBy("program_id", "part").applyInPandas(merged, MOMENT_SCHEMA)
+
+
+def total_moment(pdf: pd.DataFrame, k: int) -> Moment:
+    out = None
+    for n, means, products in zip(pdf["n"], pdf["means"], pdf["products"]):
+        out = merge(out, (n, np.asarray(means), np.asarray(products).reshape(k, k)))
+    return out
 
 
 def linear_per_program(
@@ -68,15 +86,12 @@ def linear_per_program(
     k = len(feats)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = np.zeros((k + 2, k + 2))
-        m[pdf["i"], pdf["j"]] = pdf["s"]
-        m = m + np.triu(m, 1).T
-        n = m[0, 0]
-        mean = m[0] / n
-        cov = m / n - np.outer(mean, mean)
-        sxx, sxy = cov[1 : k + 1, 1 : k + 1], cov[1 : k + 1, k + 1]
+        n, mean, products = total_moment(pdf, k + 1)
+        cov = products / n
+        sxx, sxy = cov[:k, :k], cov[:k, k]
         sd = np.sqrt(np.clip(np.diag(sxx), 0, None))
-        live = sd > 1e-9 * np.maximum(1.0, np.abs(mean[1 : k + 1]))
+        live = sd > 1e-14 * np.abs(mean[:k])
+        live &= sd > 0
         w = np.zeros(k)
         if live.any():
             z = sd[live]
@@ -85,7 +100,7 @@ def linear_per_program(
             w[live] = np.linalg.lstsq(corr + np.eye(live.sum()) * ridge / n, rhs, rcond=1e-10)[0] / z
         return pd.DataFrame(
             {"program_id": [int(pdf["program_id"].iloc[0])], "weights": [w.tolist()],
-             "centers": [mean[1 : k + 1].tolist()], "base_value": [float(mean[k + 1])], "n_rows": [int(round(n))]}
+             "centers": [mean[:k].tolist()], "base_value": [float(mean[k])], "n_rows": [int(round(n))]}
         )
 
     solved = (

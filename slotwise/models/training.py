@@ -206,6 +206,8 @@ def ensemble(
         ]
 
     fitted = trees.per_program(train, features, fit, parallelism)
+    if not fitted:
+        return add_linear(test, train, cfg, "ridge", cfg.model.l2).limit(0).withColumns({c: F.lit(None).cast("double") for c in ("boosted", "forest", "sl_pred")})
     nodes = union_programs([n for pair in fitted.values() for n in pair])
     out = test
     for member in ("boosted", "forest"):
@@ -252,6 +254,8 @@ def two_stage(
         return out
 
     fitted = trees.per_program(train, features, fit, parallelism)
+    if not fitted:
+        return test.limit(0).withColumns({"sl_pred": F.lit(None).cast("double")})
     nodes = union_programs([n for pair in fitted.values() for n in pair])
     plain = [p for p in features if below.get(p, 0) < min_below]
     drop = ["features", "impacts", "base_value", "raw_value"]

@@ -91,10 +91,11 @@ def validity_range_join(
     def bucket(c):
         return F.floor(F.unix_date(c) / bucket_days).cast("int")
 
-    first, last = system_time.agg(F.min("work_date")).scalar(), system_time.agg(F.max("work_date")).scalar()
+    span = days.agg(F.struct(F.min("work_date").alias("first"), F.max("work_date").alias("last"))).scalar()
     v = (
         versions.where("excluded = 0 AND valid_from < valid_to")
-        .withColumns({"_lo": F.greatest(F.col("valid_from"), first), "_hi": F.least(F.date_sub("valid_to", 1), last)})
+        .withColumn("_span", span)
+        .withColumns({"_lo": F.greatest("valid_from", "_span.first"), "_hi": F.least(F.date_sub("valid_to", 1), "_span.last")})
         .where(F.col("_lo") <= F.col("_hi"))
         .withColumn("_bucket", F.explode(F.sequence(bucket(F.col("_lo")), bucket(F.col("_hi")))))
         .select("agent_id", "_bucket", "valid_from", "valid_to", "position_code")

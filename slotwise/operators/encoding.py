@@ -10,9 +10,11 @@ SMOOTHING = 30
 
 def target_encoding_fit(df: DataFrame, target: str = "sl_actual", smoothing: int = SMOOTHING) -> DataFrame:
     """(program_id, enc, global_mean, n): n/(n+s) of the program mean, the rest global mean."""
-    per_program = df.groupBy("program_id").agg(F.avg(target).alias("program_mean"), F.count(target).alias("n"))
+    per_program = df.groupBy("program_id").agg(
+        F.avg(target).alias("program_mean"), F.sum(F.col(target).cast("double")).alias("total"), F.count(target).alias("n")
+    )
     weight = F.col("n") / (F.col("n") + smoothing)
-    overall = df.agg(F.avg(target)).scalar()
+    overall = per_program.agg(F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).scalar()  # from the same exchange
     return per_program.withColumn("global_mean", overall).select(
         "program_id",
         (weight * F.col("program_mean") + (1 - weight) * F.col("global_mean")).alias("enc"),

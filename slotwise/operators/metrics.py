@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions.numbers import clip, clip_residual
-from slotwise.models.linear import moments
 from slotwise.operators.cleaning import r2_label
 
 # Bands of the actual service level.
@@ -211,36 +210,26 @@ def training_summary(readiness: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (long form); NULL where a column is constant."""
+    """Pearson correlation of every pair (long form); NULL where a column is constant.
+
+    One aggregate of central co-moments, so large means do not cancel the spread.
+    """
     cols = list(columns)
-    m = moments(df, cols, None)
-    # Row 0 of the moment table is (sum of ones, sum of x_j): one row per column.
-    first = m.where("i = 0 AND j > 0").select(F.col("j").alias("c"), F.col("s").alias("sx"), "n")
-    square = m.where("i = j AND i > 0").select(F.col("i").alias("c"), F.col("s").alias("sxx"))
-    stats = first.join(square, "c")
-    left = stats.select(F.col("c").alias("i"), F.col("sx").alias("sx"), F.col("sxx").alias("sxx"), "n")
-    right = stats.select(F.col("c").alias("j"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
-    n = F.col("n")
-    cov = n * F.col("s") - F.col("sx") * F.col("sy")
-    vx = n * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = n * F.col("syy") - F.col("sy") * F.col("sy")
-    varies = (vx > n * F.col("sxx") * 1e-12) & (vy > n * F.col("syy") * 1e-12)
-    names = F.array(*[F.lit(c) for c in cols])
-    return (
-        m.where("i > 0").drop("n").join(left, "i").join(right, "j")
-        .select(
-            F.element_at(names, F.col("i")).alias("feature_a"),
-            F.element_at(names, F.col("j")).alias("feature_b"),
-            F.when(varies, cov / F.sqrt(F.when(varies, vx)) / F.sqrt(F.when(varies, vy))).alias("corr"),
-        )
-    )
+    x = [F.col(c).cast("double") for c in cols]
+
+    def pair(i: int, j: int) -> Column:
+        varies = (F.min(x[i]) < F.max(x[i])) & (F.min(x[j]) < F.max(x[j]))
+        return F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"), F.when(varies, F.corr(x[i], x[j])).alias("corr"))
+
+    pairs = [pair(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    return df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram between min and max; the last bin is closed."""
     v = F.col(column).cast("double")
-    lo, hi = df.agg(F.min(v)).scalar(), df.agg(F.max(v)).scalar()
-    rows = df.where(F.col(column).isNotNull()).select(v.alias("v"), lo.alias("lo"), hi.alias("hi"))
+    span = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+    rows = df.where(F.col(column).isNotNull()).select(v.alias("v"), span.alias("span")).select("v", "span.lo", "span.hi")
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("v") - F.col("lo")) / F.when(width > 0, width))).otherwise(0)
     return rows.groupBy(F.least(index, F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n_rows"))

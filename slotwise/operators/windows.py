@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from slotwise.config import EngineConfig
 
-MAX_IN_LIST = 1000
-
 
 def date_window(
     date_col: str,
@@ -48,15 +46,12 @@ def config_window(date_col: str, cfg: EngineConfig) -> Column:
 
 
 def program_filter(df: DataFrame, programs: Sequence[int], channel: int | None = None) -> DataFrame:
-    """IN (programs) and channel equality; long lists become a semi join."""
+    """IN (programs) and channel equality: one predicate that reaches the scan, however long the list."""
     if not programs:
         raise ValueError("empty program list: add at least one program")
     if channel is not None:
         df = df.where(F.col("channel_id") == channel)
-    if len(programs) <= MAX_IN_LIST:
-        return df.where(F.col("program_id").isin(*[int(p) for p in programs]))
-    wanted = df.sparkSession.createDataFrame([(int(p),) for p in set(programs)], "program_id int")
-    return df.join(wanted, "program_id", "left_semi")
+    return df.where(F.col("program_id").isin(*[int(p) for p in programs]))
 
 
 def recent_window(df: DataFrame, ts: str = "slot_ts", days: int = 90, per: Sequence[str] = ()) -> DataFrame:

@@ -11,6 +11,19 @@ from slotwise.operators.mart import interval_mart
 from slotwise.sources.stages import staged
 
 
+def in_scope(df: DataFrame, date_col: str, cfg: EngineConfig, channel: bool = True) -> DataFrame:
+    """The source rows a run can use: its window, its programs and, if the source has channels, its channel."""
+    return windows.program_filter(df.where(windows.config_window(date_col, cfg)), cfg.programs, cfg.channel if channel else None)
+
+
+def scoped_mart(intraday: DataFrame, plan: DataFrame, agents: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The mart of one run. Date, program and channel are keys of every aggregate, so the sources are cut before them."""
+    return interval_mart(
+        in_scope(intraday, "row_date", cfg), in_scope(plan, "plan_date", cfg), in_scope(agents, "work_date", cfg, False),
+        cfg.as_of, cfg.window_days, cfg.plan_sla_scale,
+    )
+
+
 def scan_mart(mart: DataFrame, cfg: EngineConfig) -> DataFrame:
     rows = mart.where(windows.config_window("ref_date", cfg))
     return windows.program_filter(rows, cfg.programs, cfg.channel).select(*catalog.MART_COLUMNS)
@@ -19,7 +32,7 @@ def scan_mart(mart: DataFrame, cfg: EngineConfig) -> DataFrame:
 def scan_log_gap(system_time: DataFrame, agents: DataFrame, cfg: EngineConfig, dedupe: bool = False) -> DataFrame:
     rows = system_time.where(windows.config_window("work_date", cfg))
     rows = windows.program_filter(rows, cfg.programs)
-    return daily.log_gap_agg(rows, agents.where(windows.config_window("work_date", cfg)), dedupe)
+    return daily.log_gap_agg(rows, in_scope(agents, "work_date", cfg, False), dedupe)
 
 
 def raw_history(mart: DataFrame, system_time: DataFrame, agents: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -42,11 +55,12 @@ def feature_table(
     enc = stored_encoding
     if enc is None:
         enc = encoding.target_encoding_fit(rows)
+    if stage:
+        enc = staged(enc, "encoding")
     return encoding.encoding_lookup(wide, enc)
 
 
 def full_history(
     intraday: DataFrame, plan: DataFrame, agents: DataFrame, system_time: DataFrame, cfg: EngineConfig
 ) -> DataFrame:
-    mart = interval_mart(intraday, plan, agents, cfg.as_of, cfg.window_days, cfg.plan_sla_scale)
-    return raw_history(mart, system_time, agents, cfg)
+    return raw_history(scoped_mart(intraday, plan, agents, cfg), system_time, agents, cfg)

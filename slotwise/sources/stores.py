@@ -127,8 +127,8 @@ def scan_run_rows(spark: SparkSession, path: str, suffix: str, schema=None) -> D
     return reader.parquet(path).where(F.col("suffix") == suffix)
 
 
-def save_attributions(df: DataFrame, path: str, contribs: str = "contribs") -> str:
-    """Matrix form: one impact array per row, with names, base value and transform flag."""
+def save_attributions(df: DataFrame, path: str, contribs: str = "contribs", target_transform: bool = True) -> str:
+    """Matrix form: one impact array per row, with names, base value and whether the model works on the transformed target."""
     c = F.col(contribs)
     return stage_sink(
         df.select(
@@ -137,7 +137,7 @@ def save_attributions(df: DataFrame, path: str, contribs: str = "contribs") -> s
             F.transform(c, lambda x: x["feature"]).alias("features"),
             F.transform(c, lambda x: x["impact"]).alias("impacts"),
             "base_value",
-            F.lit(True).alias("target_transform"),
+            F.lit(bool(target_transform)).alias("target_transform"),
         ),
         path,
     )

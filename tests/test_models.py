@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from slotwise.config import EngineConfig, ModelConfig
 from slotwise.models import training as tr
-from slotwise.models.linear import linear_per_program, moments, score_linear
+from slotwise.models.linear import linear_per_program, moments, score_linear, total_moment
+from slotwise.operators.metrics import correlation_matrix
 from slotwise.models.shap import explain_rows, leaves_of, score_trees
 from slotwise.sources import demo
 from slotwise.sources.stages import new_stage
@@ -149,10 +150,33 @@ def test_ridge_equals_closed_form(data):
     np.testing.assert_allclose(got.weights, want, atol=1e-9)
 
 
-def test_moments_are_symmetric_sums(data):
-    m = {(r.program_id, r.i, r.j): r.s for r in moments(data, ["hour", "sl_plan"]).collect()}
-    pdf = data.where("program_id = 2").toPandas()
-    assert m[2, 0, 0] == len(pdf) and abs(m[2, 1, 2] - (pdf["hour"] * pdf["sl_plan"]).sum()) < 1e-9
+def test_moments_merge_to_the_covariance(data):
+    pdf = data.where("program_id = 2").toPandas()[["hour", "sl_plan"]].to_numpy(dtype=float)
+    parts = moments(data.repartition(5), ["hour", "sl_plan"]).where("program_id = 2").toPandas()
+    n, means, products = total_moment(parts, 2)
+    assert n == len(pdf) and len(parts) > 1
+    np.testing.assert_allclose(means, pdf.mean(0), atol=1e-9)
+    np.testing.assert_allclose(products / n, np.cov(pdf.T, bias=True), atol=1e-9)
+
+
+def test_large_means_keep_their_spread(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 2))
+    x[:, 1] = 0.7 * x[:, 0] + 0.7 * x[:, 1]
+    pdf = pd.DataFrame({"program_id": 1, "a": x[:, 0] + 1e7, "b": x[:, 1] + 1e7, "same": 1e7})
+    df = spark.createDataFrame(pdf).repartition(6)
+    found = {(r.feature_a, r.feature_b): r["corr"] for r in correlation_matrix(df, ["a", "b", "same"]).collect()}
+    assert abs(found["a", "b"] - np.corrcoef(x.T)[0, 1]) < 1e-6 and abs(found["a", "a"] - 1) < 1e-9
+    assert found["a", "same"] is None and found["same", "same"] is None
+    assert "Python" not in correlation_matrix(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+    fit = linear_per_program(df, ["a", "same"], "b").first()
+    slope = np.polyfit(x[:, 0], x[:, 1], 1)[0]
+    np.testing.assert_allclose(fit.weights, [slope, 0.0], atol=1e-6)
+
+
+def test_no_programs(spark, data):
+    assert tr.ensemble(data, data, {}, CFG).count() == 0
+    assert tr.two_stage(data, data, {}, CFG).count() == 0
 
 
 def test_cv_and_search(data):

@@ -60,15 +60,19 @@ def test_stage_partition_is_pruned(spark, sf_dir, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*ref_date", plan)
 
 
-def test_training_window_filters_reach_the_scan(spark, sf_dir, tmp_path):
-    from slotwise.sources.stages import read_stage, stage_sink
-
-    mart = inputs.mart(spark, sf_dir)
-    path = stage_sink(mart, str(tmp_path / "mart"))
-    stored = read_stage(spark, path, mart.schema)
-    plan = plan_of(plans.scan_mart(stored, demo.config()))
-    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
-    assert "ref_date" in pushed and "channel_id" in pushed and "program_id" in pushed
+@pytest.mark.parametrize("mode", ["inference", "training"])
+def test_run_scope_reaches_every_source(spark, sf_dir, mode):
+    """Window (both bounds where there are two), programs and channel stand below each aggregate of the computed mart."""
+    plan = inputs.live_mart(spark, sf_dir, mode)._jdf.queryExecution().optimizedPlan().toString()
+    sources = plan.split("Join FullOuter")[1]
+    tops = re.split(r"Aggregate \[", sources)[1:]
+    assert len(tops) >= 3
+    for part in tops:
+        if "Relation [" not in part:
+            continue
+        filters = " ".join(line for line in part.splitlines() if "Filter" in line)
+        assert "IN (" in filters or "INSET" in filters, part
+        assert filters.count(">=") >= 1 and ("<=" in filters or mode == "training"), part
 
 
 def test_broadcast_is_never_forced():

@@ -71,11 +71,10 @@ def _(s, d):
 
 
 @check("global_mean_fill", f"{K} sl_lag_1:double", ["hist_train"],
-       "SELECT * FROM hist_train QUALIFY row_number() OVER (PARTITION BY program_id, channel_id ORDER BY slot_ts) <= 3")
+       "SELECT * FROM hist_train")
 def _(s, d):
-    """First three rows of every series: lags that fall before the series take the table mean."""
-    df = history.lag_and_rolling(i.rows(s, d, "training"))
-    return history.numbered(df, ["program_id", "channel_id"], ["slot_ts"], F.to_date("slot_ts")).where("row_num <= 3")
+    """Lags that fall before the series take the table mean."""
+    return history.lag_and_rolling(i.rows(s, d, "training"))
 
 
 @check("regression_metrics", METRIC_SPEC, ["scored_infer"],
@@ -146,9 +145,9 @@ def _(s, d):
 
 
 @check("min_slot_per_date", "ref_date:date min_slot:bigint", ["mart"],
-       "SELECT ref_date, min(slot) AS min_slot FROM mart WHERE vol_plan > 3 GROUP BY 1")
+       "SELECT ref_date, min(slot) AS min_slot FROM mart GROUP BY 1")
 def _(s, d):
-    return forecast.min_slot_per_date(i.mart(s, d).where("vol_plan > 3"))
+    return forecast.min_slot_per_date(i.mart(s, d))
 
 
 READY = """SELECT p.program_id, coalesce(n, 0) AS n_rows, coalesce(op, 0) AS n_operational,

@@ -24,7 +24,8 @@ def mart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def live_mart(spark: SparkSession, sf: str, mode: str = "inference") -> DataFrame:
-    return plans.scan_mart(mart(spark, sf), demo.config(mode))
+    cfg = demo.config(mode)
+    return plans.scan_mart(plans.scoped_mart(demo.intraday(spark, sf), demo.plan(spark, sf), demo.agents(spark, sf), cfg), cfg)
 
 
 def raw(spark: SparkSession, sf: str, mode: str = "inference") -> DataFrame:

@@ -66,10 +66,9 @@ FC = f"(SELECT ref_date, slot, program_id, channel_id, {PRED} AS sl_pred FROM ma
 
 
 @check("left_forecast", f"{K} vol_actual vol_plan:bigint sl_pred:double", ["mart"],
-       f"SELECT mart.*, f.sl_pred FROM mart LEFT JOIN {FC} USING (ref_date, slot, program_id, channel_id) WHERE ref_date >= {D} - 2")
+       f"SELECT mart.*, f.sl_pred FROM mart LEFT JOIN {FC} USING (ref_date, slot, program_id, channel_id)")
 def _(s, d):
-    live = i.mart(s, d).where("ref_date >= DATE '2024-01-29'")
-    return reports.left_forecast(live, demo_forecast(s, d))
+    return reports.left_forecast(i.mart(s, d), demo_forecast(s, d))
 
 
 @check("inner_forecast_actual", f"{K} vol_actual vol_plan:bigint sl_pred:double", ["mart"],
@@ -100,12 +99,11 @@ def _(s, d):
 
 @check("stale_anti", f"{K} vol_plan:bigint", ["mart"], """
 SELECT m.* FROM mart m LEFT JOIN (SELECT ref_date, min(slot) AS min_slot FROM mart
-  WHERE ref_date >= DATE '2024-01-30' AND vol_plan > 3 GROUP BY 1) b USING (ref_date)
-WHERE m.ref_date >= DATE '2024-01-28' AND (min_slot IS NULL OR slot < min_slot)""")
+  WHERE vol_plan > 3 AND slot >= 600 GROUP BY 1) b USING (ref_date)
+WHERE min_slot IS NULL OR slot < min_slot""")
 def _(s, d):
     m = i.mart(s, d)
-    batch = m.where("ref_date >= DATE '2024-01-30' AND vol_plan > 3")
-    return forecast.stale_anti(m.where("ref_date >= DATE '2024-01-28'"), batch)
+    return forecast.stale_anti(m, m.where("vol_plan > 3 AND slot >= 600"))
 
 
 @check("validity_range_join", "ref_date:date program_id specialists n_rows:bigint", ["fx_system", "fx_validity"], """

@@ -123,14 +123,14 @@ def _(s, d):
 
 
 ROLL = f"""
-WITH e AS (SELECT ref_date, slot, program_id, channel_id, sl_plan AS sl_pred FROM mart WHERE ref_date >= {D} - 1 AND vol_plan > 0),
-b AS (SELECT ref_date, slot, program_id, channel_id, 0.25 AS sl_pred FROM mart WHERE ref_date >= {D} AND vol_plan > 1 AND slot >= 600 AND program_id <> 900002)"""
+WITH e AS (SELECT ref_date, slot, program_id, channel_id, sl_plan AS sl_pred FROM mart WHERE vol_plan > 0),
+b AS (SELECT ref_date, slot, program_id, channel_id, 0.25 AS sl_pred FROM mart WHERE vol_plan > 1 AND slot >= 600 AND program_id <> 900002)"""
 
 
 def _existing_and_batch(s, d):
     m = i.mart(s, d)
-    old = m.where((F.col("ref_date") >= "2024-01-30") & (F.col("vol_plan") > 0)).select(*catalog.KEYS, F.col("sl_plan").alias("sl_pred"))
-    new = m.where((F.col("ref_date") >= "2024-01-31") & (F.col("vol_plan") > 1) & (F.col("slot") >= 600) & (F.col("program_id") != 900002))
+    old = m.where(F.col("vol_plan") > 0).select(*catalog.KEYS, F.col("sl_plan").alias("sl_pred"))
+    new = m.where((F.col("vol_plan") > 1) & (F.col("slot") >= 600) & (F.col("program_id") != 900002))
     return old, new.select(*catalog.KEYS, F.lit(0.25).cast("double").alias("sl_pred"))
 
 

@@ -28,17 +28,17 @@ def _(s, d):
 
 
 @check("stream_rolling_overwrite", f"{K} sl_pred:double", ["mart"], f"""
-WITH f AS (SELECT ref_date, slot, program_id, channel_id, sl_plan AS sl_pred FROM mart WHERE ref_date >= {D} - 1 AND vol_plan > 0),
-b AS (SELECT ref_date, slot, program_id, channel_id, 0.5 AS sl_pred FROM mart WHERE ref_date >= {D} AND vol_plan > 1 AND slot >= 480)
+WITH f AS (SELECT ref_date, slot, program_id, channel_id, sl_plan AS sl_pred FROM mart WHERE vol_plan > 0),
+b AS (SELECT ref_date, slot, program_id, channel_id, 0.5 AS sl_pred FROM mart WHERE vol_plan > 1 AND slot >= 480)
 SELECT f.* FROM f LEFT JOIN (SELECT ref_date, min(slot) AS m FROM b GROUP BY 1) AS x USING (ref_date) WHERE m IS NULL OR f.slot < m
 UNION ALL SELECT * FROM b""")
 def _(s, d):
     m = i.mart(s, d)
     path, source = new_stage(s, "forecast"), new_stage(s, "forecast-in")
-    before = m.where((F.col("ref_date") >= "2024-01-30") & (F.col("vol_plan") > 0)).select(
+    before = m.where(F.col("vol_plan") > 0).select(
         *catalog.KEYS, F.col("sl_plan").alias("sl_pred"))
     forecast.publish(s, path, before)
-    batch = m.where((F.col("ref_date") >= "2024-01-31") & (F.col("vol_plan") > 1) & (F.col("slot") >= 480)).select(
+    batch = m.where((F.col("vol_plan") > 1) & (F.col("slot") >= 480)).select(
         *catalog.KEYS, F.lit(0.5).cast("double").alias("sl_pred"))
     stage_sink(batch, source)
     for _attempt in range(2):  # the second run has a new checkpoint: the same batch is delivered again
