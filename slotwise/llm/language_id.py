@@ -59,8 +59,9 @@ def count_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages, and log chances [language, cell] with "und" as the last row, from columns doc_id, text, label."""
     order = F.xxhash64(F.col("doc_id"))
-    chosen = labelled.filter("label is not null").select("doc_id").orderBy(order, "doc_id").limit(train_rows).distinct()
-    sample = labelled.filter("label is not null").join(F.broadcast(chosen), "doc_id", "left_semi")  # at most train_rows ids
+    known = labelled.filter("label is not null and doc_id is not null")
+    chosen = [r[0] for r in known.select("doc_id").orderBy(order, "doc_id").limit(train_rows).collect()]  # at most train_rows ids
+    sample = known.filter(F.col("doc_id").isin(chosen)) if chosen else known.limit(0)
     counts = sample.select("label", "text").mapInPandas(count_cells, "label string, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n"))
     found = counts.toPandas()
     names = sorted(found["label"].unique())
