@@ -50,14 +50,15 @@ def mix_targets(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, share:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, share: float = 1.0, seed: str = "") -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for each row.
+    """doc_id, source, size, source_size, target, taken, mark (a hash of the text) for each row.
 
     Only ids, sources, sizes and keys are kept after the first pass. Key ranges are summed first; a window then runs
     over the one range per source in which the budget ends, so a hot source costs no more than 1/16^DIGITS of its rows
     in one task.
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = stage(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), key.alias("key")), "mix")
+    mark = F.xxhash64(whole(F.col("text")))
+    rows = stage(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), key.alias("key"), mark.alias("mark")), "mix")
     ranges = rows.groupBy("source", F.substring("key", 1, DIGITS).alias("range")).agg(F.sum("size").alias("range_size"))
     targets = mix_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, epochs, share)
     plan = targets.withColumn("budget", F.least(F.floor("target"), F.col("source_size") * epochs))
@@ -80,7 +81,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, share: float = 1
         .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before"))))
     )
     plain = placed.filter("range <> cut_range").withColumn("part", F.when(F.col("range") < F.col("cut_range"), F.col("size")).otherwise(0))
-    columns = ["doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("whole") + F.col("part")).cast("long").alias("taken")]
+    columns = ["doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("whole") + F.col("part")).cast("long").alias("taken"), "mark"]
     return cut.select(*columns).unionByName(plain.select(*columns))
 
 
@@ -88,10 +89,11 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus, in the columns of docs: a row for each time a document is taken.
 
     The document at which a source's budget ends is taken up to the budget's last word. Documents without words stay out.
+    Rows equal in id and text are taken alike, as often as the one taken most.
     """
-    taken = mix(docs, **options).groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"))
-    found = rows.join(taken.filter("taken > 0"), F.col("_id").eqNullSafe(F.col("doc_id")))
+    taken = mix(docs, **options).filter("taken > 0").groupBy("doc_id", "mark").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(whole(F.col("text"))).alias("text_mark"))
+    found = rows.join(taken, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark")))
     times = F.transform(F.sequence(F.lit(1), F.expr("(taken + size - 1) div size")), lambda i: F.least("size", F.col("taken") - (i - 1) * F.col("size")))
     out = found.select("row", "size", F.explode(times).alias("words"))
     words = F.regexp_extract_all(F.col("row.text"), F.lit(rf"[\x20\x09-\x0D]*+{WORD}"), F.lit(0))
