@@ -105,9 +105,11 @@ def sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
-    """value, id, n, and of the list: hub (its smallest id), size, shingles; lists of one are left out."""
-    entries = classes.select("id", "n", F.explode("keys").alias("value"))
-    lists = entries.groupBy("value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).filter("size > 1")
+    """value, id, n, and of the list: hub (its smallest id), size, shingles; lists of one are left out before anything else."""
+    entries = classes.select("id", F.explode("keys").alias("value"))
+    shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("value")
+    entries = stage(entries.join(shared, "value", "left_semi"), "entries").join(classes.select("id", "n"), "id")
+    lists = entries.groupBy("value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
     return stage(entries.join(lists, "value"), "lists")
 
 
@@ -129,9 +131,8 @@ def flip(x: Column) -> Column:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """id, set (bytes of the sorted hashes) of the wanted ids. A bitmap of BITS bits spares most others."""
+    """id, set (bytes of the sorted hashes) of the wanted ids, and of the few others that a bitmap of BITS bits lets through."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
-    wanted = wanted.select("id").distinct()
     bits = wanted.select(bit("id").alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("map"))
     flat = np.zeros(BITS // 8, np.uint8)
     for r in bits.collect():
@@ -147,7 +148,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], names=["id", "set"])
 
     made = docs.withColumn("bit", bit("id")).mapInArrow(run, "id long, set binary")
-    return stage(made.join(wanted, "id", "left_semi").filter(F.length("set") > 0), "sets")
+    return stage(made.filter(F.length("set") > 0), "sets")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -157,19 +158,18 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (hub, id) that are links. A hub's set goes to as many tasks as its members fill."""
-    pairs = pairs.join(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("tasks")), "hub")
-    members = pairs.join(sets, "id").select("hub", F.pmod(F.xxhash64("id"), F.col("tasks")).cast("int").alias("task"), "id", "set")
-    hubs = pairs.select("hub", "tasks").distinct().join(sets.withColumnRenamed("id", "hub"), "hub")
-    hubs = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(None).cast("long").alias("id"), "set")
-    rows = members.unionByName(hubs).repartition("hub", "task").sortWithinPartitions("hub", "task", F.col("id").asc_nulls_first())
+    tasks = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("tasks"))
+    members = pairs.join(tasks, "hub").select("id", "hub", F.pmod(F.xxhash64("id"), F.col("tasks")).cast("int").alias("task"), F.lit(False).alias("first"))
+    hubs = tasks.select(F.col("hub").alias("id"), "hub", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(True).alias("first"))
+    rows = members.unionByName(hubs).join(sets, "id").repartition("hub", "task").sortWithinPartitions("hub", "task", F.desc("first"))
 
     def run(batches):
         at, own = None, []
         for b in batches:
             out = []
-            for hub, task, i, raw in zip(*(b.column(c).to_pylist() for c in ("hub", "task", "id", "set"))):
+            for hub, task, i, first, raw in zip(*(b.column(c).to_pylist() for c in ("hub", "task", "id", "first", "set"))):
                 s = np.frombuffer(raw, np.uint64)
-                if i is None:
+                if first:
                     own = [*own, s] if at == (hub, task) else [s]
                     at = (hub, task)
                 elif any(linked(s, o, percent) for o in own):
@@ -299,10 +299,13 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
     found = components(stars)
     rest = lists.filter("size > 2").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     several = rest.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
-    rest = stage(rest.join(several, "value", "left_semi").join(classes.select("id", "keys"), "id"), "rest")
-    chosen = stage(block_candidates(rest.join(sketch.drop("n"), "id"), percent).distinct(), "chosen")
+    rest = stage(rest.join(several, "value", "left_semi"), "rest")
+    shared = rest.groupBy("id").agg(F.collect_list("value").alias("keys"))  # a class has a few dozen keys at most
+    of_class = shared.join(sketch.drop("n"), "id")
+    chosen = stage(block_candidates(rest.join(of_class, "id"), percent).distinct(), "chosen")
     sets = full_sets(docs, chosen, words)
-    return stars.unionByName(block_links(rest.join(chosen, ["value", "id"], "left_semi").join(sets, "id"), percent))
+    last = rest.join(chosen, ["value", "id"], "left_semi").join(shared, "id").join(sets, "id")
+    return stars.unionByName(block_links(last, percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
