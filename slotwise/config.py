@@ -21,6 +21,7 @@ class ModelConfig:
     target_transform: bool = True
     use_cv: bool = True
     folds: int = 5
+    rows_per_fold: int = 10  # programs with fewer rows than folds * rows_per_fold get a tail split
     validation_share: float = 0.2
     min_drift_rows: int = 11
     search_trials: int = 20

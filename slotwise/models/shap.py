@@ -84,6 +84,9 @@ def explain_trees(df: DataFrame, nodes: DataFrame, features: dict[int, Sequence[
     counted first; larger sets are split into several passes over disjoint
     programs.
     """
+    lacking = {p: sorted(set(fs) - set(df.columns)) for p, fs in features.items()}
+    if any(lacking.values()):
+        raise ValueError("features that the models expect and the rows lack: " + "; ".join(f"program {p}: {', '.join(fs)}" for p, fs in sorted(lacking.items()) if fs))
     sizes = {r["program_id"]: r["n"] for r in nodes.groupBy("program_id").agg(F.count("*").alias("n")).collect()}
     passes: list[list[int]] = [[]]
     load = 0

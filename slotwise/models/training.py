@@ -282,7 +282,7 @@ def last_fold(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     k, share = cfg.model.folds, cfg.model.validation_share
     sizes = rows.groupBy("program_id").agg(F.count("*").alias("_size"))
     sized = rows.join(sizes, "program_id")
-    folded = (F.col("_size") >= k * 10) & F.lit(cfg.model.use_cv)
+    folded = (F.col("_size") >= k * cfg.model.rows_per_fold) & F.lit(cfg.model.use_cv)
     many = time_folds(sized.where(folded), k).where(F.col("fold") == k - 1).drop("fold")
     few = head_tail_split(sized.where(~folded), share)
     few = few.withColumn("role", F.when(F.col("is_validation"), "test").otherwise("train")).drop("is_validation")
@@ -293,7 +293,7 @@ def fit_rows(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """What the final model sees: all rows after cross-validation, the head of the tail split otherwise."""
     sizes = rows.groupBy("program_id").agg(F.count("*").alias("_size"))
     sized = head_tail_split(rows.join(sizes, "program_id"), cfg.model.validation_share)
-    folded = (F.col("_size") >= cfg.model.folds * 10) & F.lit(cfg.model.use_cv)
+    folded = (F.col("_size") >= cfg.model.folds * cfg.model.rows_per_fold) & F.lit(cfg.model.use_cv)
     return sized.where(folded | ~F.col("is_validation")).select(*rows.columns)
 
 

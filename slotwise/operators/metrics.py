@@ -218,8 +218,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     x = [F.col(c).cast("double") for c in cols]
 
     def pair(i: int, j: int) -> Column:
-        varies = (F.min(x[i]) < F.max(x[i])) & (F.min(x[j]) < F.max(x[j]))
-        return F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"), F.when(varies, F.corr(x[i], x[j])).alias("corr"))
+        spread = F.sqrt(F.regr_sxx(x[i], x[j])) * F.sqrt(F.regr_syy(x[i], x[j]))  # of rows that have both values
+        corr = F.try_divide(F.regr_sxy(x[i], x[j]), spread)  # corr() itself fails on a constant
+        return F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"), corr.alias("corr"))
 
     pairs = [pair(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     return df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))

@@ -53,6 +53,40 @@ def save_encoding(encoding: DataFrame, path: str) -> str:
     return stage_sink(encoding.select("program_id", "enc", "global_mean", "n"), path)
 
 
+# Names in the JSON documents of a program's encoding, and of the mean in the document for all programs.
+ENCODING_NAMES = {"program_id": "programa", "enc": "encoding", "global_mean": "media_global", "n": "n_amostras"}
+GLOBAL_MEAN_NAME = "__media_global__"
+
+
+def save_encoding_documents(encoding: DataFrame, path: str) -> str:
+    """One JSON document per program, each in a folder named after it."""
+    body = F.to_json(F.struct(*[F.col(c).alias(name) for c, name in ENCODING_NAMES.items()]))
+    encoding.select(F.concat(F.lit("target_encoding_"), F.col("program_id")).alias("document"), body.alias("value")).write.mode(
+        "overwrite").partitionBy("document").text(path)
+    return path
+
+
+def load_encoding_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Encodings from the programs' documents under a folder; the mean of the last one, by name, holds for all."""
+    schema = "programa int, encoding double, media_global double, n_amostras bigint"
+    docs = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    docs = docs.where("programa IS NOT NULL").withColumn("_path", F.col("_metadata.file_path"))
+    last = docs.agg(F.max_by("media_global", F.struct(F.col("media_global").isNotNull(), "_path"))).scalar()
+    return docs.select(
+        F.col("programa").alias("program_id"), F.col("encoding").alias("enc"), last.alias("global_mean"), F.col("n_amostras").alias("n")
+    )
+
+
+def load_global_encoding_document(spark: SparkSession, path: str, default: float = 0.5) -> DataFrame:
+    """Encodings from the one document that maps programs to values and names the mean."""
+    values = F.from_json("value", "map<string, double>")
+    doc = spark.read.option("wholetext", True).text(path).select(values.alias("m"))
+    rows = doc.select(F.try_element_at("m", F.lit(GLOBAL_MEAN_NAME)).alias("mean"), F.explode("m").alias("k", "enc"))
+    return rows.where(F.col("k") != GLOBAL_MEAN_NAME).select(
+        F.col("k").cast("int").alias("program_id"), "enc", F.coalesce("mean", F.lit(default)).alias("global_mean"), F.lit(None).cast("bigint").alias("n")
+    )
+
+
 def load_encoding(spark: SparkSession, per_program_path: str | None, global_path: str | None = None) -> DataFrame:
     """Stored encodings: the per-program store if it exists, else the global one, else empty."""
     schema = "program_id int, enc double, global_mean double, n bigint"

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from slotwise.config import EngineConfig, ModelConfig
 from slotwise.models import training as tr
 from slotwise.models.linear import linear_per_program, moments, score_linear, total_moment
+from slotwise.models.shap import explain_rows, explain_trees, leaves_of, score_trees
 from slotwise.operators.metrics import correlation_matrix
-from slotwise.models.shap import explain_rows, leaves_of, score_trees
 from slotwise.sources import demo
 from slotwise.sources.stages import new_stage
 
@@ -174,6 +174,12 @@ def test_large_means_keep_their_spread(spark):
     np.testing.assert_allclose(fit.weights, [slope, 0.0], atol=1e-6)
 
 
+def test_missing_features_are_named(spark, data):
+    nodes = spark.createDataFrame([], "program_id int")
+    with pytest.raises(ValueError, match="program 1: nowhere"):
+        explain_trees(data, nodes, {1: [*FEATS, "nowhere"], 2: FEATS})
+
+
 def test_no_programs(spark, data):
     assert tr.ensemble(data, data, {}, CFG).count() == 0
     assert tr.two_stage(data, data, {}, CFG).count() == 0

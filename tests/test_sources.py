@@ -129,3 +129,28 @@ def test_named_queries(spark, tmp_path):
 def test_day_predicates_cover_the_window_once():
     p = database.day_predicates("d", dt.date(2024, 1, 30), dt.date(2024, 2, 3), 2)
     assert p == ["d >= '2024-01-30' AND d < '2024-02-01'", "d >= '2024-02-01' AND d < '2024-02-03'", "d >= '2024-02-03' AND d < '2024-02-04'"]
+
+
+def test_encoding_documents(spark, tmp_path):
+    rows = [(347851, 0.9, 0.8, 30), (5, 0.25, 0.8, 4)]
+    df = spark.createDataFrame(rows, "program_id int, enc double, global_mean double, n bigint")
+    back = stores.load_encoding_documents(spark, stores.save_encoding_documents(df, str(tmp_path / "docs")))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    folder = tmp_path / "foreign"
+    folder.mkdir()
+    for name, program, mean in (("target_encoding_1.json", 1, 0.6), ("target_encoding_2.json", 2, 0.7)):
+        (folder / name).write_text('{\n  "programa": %d,\n  "encoding": 0.5,\n  "media_global": %s,\n  "n_amostras": 9\n}' % (program, mean))
+    found = stores.load_encoding_documents(spark, str(folder)).collect()
+    assert {(r.program_id, r.global_mean) for r in found} == {(1, 0.7), (2, 0.7)}
+    (tmp_path / "all.json").write_text('{"7": 0.1, "__media_global__": 0.4, "8": 0.2}')
+    found = stores.load_global_encoding_document(spark, str(tmp_path / "all.json")).collect()
+    assert {tuple(r)[:3] for r in found} == {(7, 0.1, 0.4), (8, 0.2, 0.4)}
+    (tmp_path / "bare.json").write_text('{"7": 0.1}')
+    assert stores.load_global_encoding_document(spark, str(tmp_path / "bare.json")).first().global_mean == 0.5
+
+
+def test_attributions_keep_the_transform_flag(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, [("a", 0.5)], 0.1)], "program_id int, row_num bigint, contribs array<struct<feature: string, impact: double>>, base_value double")
+    for flag in (True, False):
+        path = stores.save_attributions(df, str(tmp_path / str(flag)), target_transform=flag)
+        assert stores.load_attributions(spark, path).first().target_transform is flag
