@@ -105,4 +105,39 @@ ORACLES = {
         select f.id as doc_id, count(*) as n_lines, count(g.id) as n_removed,
             sha256(coalesce(string_agg(f.line, chr(10) order by f.i) filter (g.id is null), '')) as kept_sha256
         from flat f left join gone g on f.id = g.id and f.i = g.i group by f.id""",
+    "op10_fingerprints": r"""
+        with docs as (select doc_id, coalesce(text, '') as text from documents),
+        follow as (
+            select *, coalesce(lead(text) over o, first_value(text) over o) as next_text
+            from docs window o as (order by doc_id desc nulls last, text)),
+        edits as (
+            select doc_id, text, next_text, length(text) as n_chars,
+                substr(text, 1, length(text) - length(text) // 3) || substr(next_text, 1, length(text) // 3) as edited
+            from follow),
+        trees as (
+            select *,
+                list_transform(string_split(text, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: md5(p))) as tree,
+                list_transform(string_split(edited, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: md5(p)))
+                    as edited_tree,
+                list_distinct(list_transform(regexp_extract_all(text, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}'), lambda r: rtrim(r, ' '))) as runs,
+                list_distinct(list_transform(regexp_extract_all(edited, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}'), lambda r: rtrim(r, ' ')))
+                    as edited_runs,
+                list_distinct(list_transform(regexp_extract_all(next_text, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}'), lambda r: rtrim(r, ' ')))
+                    as next_runs
+            from edits)
+        select doc_id, n_chars, sha256(edited) as edited_sha256,
+            md5('root:' || array_to_string(list_transform(tree, lambda s: md5('section:' || array_to_string(s, ','))), ',')) as fingerprint,
+            md5('root:' || array_to_string(list_transform(edited_tree, lambda s: md5('section:' || array_to_string(s, ','))), ','))
+                as edited_fingerprint,
+            case when len(runs) + len(edited_runs) = 0 then 1.0
+                else 2.0::double * len(list_intersect(runs, edited_runs)) / (len(runs) + len(edited_runs)) end::double as near_edited,
+            case when len(runs) + len(next_runs) = 0 then 1.0
+                else 2.0::double * len(list_intersect(runs, next_runs)) / (len(runs) + len(next_runs)) end::double as near_next,
+            len(tree)::int as n_sections,
+            list_sum(list_transform(range(1, greatest(len(tree), len(edited_tree)) + 1), lambda i:
+                case when tree[i] is not distinct from edited_tree[i] then 0
+                    when tree[i] is null or edited_tree[i] is null then 1
+                    else len(list_filter(range(1, greatest(len(tree[i]), len(edited_tree[i])) + 1),
+                        lambda j: tree[i][j] is distinct from edited_tree[i][j])) end))::int as n_changed
+        from trees""",
 }
