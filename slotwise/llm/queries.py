@@ -140,4 +140,39 @@ ORACLES = {
                     else len(list_filter(range(1, greatest(len(tree[i]), len(edited_tree[i])) + 1),
                         lambda j: tree[i][j] is distinct from edited_tree[i][j])) end))::int as n_changed
         from trees""",
+    "op6_minhash": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+            from documents),
+        sets as (
+            select doc_id, case when len(w) < 2 then w
+                else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s
+            from words),
+        flat as (select doc_id, len(s) as n, unnest(s) as g from sets),
+        links as (
+            select a.doc_id as a, b.doc_id as b
+            from flat a join flat b
+                on a.g = b.g and a.doc_id < b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        ends as (select a, b from links union all select b, a from links),
+        reach as (select doc_id as id, doc_id as other from documents union select r.id, e.b from reach r join ends e on r.other = e.a),
+        least_id as (select id, min(other) as component_id from reach group by id)
+        select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept from sets join least_id on doc_id = id""",
+    "op8_substring_dedup": r"""
+        with words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        windows as (
+            select doc_id, k, array_to_string(w[k:k + 19], ' ') as win
+            from (select doc_id, w, unnest(range(1, len(w) - 18)) as k from words where len(w) >= 20)),
+        firsts as (
+            select doc_id, k, doc_id::hugeint * 1000000000 + k as place,
+                min(doc_id::hugeint * 1000000000 + k) over (partition by win) as first
+            from windows),
+        gone as (select distinct doc_id, unnest(range(k, k + 20)) as i from firsts where place <> first),
+        flat as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from words),
+        kept as (
+            select f.doc_id, count(g.i) as n_removed, string_agg(f.word, ' ' order by f.i) filter (g.i is null) as text
+            from flat f left join gone g on f.doc_id = g.doc_id and f.i = g.i group by f.doc_id)
+        select d.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
+        from words d left join kept k on d.doc_id = k.doc_id""",
 }
