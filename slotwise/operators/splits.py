@@ -41,5 +41,6 @@ def future_split(df: DataFrame, as_of: dt.datetime, ts: str = "slot_ts") -> Data
 
 
 def bounded_sample(df: DataFrame, keys: list[str], n: int = 1000, seed: int = 42) -> DataFrame:
-    """At most n rows, the same ones on every run: a seeded hash orders the keys."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), *keys).limit(n)
+    """At most n rows, the same ones on every run: the MD5 of the keys' text and the seed orders them."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return df.orderBy(F.md5(text), *keys).limit(n)

@@ -144,6 +144,22 @@ def _(s, d):
     return drivers.mean_abs_attribution(i.scored(s, d))
 
 
+NAMES = ", ".join(f"'{f}'" for f in demo.LINEAR_FEATURES)
+
+
+@check("importance_report", "program_id rank position:bigint feature:string importance:double is_top is_unused:boolean", ["long_infer"], f"""
+SELECT *, rank <= 5 AS is_top, importance = 0 AS is_unused FROM (
+ SELECT *, row_number() OVER (PARTITION BY program_id ORDER BY importance DESC, position) AS rank FROM (
+  SELECT program_id, feature, list_position([{NAMES}], feature) AS position, round(avg(abs(impact)), 9) AS importance
+  FROM long_infer GROUP BY 1, 2) AS m) AS r""")
+def _(s, d):
+    """Mean absolute attributions of the linear model in the place of a trained model's importances."""
+    names = F.array(*map(F.lit, demo.LINEAR_FEATURES))
+    table = drivers.mean_abs_attribution(i.scored(s, d)).select(
+        "program_id", "feature", F.array_position(names, F.col("feature")).alias("position"), F.round("mean_abs", 9).alias("importance"))
+    return metrics.importance_report(table)
+
+
 @check("min_slot_per_date", "ref_date:date min_slot:bigint", ["mart"],
        "SELECT ref_date, min(slot) AS min_slot FROM mart GROUP BY 1")
 def _(s, d):

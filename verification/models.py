@@ -53,7 +53,7 @@ def _(s, d):
     return tr.train_per_program(rows, _features(s, d), CFG, None, JOBS).importances
 
 
-@check("importance_report")
+@check("importance_report_trained")
 def _(s, d):
     rows = train_rows(s, d)
     return metrics.importance_report(tr.train_per_program(rows, _features(s, d), CFG, None, JOBS).importances)

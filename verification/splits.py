@@ -42,7 +42,8 @@ def _(s, d):
     return reports.extreme_rows(i.scored(s, d))
 
 
-@check("bounded_sample")
+@check("bounded_sample", f"{K} vol_actual vol_plan:bigint sl_actual:double", ["clean_train"],
+       "SELECT * FROM clean_train ORDER BY md5(concat_ws('|', strftime(ref_date, '%Y-%m-%d'), slot, program_id, channel_id, '42')) LIMIT 1000")
 def _(s, d):
     """At most 1000 rows for a plot, the same ones on every run."""
     return splits.bounded_sample(i.light(s, d, "training"), catalog.KEYS, 1000, 42)
