@@ -216,10 +216,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     cols = list(columns)
     x = [F.col(c).cast("double") for c in cols]
+    varies = [F.min(c) < F.max(c) for c in x]
 
     def pair(i: int, j: int) -> Column:
         spread = F.sqrt(F.regr_sxx(x[i], x[j])) * F.sqrt(F.regr_syy(x[i], x[j]))  # of rows that have both values
         corr = F.try_divide(F.regr_sxy(x[i], x[j]), spread)  # corr() itself fails on a constant
+        corr = F.when(varies[i] & varies[j], corr)  # merged partials can leave a constant a spread of 1e-15
         return F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"), corr.alias("corr"))
 
     pairs = [pair(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
