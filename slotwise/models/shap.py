@@ -10,18 +10,20 @@ of rows is evaluated leaf by leaf with array arithmetic. See Lundberg et al.,
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from math import factorial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from slotwise.functions.numbers import from_target_space, publishable
 from slotwise.operators.drivers import contributions
 
-MAX_NODES_PER_PASS = 2_000_000  # about 150 MB of leaves next to each Python worker
+MAX_NODES_PER_PASS = 2_000_000
+GROUP_ROWS = 20_000  # rows of a program that a worker holds at a time, about
 NODE_COLUMNS = ["program_id", "tree", "weight", "node", "left", "right", "feature", "threshold", "value", "cover"]
 
 
@@ -80,9 +82,9 @@ def explain_rows(x: np.ndarray, leaves: list[tuple]) -> tuple[np.ndarray, np.nda
 def explain_trees(df: DataFrame, nodes: DataFrame, features: dict[int, Sequence[str]], attribute: bool = True) -> DataFrame:
     """Adds features, impacts, base_value and raw_value; programs without a model drop out.
 
-    Models travel to the Python workers with the task. Their number of nodes is
-    counted first; larger sets are split into several passes over disjoint
-    programs.
+    A worker reads the nodes of one program next to some of its rows; no node
+    comes to the driver but their number. Larger sets are split into several
+    passes over disjoint programs.
     """
     lacking = {p: sorted(set(fs) - set(df.columns)) for p, fs in features.items()}
     if any(lacking.values()):
@@ -104,32 +106,35 @@ def explain_trees(df: DataFrame, nodes: DataFrame, features: dict[int, Sequence[
 
 
 def _one_pass(df: DataFrame, nodes: DataFrame, features: dict[int, list[str]], attribute: bool) -> DataFrame:
+    """Rows are dealt by (program, salt), about GROUP_ROWS to a group; a program's nodes go to each of its groups."""
     programs = sorted(features)
-    table = nodes.where(F.col("program_id").isin(programs)).select(*NODE_COLUMNS).toPandas()
-    models = {p: (features[p], leaves_of(table[table["program_id"] == p], features[p])) for p in programs}
     used = sorted({f for fs in features.values() for f in fs})
     rows = df.where(F.col("program_id").isin(programs))
+    groups = rows.groupBy(F.col("program_id").alias("_program_id")).agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("_groups"))
+    mark = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, AtomicType)])
     # The model inputs travel as doubles next to the untouched columns.
-    sent = rows.select(*df.columns, *[F.col(f).cast("double").alias(f"_in_{f}") for f in used])
+    inputs = [F.col(f).cast("double").alias(f"_in_{f}") for f in used]
+    dealt = rows.join(groups, F.col("program_id") == F.col("_program_id"))
+    sent = dealt.select(*[f"`{c}`" for c in df.columns], *inputs, F.col("_program_id").alias("_model"), F.pmod(mark, "_groups").cast("int").alias("_salt"))
+    trees = nodes.select(*NODE_COLUMNS).join(groups, F.col("program_id") == F.col("_program_id"))
+    trees = trees.select(*NODE_COLUMNS, F.col("_program_id").alias("_model"), F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_salt"))
     extra = "features array<string>, impacts array<double>, base_value double, raw_value double"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            inputs = pdf[[f"_in_{f}" for f in used]]
-            keep = pdf.drop(columns=inputs.columns)
-            for p, part in keep.groupby("program_id"):
-                names, leaves = models[int(p)]
-                x = inputs.loc[part.index, [f"_in_{f}" for f in names]].to_numpy(dtype="float64")
-                impacts, raw, base = explain_rows(x, leaves) if attribute else (None, score_rows(x, leaves), 0.0)
-                part = part.copy()
-                part["features"] = [names] * len(part)
-                part["impacts"] = list(impacts) if attribute else [[]] * len(part)
-                part["base_value"] = base
-                part["raw_value"] = raw
-                yield part
-
-    return sent.mapInPandas(work, f"{schema}, {extra}")
+    def work(key: tuple, part: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        names = features[int(key[0])]
+        leaves = leaves_of(own, names)
+        x = part[[f"_in_{f}" for f in names]].to_numpy(dtype="float64")
+        impacts, raw, base = explain_rows(x, leaves) if attribute else (None, score_rows(x, leaves), 0.0)
+        part = part.drop(columns=[f"_in_{f}" for f in used] + ["_model", "_salt"])
+        part["features"] = [names] * len(part)
+        part["impacts"] = list(impacts) if attribute else [[]] * len(part)
+        part["base_value"] = base
+        part["raw_value"] = raw
+        return part
+
+    keys = ("_model", "_salt")
+    return sent.groupBy(*keys).cogroup(trees.groupBy(*keys)).applyInPandas(work, f"{schema}, {extra}")
 
 
 def score_rows(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:

@@ -114,6 +114,40 @@ def test_scoring_contract(data, model):
     assert all(abs(x["impact"] + y["impact"]) < 1e-12 for p, q in zip(a, b) for x, y in zip(p, q))
 
 
+def test_nodes_stay_off_the_driver(data, model, monkeypatch):
+    from slotwise.models import shap
+
+    key = ["program_id", "slot_ts"]
+    columns = [*key, "base_value", "raw_value", "sl_pred"]
+    whole = score_trees(data, model.nodes, model.features).select(*columns).toPandas()
+
+    def no(*_):
+        raise AssertionError("collected")
+
+    with monkeypatch.context() as m:
+        m.setattr(shap, "GROUP_ROWS", 7, raising=False)
+        for kind in {type(data), type(data).__mro__[1]}:
+            m.setattr(kind, "toPandas", no)
+        out = score_trees(data, model.nodes, model.features).select(*columns)
+    many = out.toPandas()
+    pd.testing.assert_frame_equal(whole.sort_values(key, ignore_index=True), many.sort_values(key, ignore_index=True))
+
+
+def test_registered_queries_run_the_defaults(monkeypatch):
+    from verification import models, registry
+
+    assert models.CFG.model == ModelConfig()
+    asked = {}
+    for name in ("time_series_cv", "param_search"):
+        monkeypatch.setattr(tr, name, lambda rows, features, cfg, *given, name=name: asked.update({name: given[:-1]}))
+    monkeypatch.setattr(models, "train_rows", lambda s, d: None)
+    monkeypatch.setattr(models, "_features", lambda s, d: None)
+    monkeypatch.setattr(registry, "present", lambda df: df)
+    for name in ("time_series_cv", "param_search"):
+        registry.QUERIES[name](None, "")
+    assert all(x is None for given in asked.values() for x in given) and len(asked) == 2
+
+
 def test_several_passes_equal_one(data, model, monkeypatch):
     from slotwise.models import shap
 

@@ -1,11 +1,8 @@
 """Model operators. Tree fits have no SQL twin; linear ones do."""
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from slotwise import catalog
-from slotwise.config import ModelConfig
 from slotwise.models import training as tr
 from slotwise.models.linear import linear_per_program, score_linear
 from slotwise.models.shap import score_trees
@@ -17,8 +14,7 @@ from verification.registry import check
 from verification.sqltext import METRIC_SPEC, metric_select
 
 K = i.KEYS
-# Small ensembles: the data is whole, only the number of trees is low.
-CFG = demo.config("training", model=ModelConfig(trees=3, depth=3, step=0.1, folds=2, search_folds=2))
+CFG = demo.config("training")
 JOBS = 8
 
 
@@ -76,13 +72,12 @@ def _(s, d):
 
 @check("time_series_cv")
 def _(s, d):
-    return tr.time_series_cv(train_rows(s, d), _features(s, d), CFG, 2, JOBS)
+    return tr.time_series_cv(train_rows(s, d), _features(s, d), CFG, None, JOBS)
 
 
 @check("param_search")
 def _(s, d):
-    small = replace(CFG, model=replace(CFG.model, search_folds=2))
-    return tr.param_search(train_rows(s, d), _features(s, d), small, 2, (2, 3), JOBS)
+    return tr.param_search(train_rows(s, d), _features(s, d), CFG, None, None, JOBS)
 
 
 @check("ensemble")
