@@ -14,8 +14,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays."""
-    return exact_dedup.exact_dedup(docs)
+    """Of equal texts, one row with the largest id stays."""
+    return exact_dedup.exact_dedup(docs, single=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

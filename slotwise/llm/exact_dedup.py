@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import whole, without
+from slotwise.llm.common import stage, text_hash, whole, without
 
 
 def content_hash(text: Column) -> Column:
@@ -51,6 +51,20 @@ def exact_classes(
     )
 
 
-def exact_dedup(docs: DataFrame, keep: Callable[[Column], Column] = F.max) -> DataFrame:
-    """The rows that stay, in all their columns. For texts that are kept as they are, without `normalise`."""
-    return without(docs, exact_classes(docs, keep=keep).filter(~F.col("kept")))
+def exact_dedup(docs: DataFrame, keep: Callable[[Column], Column] = F.max, single: bool = False) -> DataFrame:
+    """The rows that stay, in all their columns. For texts that are kept as they are, without `normalise`.
+
+    With `single`, one of the rows equal in id and text stays. Eager then: only if there are such rows, they are grouped.
+    """
+    classes = exact_classes(docs, keep=keep)
+    if not single:
+        return without(docs, classes.filter(~F.col("kept")))
+    shared = classes.filter("group_size > 1").groupBy("doc_id", "text_sha256")
+    found = stage(shared.agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).filter("not kept or rows > 1"), "classes")
+    left, repeated = without(docs, found), found.filter("kept")
+    if repeated.isEmpty():
+        return left
+    keys = repeated.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), text_hash(F.col("text")).alias("hash"))
+    rows = rows.join(keys, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_sha")), "left_semi")
+    return left.unionByName(rows.groupBy("id", "hash").agg(F.min("row").alias("row")).select("row.*"))

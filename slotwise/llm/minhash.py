@@ -314,13 +314,21 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCEN
     rows = stage(sketched(docs, words, percent), "sketches")
     classes = rows.filter("n > 0").groupBy("set").agg(F.min(F.struct("id", "n", "sketch", "keys")).alias("c"), F.count(F.lit(1)).alias("copies"))
     classes = stage(classes.select("set", "copies", "c.*"), "classes")
-    found = components(links(docs, classes, words, percent))
+    again = stage(rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("id"), "again")
+    found = components(links(docs, classes, words, percent).unionByName(same_id(rows, classes, again)))
     of_class = classes.join(found, "id", "left").select(F.col("set").alias("_set"), F.coalesce("component", "id").alias("component"), "copies", F.col("component").alias("_linked"))
     of_class = of_class.filter("copies > 1 or _linked is not null")
-    out = rows.join(of_class.drop("copies", "_linked"), (F.col("set") == F.col("_set")) & (F.col("n") > 0), "left")
+    out = rows.filter("n > 0").join(of_class.drop("copies", "_linked"), F.col("set") == F.col("_set"), "left").select("id", "n", "component")
+    empty = rows.filter("n = 0").join(found.join(again, "id", "left_semi"), "id", "left").select("id", "n", "component")
     component = F.coalesce("component", "id")
     null = lambda c: F.nullif(c, F.lit(NO_ID))
-    return out.select(null(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), null(component).alias("component_id"), (component == F.col("id")).alias("kept"))
+    return out.unionByName(empty).select(null(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), null(component).alias("component_id"), (component == F.col("id")).alias("kept"))
+
+
+def same_id(rows: DataFrame, classes: DataFrame, again: DataFrame) -> DataFrame:
+    """Links (a, b) from an id that several rows have to the class of each of them."""
+    own = rows.filter("n > 0").join(again, "id", "left_semi").select(F.col("id").alias("a"), "set").distinct()
+    return own.join(classes.select("set", F.col("id").alias("b")), "set").select("a", "b")
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:

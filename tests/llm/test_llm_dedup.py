@@ -8,6 +8,7 @@ import pytest
 from corpus_cases import collected, documents, rows
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from slotwise.llm import exact_dedup, line_dedup, minhash, substring_dedup
 from slotwise.llm.components import components
 
@@ -82,6 +83,28 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert collected(one, "doc_id") == sorted(((r[0],) for r in near_brute(data, 2) if r[3]), key=repr)
 
 
+def test_near_duplicates_of_one_id(spark):
+    """Rows of one id join their classes, also a row without words."""
+    one, two = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    data = [(i, t, None, None) for i, t in ((3, one), (5, one), (5, two), (7, two), (9, two + " end"), (9, ""), (11, "alone"), (11, None), (12, ""))]
+    got = minhash.near_duplicates(documents(spark, data), words=2)
+    want = near_brute(data, 2)
+    assert collected(got, "doc_id", "n_shingles", "component_id", "kept") == want and {r[2] for r in want} == {3, 11, 12}
+    assert collected(minhash.near_dedup(documents(spark, data), words=2), "doc_id") == sorted([(3,), (11,), (11,), (12,)], key=repr)
+
+
+def test_table_loaded_twice(spark):
+    """The pipeline's exact stage keeps one of the rows equal in id and text."""
+    twice = documents(spark, rows() + rows())
+    once = corpus_pipeline.exact(spark, twice, None)
+    assert once.columns == twice.columns
+    want = {}
+    for i, t, *_ in rows():
+        want[t or ""] = max(number(i), want.get(t or "", number(None)))
+    assert sorted((number(r.doc_id), r.text or "") for r in once.collect()) == sorted((i, t) for t, i in want.items())
+    assert once.drop("text").count() == corpus_pipeline.exact(spark, once, None).count()
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (5, 5), (None, 4), (20, 1)] + [(100 + k, 101 + k) for k in range(40)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
