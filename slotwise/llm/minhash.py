@@ -130,14 +130,22 @@ def flip(x: Column) -> Column:
     return x.bitwiseXOR(F.lit(NO_ID))
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """id, set (bytes of the sorted hashes) of the wanted ids, and of the few others that a bitmap of BITS bits lets through."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
-    bits = wanted.select(bit("id").alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("map"))
+def bit_of(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(BITS))
+
+
+def bitmap(wanted: DataFrame) -> bytes:
+    """BITS bits, of which those of the wanted ids are set."""
+    bits = wanted.select(bit_of("id").alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("map"))
     flat = np.zeros(BITS // 8, np.uint8)
     for r in bits.collect():
         flat[(r["k"] - 1) * 4096 : r["k"] * 4096] = np.frombuffer(r["map"], np.uint8)
-    flat = flat.tobytes()
+    return flat.tobytes()
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """id, set (bytes of the sorted hashes) of the wanted ids, and of the few others that a bitmap of BITS bits lets through."""
+    flat = bitmap(wanted)
 
     def run(batches):
         have = np.frombuffer(flat, np.uint8)
@@ -147,7 +155,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             sets = [s.tobytes() for s in shingle_sets(b.column("text").to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    made = docs.withColumn("bit", bit("id")).mapInArrow(run, "id long, set binary")
+    made = docs.withColumn("bit", bit_of("id")).mapInArrow(run, "id long, set binary")
     return stage(made.filter(F.length("set") > 0), "sets")
 
 

@@ -11,9 +11,10 @@ numbered by the size of the input, so a task's share is bounded.
 
 Hashes have 64 bits, two different windows of n are taken for equal with a chance of n * n / 2**65.
 
-Cases: a null text has no words. Texts below the window keep all words. Rows of one id are versions of one document: a
-window at the same place of another version is no repeat, and what is removed from one is removed from all. A null id
-counts as the smallest. An empty table gives an empty result. Other columns are not read.
+Cases: a null text has no words. Texts below the window keep all words. Different texts of one id are documents of their
+own, in the order of a hash of the text (the mark; 0 for ids with one text, but for those that share a bit of a bitmap of
+fixed size with another). Rows equal in id and text are one document. A null id counts as the smallest. An empty table
+gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import WORD, parts
+from slotwise.llm.common import WORD, parts, whole
 from slotwise.llm.hashing import NO_ID, mixed, windows
+from slotwise.llm.minhash import bit_of, bitmap
 
 #: Words in a window.
 WINDOW = 20
@@ -54,21 +56,23 @@ def unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
 
 
-def pack(ids: np.ndarray, places: np.ndarray) -> tuple[bytes, bytes]:
-    """Ids and places, sorted by id and then place: differences."""
+def pack(ids: np.ndarray, marks: np.ndarray, places: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Ids, marks and places, sorted in this order: differences."""
     step = np.diff(ids, prepend=ids[:1]).view(np.uint64)
-    within = np.where(step == 0, np.diff(places, prepend=0), places)
+    other = np.diff(marks, prepend=marks[:1]).view(np.uint64)
+    within = np.where((step == 0) & (other == 0), np.diff(places, prepend=0), places)
     within[:1] = places[:1]
-    return planes(np.concatenate((ids[:1].view(np.uint64), step[1:]))), planes(within.astype(np.uint32))
+    steps = (planes(np.concatenate((x[:1].view(np.uint64), d[1:]))) for x, d in ((ids, step), (marks, other)))
+    return *steps, planes(within.astype(np.uint32))
 
 
-def unpack(ids: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
-    step, within = unplanes(ids, np.uint64), unplanes(places, np.uint32).astype(np.int64)
+def unpack(ids: bytes, marks: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    step, other, within = unplanes(ids, np.uint64), unplanes(marks, np.uint64), unplanes(places, np.uint32).astype(np.int64)
     first = np.ones(len(step), bool)
-    first[1:] = step[1:] != 0
+    first[1:] = (step[1:] != 0) | (other[1:] != 0)
     total = np.cumsum(within)
     base = (total - within)[first]
-    return np.cumsum(step).view(np.int64), total - np.repeat(base, np.diff(np.append(np.flatnonzero(first), len(step))))
+    return np.cumsum(step).view(np.int64), np.cumsum(other).view(np.int64), total - np.repeat(base, np.diff(np.append(np.flatnonzero(first), len(step))))
 
 
 def by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -83,88 +87,94 @@ def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
     return (mixed(ids.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
 
 
-def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Ids and texts, sorted by id, of about CHUNK_WORDS words at a time."""
-    ids, texts, size = [], [], 0
+def chunks(batches: Iterator[pd.DataFrame], several: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Ids, marks and texts, sorted by id and mark, of about CHUNK_WORDS words at a time; a mark is 0 without the id's bit."""
+    have = np.frombuffer(several, np.uint8)
+    ids, marks, texts, size = [], [], [], 0
     for batch in batches:
-        for i, t in zip(batch["doc_id"].to_numpy(), batch["text"]):
+        bit = batch["bit"].to_numpy()
+        own = np.where(have[bit >> 3] >> (bit & 7) & 1 == 1, batch["mark"].to_numpy(), 0)
+        for i, m, t in zip(batch["doc_id"].to_numpy(), own, batch["text"]):
             ids.append(i)
+            marks.append(m)
             texts.append((t or "").encode())
             size += len(texts[-1])
             if size >= 6 * CHUNK_WORDS:
-                yield ordered(ids, texts)
-                ids, texts, size = [], [], 0
+                yield ordered(ids, marks, texts)
+                ids, marks, texts, size = [], [], [], 0
     if ids:
-        yield ordered(ids, texts)
+        yield ordered(ids, marks, texts)
 
 
-def ordered(ids: list, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    ids = np.array(ids, np.int64)
-    order = np.argsort(ids, kind="stable")
-    return ids[order], [texts[k] for k in order]
+def ordered(ids: list, marks: list, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    ids, marks = np.array(ids, np.int64), np.array(marks, np.int64)
+    order = np.lexsort((marks, ids))
+    return ids[order], marks[order], [texts[k] for k in order]
 
 
-def not_first(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Of equal hashes, those that don't have the smallest id and place."""
-    order = np.lexsort((places, ids, hashes))
-    h, i, p = hashes[order], ids[order], places[order]
+def not_first(hashes: np.ndarray, ids: np.ndarray, marks: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Of equal hashes, those that don't have the smallest id, mark and place."""
+    order = np.lexsort((places, marks, ids, hashes))
+    h = hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     at = np.flatnonzero(new)
     size = np.diff(np.append(at, len(h)))
     out = np.zeros(len(h), bool)
-    out[order] = (i != np.repeat(i[at], size)) | (p != np.repeat(p[at], size))
+    for x in (ids[order], marks[order], places[order]):
+        out[order] |= x != np.repeat(x[at], size)
     return out
 
 
-def repeated_rows(ids: np.ndarray, places: np.ndarray, groups: int) -> Iterator[tuple]:
-    order = np.lexsort((places, ids))
-    ids, places = ids[order], places[order]
+def repeated_rows(ids: np.ndarray, marks: np.ndarray, places: np.ndarray, groups: int) -> Iterator[tuple]:
+    order = np.lexsort((places, marks, ids))
+    ids, marks, places = ids[order], marks[order], places[order]
     for group, rows in by_group(group_of(ids, groups)):
-        yield group, *pack(ids[rows], places[rows])
+        yield group, *pack(ids[rows], marks[rows], places[rows])
 
 
-def sent(batches: Iterator[pd.DataFrame], window: int, bits: int, groups: int) -> Iterator[pd.DataFrame]:
+def sent(batches: Iterator[pd.DataFrame], several: bytes, window: int, bits: int, groups: int) -> Iterator[pd.DataFrame]:
     """Step 1: windows by bucket; those repeated in the task go on to step 3 by way of any bucket (no hashes)."""
     width = (64 - bits + 7) // 8
-    for ids, texts in chunks(batches):
-        h, i, p = windows(ids, texts, window)
-        again = not_first(h, i, p)
-        rows = [(g % (1 << bits), g, a, b, b"") for g, a, b in repeated_rows(i[again], p[again], groups)]
-        h, i, p = h[~again], i[~again], p[~again]
+    for ids, marks, texts in chunks(batches, several):
+        h, row, p = windows(np.arange(len(ids)), texts, window)
+        i, m = ids[row], marks[row]
+        again = not_first(h, i, m, p)
+        rows = [(g % (1 << bits), g, *packed, b"") for g, *packed in repeated_rows(i[again], m[again], p[again], groups)]
+        h, i, m, p = h[~again], i[~again], m[~again], p[~again]
         for bucket, at in by_group((h >> np.uint64(64 - bits)).astype(np.int64)):
             rest = np.ascontiguousarray(h[at]).view(np.uint8).reshape(-1, 8)[:, :width]
-            rows.append((bucket, -1, *pack(i[at], p[at]), rest.tobytes()))
-        yield pd.DataFrame(rows, columns=["bucket", "group", "ids", "places", "hashes"])
+            rows.append((bucket, -1, *pack(i[at], m[at], p[at]), rest.tobytes()))
+        yield pd.DataFrame(rows, columns=["bucket", "group", "ids", "marks", "places", "hashes"])
 
 
 def counted(rows: pd.DataFrame, bits: int, groups: int) -> pd.DataFrame:
     """Step 2: the repeated windows of a bucket."""
     done = rows[rows["group"] >= 0]
-    found = [(int(r.group), r.ids, r.places) for r in done.itertuples()]
-    got = [(*unpack(r.ids, r.places), r.hashes) for r in rows[rows["group"] < 0].itertuples()]
+    found = [(int(r.group), r.ids, r.marks, r.places) for r in done.itertuples()]
+    got = [(*unpack(r.ids, r.marks, r.places), r.hashes) for r in rows[rows["group"] < 0].itertuples()]
     if got:
         width = (64 - bits + 7) // 8
-        raw = np.frombuffer(b"".join(g[2] for g in got), np.uint8).reshape(-1, width)
+        raw = np.frombuffer(b"".join(g[3] for g in got), np.uint8).reshape(-1, width)
         h = np.zeros((len(raw), 8), np.uint8)
         h[:, :width] = raw
-        i, p = (np.concatenate([g[k] for g in got]) for k in (0, 1))
-        again = not_first(h.reshape(-1).view(np.uint64), i, p)
-        found += repeated_rows(i[again], p[again], groups)
-    return pd.DataFrame(found, columns=["group", "ids", "places"]).assign(texts=None)
+        i, m, p = (np.concatenate([g[k] for g in got]) for k in (0, 1, 2))
+        again = not_first(h.reshape(-1).view(np.uint64), i, m, p)
+        found += repeated_rows(i[again], m[again], p[again], groups)
+    return pd.DataFrame(found, columns=["group", "ids", "marks", "places"]).assign(texts=None)
 
 
-def texts_sent(batches: Iterator[pd.DataFrame], groups: int) -> Iterator[pd.DataFrame]:
+def texts_sent(batches: Iterator[pd.DataFrame], several: bytes, groups: int) -> Iterator[pd.DataFrame]:
     """Texts by group, packed."""
     import zstandard
 
-    for ids, texts in chunks(batches):
+    for ids, marks, texts in chunks(batches, several):
         rows = []
         for group, at in by_group(group_of(ids, groups)):
             own = [texts[k] for k in at]
             body = zstandard.ZstdCompressor(3).compress(b"".join(own))
-            rows.append((group, planes(ids[at]), planes(np.array([len(t) for t in own], np.uint64)), body))
-        yield pd.DataFrame(rows, columns=["group", "ids", "places", "texts"])
+            rows.append((group, planes(ids[at]), planes(marks[at]), planes(np.array([len(t) for t in own], np.uint64)), body))
+        yield pd.DataFrame(rows, columns=["group", "ids", "marks", "places", "texts"])
 
 
 def intervals(starts: np.ndarray, window: int) -> np.ndarray:
@@ -179,18 +189,19 @@ def cut(rows: pd.DataFrame, window: int):
     """Step 3: id, number of words, intervals and text of each document of a group."""
     import zstandard
 
-    marks = [unpack(r.ids, r.places) for r in rows.itertuples() if r.texts is None]
-    ids, places = (np.concatenate([m[k] for m in marks] or [np.zeros(0, np.int64)]) for k in (0, 1))
-    order = np.lexsort((places, ids))
-    ids, places = ids[order], places[order]
+    got = [unpack(r.ids, r.marks, r.places) for r in rows.itertuples() if r.texts is None]
+    ids, marks, places = (np.concatenate([g[k] for g in got] or [np.zeros(0, np.int64)]) for k in (0, 1, 2))
+    order = np.lexsort((places, marks, ids))
+    ids, marks, places = ids[order], marks[order], places[order]
     for r in rows.itertuples():
         if r.texts is None:
             continue
         body, at = zstandard.ZstdDecompressor().decompress(r.texts), 0
-        for i, n in zip(unplanes(r.ids, np.int64), unplanes(r.places, np.uint64)):
+        for i, m, n in zip(unplanes(r.ids, np.int64), unplanes(r.marks, np.int64), unplanes(r.places, np.uint64)):
             text = body[at : at + int(n)].decode()
             at += int(n)
-            lo, hi = np.searchsorted(ids, [i, i + 1]) if len(ids) else (0, 0)
+            lo, hi = np.searchsorted(ids, i), np.searchsorted(ids, i, "right")
+            lo, hi = lo + np.searchsorted(marks[lo:hi], m), lo + np.searchsorted(marks[lo:hi], m, "right")
             yield i, text, intervals(np.unique(places[lo:hi]), window)
 
 
@@ -226,9 +237,12 @@ def _run(docs: DataFrame, window: int, of, schema: str) -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = parts(spark, chars, GROUP_CHARS)
     bits = max(8, (parts(spark, chars, 5 * BUCKET_WINDOWS) - 1).bit_length())
-    marks = docs.mapInPandas(lambda b: sent(b, window, bits, groups), "bucket long, group long, ids binary, places binary, hashes binary")
-    repeated = marks.groupBy("bucket").applyInPandas(lambda r: counted(r, bits, groups), "group long, ids binary, places binary, texts binary")
-    texts = docs.mapInPandas(lambda b: texts_sent(b, groups), repeated.schema)
+    docs = docs.withColumns({"mark": F.xxhash64(whole(F.col("text"))), "bit": bit_of("doc_id")})
+    texts_of = docs.groupBy(F.col("doc_id").alias("id")).agg(F.min("mark").alias("lo"), F.max("mark").alias("hi"))
+    several = bitmap(texts_of.filter("lo <> hi"))
+    marks = docs.mapInPandas(lambda b: sent(b, several, window, bits, groups), "bucket long, group long, ids binary, marks binary, places binary, hashes binary")
+    repeated = marks.groupBy("bucket").applyInPandas(lambda r: counted(r, bits, groups), "group long, ids binary, marks binary, places binary, texts binary")
+    texts = docs.mapInPandas(lambda b: texts_sent(b, several, groups), repeated.schema)
     return texts.unionByName(repeated).groupBy("group").applyInPandas(lambda r: of(r, window), schema)
 
 

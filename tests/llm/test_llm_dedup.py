@@ -156,6 +156,23 @@ def test_substrings_of_versions(spark):
     assert substring_dedup.substring_digests(documents(spark)).count() == len(rows())
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_texts_of_one_id(spark, swap):
+    """What repeats in one text of an id is not cut from the other, which may be shorter; what both have goes from one."""
+    shared, own, short = ([f"{c}{k}" for k in range(30)] for c in "sop")
+    ids = (9, 2) if swap else (2, 9)
+    texts = [(ids[0], shared), (ids[1], own + shared), (ids[1], short)]
+    data = [(i, " ".join(t), None, None) for i, t in texts]
+    got = {(r.n_words, r.doc_id): r.n_removed for r in substring_dedup.substring_digests(documents(spark, data)).collect()}
+    assert got == {(30, ids[0]): 30 * swap, (60, ids[1]): 30 * (not swap), (30, ids[1]): 0}
+    assert (ids[1], " ".join(short)) in collected(substring_dedup.substring_dedup(documents(spark, data)), "doc_id", "text")
+    both = substring_dedup.substring_digests(documents(spark, [(1, " ".join(shared), None, None), (1, " ".join(shared + own), None, None)]))
+    assert sum(r.n_removed for r in both.collect()) == 30
+    data = [(i, "\n".join(t), None, None) for i, t in texts]
+    got = {(r.n_lines, r.doc_id): r.n_removed for r in line_dedup.line_digests(documents(spark, data)).collect()}
+    assert got == {(30, ids[0]): 30 * swap, (60, ids[1]): 30 * (not swap), (30, ids[1]): 0}
+
+
 def lines_brute(data, run):
     def solid(t):
         return [(k, line.strip(" \t\x0b\x0c\r")) for k, line in enumerate((t or "").split("\n")) if line.strip(" \t\x0b\x0c\r")]
