@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from slotwise.llm import exact_dedup, html_text, language_id, line_dedup, merkle, minhash, mixing, piece_bpe, secrets, substring_dedup
+from slotwise.llm import (
+    collocations, exact_dedup, filter_audit, html_text, language_id, line_dedup, merkle, minhash, mixing, piece_bpe, secrets,
+    substring_dedup, url_filter,
+)
 from slotwise.llm.common import table
 
 
@@ -46,11 +49,24 @@ def op10_fingerprints(spark, sf_dir):
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.listed_hosts(pages))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_mixing, op3_sentencepiece, op4_line_dedup, op5_html_extraction, op6_minhash, op7_exact_dedup,
-        op8_substring_dedup, op9_secret_scans, op10_fingerprints,
+        op8_substring_dedup, op9_secret_scans, op10_fingerprints, op11_collocations, op12_filter_audit, op13_url_filters,
     )
 }
 
@@ -175,4 +191,94 @@ ORACLES = {
             from flat f left join gone g on f.doc_id = g.doc_id and f.i = g.i group by f.doc_id)
         select d.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
         from words d left join kept k on d.doc_id = k.doc_id""",
+    "op11_collocations": r"""
+        with docs as (
+            select row_number() over () as d, coalesce(lang, 'und') as lang,
+                regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as pieces
+            from documents),
+        words as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from (select lang, unnest(pieces) as piece from docs)),
+        sizes as (select unnest([1, 2, 3]) as size),
+        starts as (
+            select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from words, sizes where len(w) >= size),
+        f as (
+            select lang, array_to_string(w[i:i + size - 1], ' ') as phrase, size, count(*) as n from starts group by all),
+        totals as (select lang, sum(n)::bigint as n from f where size = 1 group by lang),
+        cand as (select lang, phrase, size, n as a, string_split(phrase, ' ') as w from f where size >= 2 and n >= 10),
+        cuts as (
+            select lang, phrase, size, a, k, array_to_string(w[1:k], ' ') as first_part, array_to_string(w[k + 1:], ' ') as rest
+            from (select *, unnest(range(1, size)) as k from cand)),
+        scored as (
+            select c.lang, c.phrase, c.a, c.k, x.n as l, y.n as r,
+                ((1000000::hugeint * c.a * c.a) // (x.n::hugeint * y.n::hugeint))::bigint as score
+            from cuts c join f x on c.lang = x.lang and c.first_part = x.phrase join f y on c.lang = y.lang and c.rest = y.phrase),
+        chosen as (
+            select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+        inner_parts as (
+            select lang, a, array_to_string(w[1:2], ' ') as part from cand where size = 3
+            union all select lang, a, array_to_string(w[2:3], ' ') from cand where size = 3),
+        longest as (select lang, part, max(a) as most from inner_parts group by lang, part),
+        stays as (
+            select c.* from chosen c left join longest m on c.lang = m.lang and c.phrase = m.part
+            where m.most is null or 100 * m.most < 50 * c.a),
+        ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from stays)
+        select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score from ranked r join totals t on r.lang = t.lang where r.rank <= 2000""",
+    "op12_filter_audit": r"""
+        with texts as (
+            select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+            from documents),
+        good as (select distinct doc_id from labels where quality = 1),
+        bad as (select distinct doc_id from labels where toxic = 1),
+        docs as (
+            select part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                    100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+                    coalesce(doc_id > min(doc_id) over (partition by t), false)] as fails,
+                (doc_id in (select doc_id from good))::int as good, (doc_id in (select doc_id from bad))::int as toxic
+            from texts),
+        kinds as (
+            select part, fails, count(*) as n, coalesce(sum(good), 0)::bigint as good, coalesce(sum(toxic), 0)::bigint as toxic
+            from docs group by part, fails),
+        names as (select unnest(range(1, 6)) as f),
+        orders as (
+            select [a.f, b.f, c.f, d.f, e.f] as o from names a, names b, names c, names d, names e
+            where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+        steps as (select o, unnest(range(1, 6)) as step from orders),
+        seen as (
+            select part, o, step, o[step] as f, n, good, toxic, fails[o[step]] as hit,
+                len(list_filter(o[1:step - 1], lambda i: fails[i])) > 0 as gone, len(list_filter(fails, lambda x: x)) as n_fails
+            from kinds, steps),
+        counts as (
+            select part, array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') as filter_order, step::int as step, f,
+                coalesce(sum(n) filter (not hit and not gone), 0)::bigint as kept,
+                coalesce(sum(n) filter (hit and not gone), 0)::bigint as removed,
+                coalesce(sum(n) filter (hit and gone), 0)::bigint as redundant,
+                coalesce(sum(n) filter (hit and n_fails = 1), 0)::bigint as unique_fails,
+                coalesce(sum(good) filter (hit and not gone), 0)::bigint as good_lost,
+                coalesce(sum(toxic) filter (hit and not gone), 0)::bigint as toxic_lost
+            from seen group by part, o, step, f)
+        select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) over (partition by part, f))::bigint as shapley
+        from counts""",
+    "op13_url_filters": r"""
+        with hosts as (
+            select page_id,
+                translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+            from pages),
+        ruled as (
+            select *, case
+                when ('.' || host) like '%.example.net' and path like '/en/%' then 'example.net/en/'
+                when ('.' || host) like '%.example.com' and path like '/de/%' then 'example.com/de/'
+                when ('.' || host) like '%.org' and path like '/fr/%' then 'org/fr/'
+                when ('.' || host) like '%.net' and path like '/%' then 'net/' end as rule
+            from hosts)
+        select page_id, host, path, rule,
+            case when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
+                when list_has_any(string_split_regex(host, '[.-]'),
+                    ['ads', 'adult', 'bets', 'casino', 'pills', 'poker', 'porn', 'spam', 'track', 'xxx']) then 'block'
+                else 'allow' end as verdict
+        from ruled""",
 }

@@ -16,14 +16,15 @@ from slotwise.llm.queries import ORACLES, QUERIES
 
 def test_registered():
     names = {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES}
-    assert names == set(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert names == set(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "minhash", "mixing", "sentencepiece"]
 
 
 @pytest.mark.parametrize("name", ORACLES)
 def test_against_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{os.path.join(sf_dir, 'documents.parquet')}'")
+    for view in ("documents", "labels", "pages"):
+        con.execute(f"create view {view} as select * from '{os.path.join(sf_dir, view + '.parquet')}'")
     want = con.execute(ORACLES[name]).df()
     got = QUERIES[name](spark, sf_dir).toPandas()
     columns = sorted(want.columns)
