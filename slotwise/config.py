@@ -16,10 +16,14 @@ class ModelConfig:
     subsample: float = 0.75
     feature_fraction: str = "0.7"
     min_instances: int = 10
+    l1: float = 15.0
     l2: float = 20.0
     seed: int = 42
     target_transform: bool = True
     use_cv: bool = True
+    optimize: bool = True
+    use_ensemble: bool = False
+    ensemble_members: tuple[str, ...] = ("boosted", "forest", "ridge")
     folds: int = 5
     rows_per_fold: int = 10  # programs with fewer rows than folds * rows_per_fold get a tail split
     validation_share: float = 0.2

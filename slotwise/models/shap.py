@@ -3,8 +3,9 @@
 A leaf contributes value * prod(follows) over the features on its path, where an
 unknown feature counts with the share of training rows that went the leaf's
 way. For such a product the Shapley value of a feature is a weighted sum of
-elementary symmetric polynomials of the other features on the path, so a batch
-of rows is evaluated leaf by leaf with array arithmetic. See Lundberg et al.,
+elementary symmetric polynomials of the other features on the path. It depends on
+the row only by which features of the path it follows: a leaf with d of them has a
+table of 2^d patterns, and a row looks its pattern up. See Lundberg et al.,
 "Consistent Individualized Feature Attribution for Tree Ensembles".
 """
 
@@ -22,7 +23,6 @@ from pyspark.sql.types import AtomicType
 from slotwise.functions.numbers import from_target_space, publishable
 from slotwise.operators.drivers import contributions
 
-MAX_NODES_PER_PASS = 2_000_000
 GROUP_ROWS = 20_000  # rows of a program that a worker holds at a time, about
 NODE_COLUMNS = ["program_id", "tree", "weight", "node", "left", "right", "feature", "threshold", "value", "cover"]
 
@@ -51,62 +51,51 @@ def leaves_of(nodes: pd.DataFrame, names: Sequence[str]) -> list[tuple]:
     return out
 
 
+def pattern_table(value: float, shares: Sequence[float]) -> np.ndarray:
+    """Impact of each feature of a path (columns) for each pattern of followed features (rows; bit j is feature j)."""
+    d = len(shares)
+    follows = np.arange(1 << d)[:, None] >> np.arange(d) & 1
+    order = [factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)]
+    out = np.zeros((1 << d, d))
+    for i in range(d):
+        poly = [np.ones(1 << d)]  # poly[s]: sum over subsets of size s of the other features
+        for j in range(d):
+            if j == i:
+                continue
+            grown = [p * shares[j] for p in poly] + [np.zeros(1 << d)]
+            for s, p in enumerate(poly):
+                grown[s + 1] = grown[s + 1] + p * follows[:, j]
+            poly = grown
+        out[:, i] = value * (follows[:, i] - shares[i]) * sum(o * p for o, p in zip(order, poly))
+    return out
+
+
 def explain_rows(x: np.ndarray, leaves: list[tuple]) -> tuple[np.ndarray, np.ndarray, float]:
     """(impacts n x k, raw prediction n, base value) for the rows of x."""
-    n, k = x.shape
-    impacts, raw, base = np.zeros((n, k)), np.zeros(n), 0.0
+    columns = np.ascontiguousarray(x.T)
+    k, n = columns.shape
+    impacts, raw, base = np.zeros((k, n)), np.zeros(n), 0.0
     for value, path in leaves:
-        d = len(path)
         shares = [p[3] for p in path]
         base += value * float(np.prod(shares))
-        if d == 0:
-            raw += value
-            continue
-        follows = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi, _ in path]
-        raw += value * np.prod(follows, axis=0)
-        order = [factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)]
-        for i in range(d):
-            poly = [np.ones(n)]  # poly[s]: sum over subsets of size s of the other features
-            for j in range(d):
-                if j == i:
-                    continue
-                grown = [p * shares[j] for p in poly] + [np.zeros(n)]
-                for s, p in enumerate(poly):
-                    grown[s + 1] = grown[s + 1] + p * follows[j]
-                poly = grown
-            weight = sum(o * p for o, p in zip(order, poly))
-            impacts[:, path[i][0]] += value * (follows[i] - shares[i]) * weight
-    return impacts, raw, base
+        pattern = np.zeros(n, np.int64)
+        for j, (f, low, high, _) in enumerate(path):
+            pattern |= ((columns[f] > low) & (columns[f] <= high)).astype(np.int64) << j
+        raw += value * (pattern == (1 << len(path)) - 1)
+        for (f, *_), impact in zip(path, pattern_table(value, shares).T):
+            impacts[f] += impact[pattern]
+    return impacts.T, raw, base
 
 
 def explain_trees(df: DataFrame, nodes: DataFrame, features: dict[int, Sequence[str]], attribute: bool = True) -> DataFrame:
     """Adds features, impacts, base_value and raw_value; programs without a model drop out.
 
-    A worker reads the nodes of one program next to some of its rows; no node
-    comes to the driver but their number. Larger sets are split into several
-    passes over disjoint programs.
+    Rows are dealt by (program, salt), about GROUP_ROWS to a group; a program's nodes go to each of its groups, so a worker
+    reads the nodes of one program next to some of its rows. No node comes to the driver.
     """
     lacking = {p: sorted(set(fs) - set(df.columns)) for p, fs in features.items()}
     if any(lacking.values()):
         raise ValueError("features that the models expect and the rows lack: " + "; ".join(f"program {p}: {', '.join(fs)}" for p, fs in sorted(lacking.items()) if fs))
-    sizes = {r["program_id"]: r["n"] for r in nodes.groupBy("program_id").agg(F.count("*").alias("n")).collect()}
-    passes: list[list[int]] = [[]]
-    load = 0
-    for p in sorted(p for p in sizes if p in features):
-        if passes[-1] and load + sizes[p] > MAX_NODES_PER_PASS:
-            passes.append([])
-            load = 0
-        passes[-1].append(p)
-        load += sizes[p]
-    parts = [_one_pass(df, nodes, {p: list(features[p]) for p in ps}, attribute) for ps in passes]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _one_pass(df: DataFrame, nodes: DataFrame, features: dict[int, list[str]], attribute: bool) -> DataFrame:
-    """Rows are dealt by (program, salt), about GROUP_ROWS to a group; a program's nodes go to each of its groups."""
     programs = sorted(features)
     used = sorted({f for fs in features.values() for f in fs})
     rows = df.where(F.col("program_id").isin(programs))
@@ -122,7 +111,8 @@ def _one_pass(df: DataFrame, nodes: DataFrame, features: dict[int, list[str]], a
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def work(key: tuple, part: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        names = features[int(key[0])]
+        names = list(features[int(key[0])])
+        part = part if len(own) else part.head(0)  # no model, no row
         leaves = leaves_of(own, names)
         x = part[[f"_in_{f}" for f in names]].to_numpy(dtype="float64")
         impacts, raw, base = explain_rows(x, leaves) if attribute else (None, score_rows(x, leaves), 0.0)

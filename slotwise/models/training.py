@@ -6,13 +6,13 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise import catalog
 from slotwise.config import EngineConfig, ModelConfig
-from slotwise.functions.numbers import clip, from_target_space, total
-from slotwise.models import trees
+from slotwise.functions.numbers import clip, from_target_space, to_target_space, total
+from slotwise.models.boosting import NODE_SCHEMA, Grown, Prepared, Span, Unit, grow, prepare
 from slotwise.models.linear import linear_per_program
 from slotwise.models.shap import explain_trees
 from slotwise.operators import metrics
@@ -22,6 +22,8 @@ from slotwise.operators.reports import feature_sets, union_programs
 from slotwise.operators.splits import head_tail_split
 from slotwise.sources.stages import staged
 
+IMPORTANCES = "program_id int, position int, feature string, importance double"
+
 
 @dataclass(frozen=True)
 class Trained:
@@ -40,38 +42,46 @@ def _transform(cfg: EngineConfig) -> bool:
     return cfg.model.target_transform and cfg.target != "sl_residual"
 
 
-def train_per_program(
-    rows: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, weight_col: str | None = None,
-    parallelism: int = 4, tuned: Mapping[int, ModelConfig] | None = None,
-) -> Trained:
-    """One boosted regressor per program over all its rows. Eager: runs the fits.
+def label(cfg: EngineConfig) -> Column:
+    return to_target_space(cfg.target) if _transform(cfg) else F.col(cfg.target).cast("double")
 
-    `tuned` overrides the model parameters of single programs.
-    """
-    spark = rows.sparkSession
 
-    def fit(data: trees.FitData):
-        model = trees.boosted((tuned or {}).get(data.program_id, cfg.model), weight_col).fit(data.labelled(cfg.target, _transform(cfg)))
-        return (
-            trees.node_table(spark, model, data.program_id, data.features),
-            trees.importance_table(spark, model, data.program_id, data.features),
-        )
+Tuned = Mapping[int, ModelConfig] | None
 
-    fitted = trees.per_program(rows, features, fit, parallelism)
-    if not fitted:
-        return Trained(
-            spark.createDataFrame([], trees.NODE_SCHEMA),
-            spark.createDataFrame([], "program_id int, position int, feature string, importance double"),
-            {},
-        )
-    return Trained(
-        union_programs([n for n, _ in fitted.values()]),
-        union_programs([i for _, i in fitted.values()]),
-        {p: list(f) for p, f in features.items()},
-    )
+
+def final_units(features: Mapping[int, Sequence[str]], cfg: EngineConfig, tuned: Tuned = None, span: Span = Span()) -> list[Unit]:
+    """The model of each program; `tuned` overrides the parameters of single programs."""
+    return [Unit(int(p), tuple(fs), (tuned or {}).get(p, cfg.model), span) for p, fs in sorted(features.items())]
+
+
+def fold_units(features: Mapping[int, Sequence[str]], cfg: EngineConfig, k: int, tuned: Tuned = None, trial: int = 0) -> list[Unit]:
+    """One unit per program and expanding-window fold."""
+    return [replace(u, span=Span(i, k), trial=trial) for u in final_units(features, cfg, tuned) for i in range(k)]
 
 
-CARRIED = [*catalog.KEYS, "slot_ts", "sl_actual", "sl_plan", "sl_residual", "vol_plan", "vol_actual", "part", "role", "fold", "_program"]
+def trained(grown: Grown | None, features: Mapping[int, Sequence[str]], spark: SparkSession) -> Trained:
+    """Nodes of a run, and the share of each feature in the gain of its program's trees."""
+    if grown is None:
+        return Trained(spark.createDataFrame([], NODE_SCHEMA), spark.createDataFrame([], IMPORTANCES), {})
+    nodes = staged(grown.nodes(), "nodes")
+    inputs = spark.createDataFrame([(int(p), i, f) for p, fs in features.items() for i, f in enumerate(fs)], "program_id int, position int, feature string")
+    gains = nodes.where("feature IS NOT NULL").groupBy("program_id", "feature").agg(F.sum("gain").alias("gain"))
+    every = gains.groupBy("program_id").agg(F.sum("gain").alias("total"))
+    found = inputs.join(gains, ["program_id", "feature"], "left").join(every, "program_id", "left")
+    share = F.coalesce(F.col("gain") / F.col("total"), F.lit(0.0))
+    return Trained(nodes, found.select("program_id", "position", "feature", share.alias("importance")), {p: list(f) for p, f in features.items()})
+
+
+def train_per_program(
+    rows: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, weight_col: str | None = None, tuned: Tuned = None,
+) -> Trained:
+    """One boosted regressor per program over all its rows, all grown in the same passes. Eager."""
+    weight = F.col(weight_col) if weight_col else None
+    grown = grow(prepare(rows, features, label(cfg), weight), final_units(features, cfg, tuned)) if features else None
+    return trained(grown, features, rows.sparkSession)
+
+
+CARRIED = [*catalog.KEYS, "slot_ts", "sl_actual", "sl_plan", "sl_residual", "vol_plan", "vol_actual", "part", "role", "fold"]
 
 
 def predict(rows: DataFrame, model: Trained, cfg: EngineConfig, clipped: bool = True) -> DataFrame:
@@ -88,48 +98,37 @@ def predict(rows: DataFrame, model: Trained, cfg: EngineConfig, clipped: bool =
     return out.withColumn("sl_pred", level).drop("features", "impacts", "base_value", "raw_value")
 
 
+def fold_metrics(grown: Grown, cfg: EngineConfig) -> DataFrame:
+    """R2 and MAE by program, trial and fold, on the original scale and not clipped."""
+    spark = grown.fold_scores.sparkSession
+    units = [(i, u.program_id, u.trial, u.span.fold) for i, u in enumerate(grown.units) if u.span.fold >= 0]
+    named = spark.createDataFrame(units, "_unit int, program_id int, trial int, fold int")
+    level = (lambda c: from_target_space(c)) if _transform(cfg) else F.col
+    scored = grown.fold_scores.join(named, F.col("unit") == F.col("_unit")).withColumns({"_y": level("y"), "sl_pred": level("score")})
+    return scored.groupBy("program_id", "trial", "fold").agg(
+        F.count("*").alias("n_rows"), metrics.r2("_y", "sl_pred").alias("r2"), F.avg(F.abs(F.col("_y") - F.col("sl_pred"))).alias("mae"),
+    )
+
+
 def time_series_cv(
-    rows: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, folds: int | None = None,
-    parallelism: int = 4, tuned: Mapping[int, ModelConfig] | None = None,
+    rows: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, folds: int | None = None, tuned: Tuned = None,
 ) -> DataFrame:
-    """R2 and MAE of every expanding-window fold, on the original scale and not clipped. Eager.
+    """R2 and MAE of every expanding-window fold. Eager.
 
-    Every (program, fold) is one fit; all of them share one pool of job
-    submitters and one scoring pass.
+    A fold is a bound on the row number, and every (program, fold) is a unit of one run: no row is copied.
     """
-    k = folds or cfg.model.folds
-    folded = staged(time_folds(rows, k), "folds", "program_id")
-    keys = {p * k + i: (p, i) for p in features for i in range(k)}
-    train = folded.where(F.col("role") == "train")
-    units = {
-        key: (train.where((F.col("program_id") == p) & (F.col("fold") == i)), features[p])
-        for key, (p, i) in keys.items()
-    }
-    spark = rows.sparkSession
-
-    def fit(data: trees.FitData):
-        params = (tuned or {}).get(data.program_id // k, cfg.model)
-        model = trees.boosted(params).fit(data.labelled(cfg.target, _transform(cfg)))
-        return trees.node_table(spark, model, data.program_id, data.features)
-
-    nodes = union_programs(list(trees.per_key(units, fit, parallelism).values()))
-    # Fold models are keyed by program * k + fold, and so are the rows they score.
-    tests = folded.where((F.col("role") == "test") & F.col("program_id").isin(list(features)))
-    tests = tests.withColumns(
-        {"_program": F.col("program_id"), "program_id": (F.col("program_id") * k + F.col("fold")).cast("int")}
-    )
-    model = Trained(nodes, nodes, {key: list(features[p]) for key, (p, _) in keys.items()})
-    scored = predict(tests, model, cfg, clipped=False)
-    y = F.col(cfg.target)
-    return scored.withColumns({"_y": y, "program_id": F.col("_program")}).groupBy("program_id", "fold").agg(
-        F.count("*").alias("n_rows"), metrics.r2("_y", "sl_pred").alias("r2"),
-        F.avg(F.abs(F.col("_y") - F.col("sl_pred"))).alias("mae"),
-    )
+    grown = grow(prepare(rows, features, label(cfg)), fold_units(features, cfg, folds or cfg.model.folds, tuned), keep=lambda u: False)
+    return fold_metrics(grown, cfg).drop("trial")
 
 
-# Search ranges. Penalties without a twin in Spark ML map to the
-# smallest node size and smallest gain.
-SEARCH = {"trees": (50, 300), "depth": (3, 7), "step": (0.01, 0.2), "min_instances": (1, 20), "feature": (0.5, 1.0), "subsample": (0.5, 1.0)}
+# Search ranges.
+SEARCH = {
+    "trees": (50, 300), "depth": (3, 7), "step": (0.01, 0.2), "min_instances": (1, 20), "l1": (0.0, 30.0), "l2": (0.0, 30.0),
+    "feature": (0.5, 1.0), "subsample": (0.5, 1.0),
+}
+#: After so many trees the better half of a program's trials goes on.
+RUNGS = (25, 75, 150)
+TUNED = ("trees", "depth", "step", "min_instances", "l1", "l2", "feature_fraction", "subsample")
 
 
 def search_space(trials: int, seed: int, base: ModelConfig, tree_range: tuple[int, int] | None = None) -> list[ModelConfig]:
@@ -145,6 +144,8 @@ def search_space(trials: int, seed: int, base: ModelConfig, tree_range: tuple[in
                 depth=rng.randint(*SEARCH["depth"]),
                 step=step_low * (step_high / step_low) ** rng.random(),
                 min_instances=rng.randint(*SEARCH["min_instances"]),
+                l1=rng.uniform(*SEARCH["l1"]),
+                l2=rng.uniform(*SEARCH["l2"]),
                 feature_fraction=f"{rng.uniform(*SEARCH['feature']):.3f}",
                 subsample=rng.uniform(*SEARCH["subsample"]),
             )
@@ -154,35 +155,39 @@ def search_space(trials: int, seed: int, base: ModelConfig, tree_range: tuple[in
 
 def param_search(
     rows: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, trials: int | None = None,
-    tree_range: tuple[int, int] | None = None, parallelism: int = 4,
+    tree_range: tuple[int, int] | None = None, prepared: Prepared | None = None,
 ) -> DataFrame:
-    """Seeded random search: mean fold MAE of every trial, with the best one per program marked. Eager."""
-    space = search_space(trials or cfg.model.search_trials, cfg.model.seed, cfg.model, tree_range)
-    results = []
-    for i, m in enumerate(space):
-        scores = time_series_cv(rows, features, replace(cfg, model=m), m.search_folds, parallelism)
-        results.append(
-            scores.groupBy("program_id").agg(F.avg("mae").alias("cv_mae")).select(
-                "program_id", F.lit(i).alias("trial"), "cv_mae", F.lit(m.trees).alias("trees"),
-                F.lit(m.depth).alias("depth"), F.lit(m.step).alias("step"),
-                F.lit(m.min_instances).alias("min_instances"), F.lit(m.feature_fraction).alias("feature_fraction"),
-                F.lit(m.subsample).alias("subsample"),
-            )
-        )
-    table = staged(union_programs(results), "search")
-    best = table.groupBy("program_id").agg(F.min_by("trial", F.struct("cv_mae", "trial")).alias("best"))
-    return table.join(best, "program_id").withColumn("is_best", F.col("trial") == F.col("best")).drop("best")
+    """Seeded random search by successive halving: mean fold MAE of every trial, the best one per program marked. Eager.
+
+    All trials of all programs and folds are units of one run for each rung. After a rung the better half of a program's
+    trials, by their fold scores so far, goes on; a trial that stops keeps the score it had (`grown` trees). Only complete
+    trials can win.
+    """
+    spark, space = rows.sparkSession, search_space(trials or cfg.model.search_trials, cfg.model.seed, cfg.model, tree_range)
+    prepared = prepared or prepare(rows, features, label(cfg))
+    alive = {int(p): list(range(len(space))) for p in features}
+    found: dict[tuple[int, int], tuple[float, int]] = {}
+    most = max(m.trees for m in space)
+    for rung in [*[r for r in RUNGS if r < most], most]:
+        units = [
+            u for t, m in enumerate(space) for u in fold_units(features, replace(cfg, model=replace(m, trees=min(m.trees, rung))), m.search_folds, trial=t)
+            if t in alive[u.program_id] and found.get((u.program_id, t), (0, 0))[1] < m.trees
+        ]
+        scores = fold_metrics(grow(prepared, units, keep=lambda u: False), cfg).groupBy("program_id", "trial").agg(F.avg("mae").alias("cv_mae"))
+        found |= {(r["program_id"], r["trial"]): (r["cv_mae"], min(rung, space[r["trial"]].trees)) for r in scores.collect()}
+        for p, ts in alive.items():
+            alive[p] = sorted(ts, key=lambda t: (found.get((p, t), (float("inf"), 0))[0], t))[: (len(ts) + 1) // 2]
+    kinds = {"trees": "int", "depth": "int", "min_instances": "int", "feature_fraction": "string"}
+    schema = ", ".join(["program_id int, trial int, cv_mae double, grown int", *[f"{c} {kinds.get(c, 'double')}" for c in TUNED]])
+    rows_of = [(p, t, mae, n, *[getattr(space[t], c) for c in TUNED]) for (p, t), (mae, n) in sorted(found.items())]
+    table = spark.createDataFrame(rows_of, schema).withColumn("complete", F.col("grown") == F.col("trees"))
+    best = table.where("complete").groupBy("program_id").agg(F.min_by("trial", F.struct("cv_mae", "trial")).alias("best"))
+    return table.join(best, "program_id").withColumn("is_best", F.col("complete") & (F.col("trial") == F.col("best"))).drop("best")
 
 
 def best_params(search: DataFrame, base: ModelConfig) -> dict[int, ModelConfig]:
     """Winning parameters per program; one driver row per program."""
-    return {
-        r["program_id"]: replace(
-            base, trees=r["trees"], depth=r["depth"], step=r["step"], min_instances=r["min_instances"],
-            feature_fraction=r["feature_fraction"], subsample=r["subsample"],
-        )
-        for r in search.where("is_best").collect()
-    }
+    return {r["program_id"]: replace(base, **{c: r[c] for c in TUNED}) for r in search.where("is_best").collect()}
 
 
 def weighted_sum(df: DataFrame, members: Sequence[str], weights: Sequence[float], out: str = "sl_pred") -> DataFrame:
@@ -192,29 +197,46 @@ def weighted_sum(df: DataFrame, members: Sequence[str], weights: Sequence[float]
     return df.withColumn(out, total([F.col(m) * F.lit(w / norm) for m, w in zip(members, used)]))
 
 
+MEMBERS = ("boosted", "forest", "ridge")
+SCORED = ["features", "impacts", "base_value", "raw_value"]
+
+
+def forest_units(features: Mapping[int, Sequence[str]], cfg: EngineConfig) -> list[Unit]:
+    """Half the trees, two levels deeper (at most 10), all features at every split, rows drawn with replacement; the trees are averaged."""
+    n, depth = max(1, int(cfg.model.trees * 0.5)), min(cfg.model.depth + 2, 10)
+    own = {"member": "forest", "objective": "squared", "bootstrap": True, "trees": 1, "depth": depth, "step": 1.0 / n, "l1": 0.0, "l2": 0.0}
+    return [replace(u, **own, first_tree=t) for u in final_units(features, cfg) for t in range(n)]
+
+
+def member_scores(test: DataFrame, nodes: DataFrame, member: str, features: Mapping[int, Sequence[str]]) -> DataFrame:
+    """test with the raw value of one member as a column of its name."""
+    scored = explain_trees(test, nodes.where(F.col("member") == member), dict(features), attribute=False)
+    return scored.withColumn(member, F.col("raw_value")).drop(*SCORED)
+
+
 def ensemble(
-    train: DataFrame, test: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig, parallelism: int = 4
+    train: DataFrame, test: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig,
+    members: Sequence[str] | None = None, weights: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Boosted + forest + standardised ridge, fitted on `train`, predicted on `test`. Eager."""
-    spark = train.sparkSession
-
-    def fit(data: trees.FitData):
-        rows = data.labelled(cfg.target, False)
-        return [
-            trees.node_table(spark, trees.boosted(cfg.model).fit(rows), data.program_id, data.features, "boosted"),
-            trees.node_table(spark, trees.forest(cfg.model).fit(rows), data.program_id, data.features, "forest"),
-        ]
+    """Members fitted on `train` and predicted on `test`, each as a column, and their weighted mean. Eager.
 
-    fitted = trees.per_program(train, features, fit, parallelism)
-    if not fitted:
-        return add_linear(test, train, cfg, "ridge", cfg.model.l2).limit(0).withColumns({c: F.lit(None).cast("double") for c in ("boosted", "forest", "sl_pred")})
-    nodes = union_programs([n for pair in fitted.values() for n in pair])
-    out = test
-    for member in ("boosted", "forest"):
-        scored = explain_trees(out, nodes.where(F.col("member") == member), dict(features), attribute=False)
-        out = scored.withColumn(member, F.col("raw_value")).drop("features", "impacts", "base_value", "raw_value")
-    out = add_linear(out, train, cfg, "ridge", cfg.model.l2)
-    return weighted_sum(out, ["boosted", "forest", "ridge"], cfg.model.ensemble_weights)
+    `members` is any list of boosted, forest and ridge; the last weight serves those without one. Boosting and forests of all
+    programs grow in one run; a forest tree is a unit of one tree.
+    """
+    members = list(cfg.model.ensemble_members if members is None else members)
+    if not members or set(members) - set(MEMBERS):
+        raise ValueError(f"members are some of {', '.join(MEMBERS)}")
+    if not features:
+        return test.limit(0).withColumns({c: F.lit(None).cast("double") for c in (*members, "sl_pred")})
+    units = final_units(features, cfg) * ("boosted" in members) + (forest_units(features, cfg) if "forest" in members else [])
+    out = test.where(F.col("program_id").isin(sorted(features)))
+    if units:
+        nodes = staged(grow(prepare(train, features, F.col(cfg.target).cast("double")), units).nodes(), "nodes")
+        for member in [m for m in MEMBERS[:2] if m in members]:
+            out = member_scores(out, nodes, member, features)
+    if "ridge" in members:
+        out = add_linear(out, train, cfg, "ridge", cfg.model.l2)
+    return weighted_sum(out, members, cfg.model.ensemble_weights if weights is None else weights)
 
 
 def add_linear(out: DataFrame, train: DataFrame, cfg: EngineConfig, name: str, ridge: float) -> DataFrame:
@@ -227,50 +249,35 @@ def add_linear(out: DataFrame, train: DataFrame, cfg: EngineConfig, name: str, r
 
 def two_stage(
     train: DataFrame, test: DataFrame, features: Mapping[int, Sequence[str]], cfg: EngineConfig,
-    route: str = "predicted", min_below: int = 10, parallelism: int = 4,
+    route: str = "predicted", min_below: int = 10,
 ) -> DataFrame:
     """Classifier 'below full service' first, then a regressor fitted on rows below 1.
 
     route='predicted' sends a row to the regressor by the classifier's vote;
     route='label' uses the true label of the test row. Programs with fewer than
-    `min_below` rows below 1 use one plain regressor. Eager.
+    `min_below` rows below 1 use one plain regressor. Eager: classifiers and regressors grow in one run.
     """
     if route not in ("predicted", "label"):
         raise ValueError("route is 'predicted' or 'label'")
-    spark = train.sparkSession
-    y = F.col(cfg.target)
-    below = {r["program_id"]: r["n"] for r in train.groupBy("program_id").agg(F.count_if(y < 1).alias("n")).collect()}
-
-    def fit(data: trees.FitData):
-        rows = data.labelled(cfg.target, False)
-        staged_fit = below.get(data.program_id, 0) >= min_below
-        reg_rows = rows.where(F.col(trees.LABEL) < 1) if staged_fit else rows
-        reg = trees.boosted(cfg.model).fit(reg_rows)
-        out = [trees.node_table(spark, reg, data.program_id, data.features, "regressor")]
-        if staged_fit and below[data.program_id] < rows.count():
-            votes = rows.withColumn(trees.LABEL, (F.col(trees.LABEL) < 1).cast("double"))
-            clf = trees.classifier(cfg.model).fit(votes)
-            out.append(trees.node_table(spark, clf, data.program_id, data.features, "classifier"))
-        return out
-
-    fitted = trees.per_program(train, features, fit, parallelism)
-    if not fitted:
+    if not features:
         return test.limit(0).withColumns({"sl_pred": F.lit(None).cast("double")})
-    nodes = union_programs([n for pair in fitted.values() for n in pair])
-    plain = [p for p in features if below.get(p, 0) < min_below]
-    drop = ["features", "impacts", "base_value", "raw_value"]
-    out = explain_trees(test, nodes.where("member = 'regressor'"), dict(features), attribute=False)
-    out = out.withColumn("_reg", F.col("raw_value")).drop(*drop)
-    with_vote = sorted(r["program_id"] for r in nodes.where("member = 'classifier'").select("program_id").distinct().collect())
-    voted = out.where(F.col("program_id").isin(with_vote)) if with_vote else out.limit(0)
-    rest = out.where(~F.col("program_id").isin(with_vote)) if with_vote else out
-    if with_vote:
-        clf = nodes.where("member = 'classifier'")
-        voted = explain_trees(voted, clf, {p: features[p] for p in with_vote}, attribute=False)
-        voted = voted.withColumn("prob_below", F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("raw_value")))).drop(*drop)
-        out = voted.unionByName(rest.withColumn("prob_below", F.lit(1.0)))
+    y = F.col(cfg.target)
+    counts = {r["program_id"]: r for r in train.groupBy("program_id").agg(F.count_if(y < 1).alias("below"), F.count(y).alias("n")).collect()}
+    below = {p: counts[p]["below"] if p in counts else 0 for p in features}
+    staged_fit = {p for p in features if below[p] >= min_below}
+    voted = {p for p in staged_fit if below[p] < counts[p]["n"]}
+    units = [replace(u, member="regressor", span=Span(below=u.program_id in staged_fit)) for u in final_units(features, cfg)]
+    units += [replace(u, member="classifier", objective="logistic") for u in final_units({p: features[p] for p in voted}, cfg)]
+    nodes = staged(grow(prepare(train, features, y.cast("double")), units).nodes(), "nodes")
+    out = member_scores(test, nodes, "regressor", features).withColumnRenamed("regressor", "_reg")
+    rest = out.where(~F.col("program_id").isin(sorted(voted))).withColumn("prob_below", F.lit(1.0))
+    if voted:
+        asked = member_scores(out.where(F.col("program_id").isin(sorted(voted))), nodes, "classifier", {p: features[p] for p in voted})
+        prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("classifier")))
+        out = asked.withColumn("prob_below", prob).drop("classifier").unionByName(rest)
     else:
-        out = rest.withColumn("prob_below", F.lit(1.0))
+        out = rest
+    plain = sorted(set(features) - staged_fit)
     to_regressor = y < 1 if route == "label" else F.col("prob_below") > 0.5
     if plain:
         to_regressor = to_regressor | F.col("program_id").isin(plain)
@@ -289,12 +296,10 @@ def last_fold(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     return many.unionByName(few).drop("_size")
 
 
-def fit_rows(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """What the final model sees: all rows after cross-validation, the head of the tail split otherwise."""
-    sizes = rows.groupBy("program_id").agg(F.count("*").alias("_size"))
-    sized = head_tail_split(rows.join(sizes, "program_id"), cfg.model.validation_share)
-    folded = (F.col("_size") >= cfg.model.folds * cfg.model.rows_per_fold) & F.lit(cfg.model.use_cv)
-    return sized.where(folded | ~F.col("is_validation")).select(*rows.columns)
+def final_span(cfg: EngineConfig) -> Span:
+    """What the final model sees: all rows after cross-validation, the head of the tail split of programs too small for it."""
+    m = cfg.model
+    return Span(tail=m.validation_share, tail_below=m.folds * m.rows_per_fold if m.use_cv else float("inf"))
 
 
 def evaluate_holdout(train: DataFrame, test: DataFrame, model: Trained, cfg: EngineConfig) -> DataFrame:

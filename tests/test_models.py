@@ -88,18 +88,6 @@ def test_repeated_feature_on_a_path():
         np.testing.assert_allclose(impacts[i], shapley_by_definition(nodes, ["a", "b"], row)[0], atol=1e-12)
 
 
-def test_scores_match_spark_ml(spark, data):
-    from slotwise.models import trees
-
-    part = trees.FitData(1, data.where("program_id = 1"), tuple(FEATS))
-    rows = part.labelled("sl_actual", False)
-    for est, member in ((trees.boosted(CFG.model), "boosted"), (trees.forest(CFG.model), "forest")):
-        fitted = est.fit(rows)
-        nodes = trees.node_table(spark, fitted, 1, FEATS, member)
-        ours = score_trees(fitted.transform(rows).drop("_x"), nodes, {1: FEATS}, target_transform=False, attribute=False)
-        assert ours.select(F.max(F.abs(F.col("prediction") - F.col("raw_value")))).first()[0] < 1e-9
-
-
 def test_scoring_contract(data, model):
     extra = data.limit(5).withColumn("program_id", F.lit(3))
     out = score_trees(data.unionByName(extra), model.nodes, model.features).toPandas()
@@ -139,23 +127,13 @@ def test_registered_queries_run_the_defaults(monkeypatch):
     assert models.CFG.model == ModelConfig()
     asked = {}
     for name in ("time_series_cv", "param_search"):
-        monkeypatch.setattr(tr, name, lambda rows, features, cfg, *given, name=name: asked.update({name: given[:-1]}))
+        monkeypatch.setattr(tr, name, lambda rows, features, cfg, *given, name=name: asked.update({name: given}))
     monkeypatch.setattr(models, "train_rows", lambda s, d: None)
     monkeypatch.setattr(models, "_features", lambda s, d: None)
     monkeypatch.setattr(registry, "present", lambda df: df)
     for name in ("time_series_cv", "param_search"):
         registry.QUERIES[name](None, "")
-    assert all(x is None for given in asked.values() for x in given) and len(asked) == 2
-
-
-def test_several_passes_equal_one(data, model, monkeypatch):
-    from slotwise.models import shap
-
-    one = score_trees(data, model.nodes, model.features).select("program_id", "slot_ts", "raw_value").toPandas()
-    monkeypatch.setattr(shap, "MAX_NODES_PER_PASS", 1)
-    two = score_trees(data, model.nodes, model.features).select("program_id", "slot_ts", "raw_value").toPandas()
-    key = ["program_id", "slot_ts"]
-    pd.testing.assert_frame_equal(one.sort_values(key, ignore_index=True), two.sort_values(key, ignore_index=True))
+    assert asked == {"time_series_cv": (), "param_search": ()}
 
 
 def test_models_survive_storage(spark, model):
@@ -265,12 +243,10 @@ def test_last_fold_or_tail(data):
     assert (out[out["program_id"] == 2]["role"] == "test").sum() == 3
 
 
-def test_final_fit_rows(data):
-    short = data.where("program_id = 2").orderBy("slot_ts").limit(15)
-    rows = data.where("program_id = 1").unionByName(short)
-    assert {r.program_id: r["count"] for r in tr.fit_rows(rows, CFG).groupBy("program_id").count().collect()} == {1: 120, 2: 12}
+def test_final_span():
+    assert tr.final_span(CFG).stop(120) == 120 and tr.final_span(CFG).stop(15) == 12
     no_cv = replace(CFG, model=replace(CFG.model, use_cv=False))
-    assert {r.program_id: r["count"] for r in tr.fit_rows(rows, no_cv).groupBy("program_id").count().collect()} == {1: 96, 2: 12}
+    assert tr.final_span(no_cv).stop(120) == 96
 
 
 def test_holdout_of_residual_target(data):

@@ -27,7 +27,7 @@ def history(spark, sf_dir):
 @pytest.fixture(scope="module")
 def run(spark, sf_dir, history):
     programs = demo.plan(spark, sf_dir).select("program_id").distinct()
-    return training_run(history, programs, CFG, {900001: ["sl_lag_2"]}, True, 8, tune=True, tree_range=(1, 2))
+    return training_run(history, programs, CFG, {900001: ["sl_lag_2"]}, tree_range=(1, 2))
 
 
 def test_parts_are_disjoint_and_complete(run):
@@ -78,6 +78,6 @@ def test_benchmark_covers_the_last_days(spark, run, history):
 def test_residual_target_runs(spark, sf_dir, history):
     cfg = replace(CFG, target="sl_residual")
     programs = demo.plan(spark, sf_dir).select("program_id").distinct()
-    done = training_run(history, programs, cfg, None, False, 8)
+    done = training_run(history, programs, cfg, None, False, False)
     worst = done.metrics.where("metric = 'mae_model_test'").agg(F.max("value")).first()[0]
     assert 0 <= worst <= 1

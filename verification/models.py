@@ -15,7 +15,6 @@ from verification.sqltext import METRIC_SPEC, metric_select
 
 K = i.KEYS
 CFG = demo.config("training")
-JOBS = 8
 
 
 def train_rows(s, d):
@@ -39,20 +38,20 @@ def _halves(s, d):
 def _(s, d):
     """Boosted regressors of all programs, as saved and reloaded node tables."""
     rows = train_rows(s, d)
-    model = tr.train_per_program(rows, _features(s, d), CFG, None, JOBS)
+    model = tr.train_per_program(rows, _features(s, d), CFG)
     return tr.load_models(s, tr.save_models(model, new_stage(s, "models"))).nodes
 
 
 @check("feature_importance")
 def _(s, d):
     rows = train_rows(s, d)
-    return tr.train_per_program(rows, _features(s, d), CFG, None, JOBS).importances
+    return tr.train_per_program(rows, _features(s, d), CFG).importances
 
 
 @check("importance_report_trained")
 def _(s, d):
     rows = train_rows(s, d)
-    return metrics.importance_report(tr.train_per_program(rows, _features(s, d), CFG, None, JOBS).importances)
+    return metrics.importance_report(tr.train_per_program(rows, _features(s, d), CFG).importances)
 
 
 @check("linear_per_program", "program_id n_rows:bigint slope center base_value:double", ["clean_train"], """
@@ -72,18 +71,18 @@ def _(s, d):
 
 @check("time_series_cv")
 def _(s, d):
-    return tr.time_series_cv(train_rows(s, d), _features(s, d), CFG, None, JOBS)
+    return tr.time_series_cv(train_rows(s, d), _features(s, d), CFG)
 
 
 @check("param_search")
 def _(s, d):
-    return tr.param_search(train_rows(s, d), _features(s, d), CFG, None, None, JOBS)
+    return tr.param_search(train_rows(s, d), _features(s, d), CFG)
 
 
 @check("ensemble")
 def _(s, d):
     train, test = _halves(s, d)
-    return tr.ensemble(train, test, _features(s, d), CFG, JOBS).select(*catalog.KEYS, "boosted", "forest", "ridge", "sl_pred")
+    return tr.ensemble(train, test, _features(s, d), CFG).select(*catalog.KEYS, "boosted", "forest", "ridge", "sl_pred")
 
 
 @check("weighted_sum", f"{K} sl_pred:double", ["clean_infer"],
@@ -96,7 +95,7 @@ def _(s, d):
 @check("two_stage")
 def _(s, d):
     train, test = _halves(s, d)
-    return tr.two_stage(train, test, _features(s, d), CFG, "predicted", 10, JOBS).select(*catalog.KEYS, "prob_below", "sl_pred")
+    return tr.two_stage(train, test, _features(s, d), CFG).select(*catalog.KEYS, "prob_below", "sl_pred")
 
 
 @check("score_per_program", f"{K} raw_value sl_pred:double", ["scored_infer"], "SELECT * FROM scored_infer")
@@ -108,7 +107,7 @@ def _(s, d):
 @check("score_trees")
 def _(s, d):
     rows = train_rows(s, d)
-    model = tr.train_per_program(rows, _features(s, d), CFG, None, JOBS)
+    model = tr.train_per_program(rows, _features(s, d), CFG)
     return score_trees(rows, model.nodes, model.features, attribute=False).select(*catalog.KEYS, "raw_value", "sl_pred")
 
 
@@ -121,7 +120,7 @@ def _(s, d):
 def _(s, d):
     """Exact Shapley values of the boosted models: base + impacts = raw value."""
     rows = train_rows(s, d)
-    model = tr.train_per_program(rows, _features(s, d), CFG, None, JOBS)
+    model = tr.train_per_program(rows, _features(s, d), CFG)
     out = score_trees(rows, model.nodes, model.features)
     return out.select(*catalog.KEYS, "base_value", "raw_value", F.inline("contribs"))
 
@@ -129,7 +128,7 @@ def _(s, d):
 @check("evaluate_holdout")
 def _(s, d):
     train, test = _halves(s, d)
-    model = tr.train_per_program(train, _features(s, d), CFG, None, JOBS)
+    model = tr.train_per_program(train, _features(s, d), CFG)
     return tr.evaluate_holdout(train, test, model, CFG)
 
 
@@ -142,7 +141,7 @@ def _(s, d):
 @check("backtest")
 def _(s, d):
     train, test = _halves(s, d)
-    model = tr.train_per_program(train, _features(s, d), CFG, None, JOBS)
+    model = tr.train_per_program(train, _features(s, d), CFG)
     rows = tr.backtest(test, model, CFG)
     return metrics.metrics_by_program(rows)
 

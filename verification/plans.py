@@ -11,7 +11,7 @@ from slotwise.plans.training import training_run
 from slotwise.sources import demo, forecast
 from slotwise.sources.stages import new_stage, staged
 from verification import inputs as i
-from verification.models import CFG, JOBS
+from verification.models import CFG
 from verification.registry import check, columns
 from verification.sqltext import D, METRIC_SPEC, div, metric_select
 
@@ -97,22 +97,22 @@ def _(s, d):
     return scoring.benchmark_run(history, demo.config(), _stored(history), _linear(history))[1]
 
 
-def _trained(s, d, cross_validate=False):
+def _trained(s, d, **given):
     history = i.history_stage(s, d)
     programs = demo.plan(s, d).select("program_id").distinct()
-    return history, training_run(history, programs, CFG, None, cross_validate, JOBS)
+    return history, training_run(history, programs, CFG, **given)
 
 
 @check("training_run")
 def _(s, d):
-    """Metric rows of a full training run with boosted trees."""
-    return _trained(s, d, True)[1].metrics
+    """Metric rows of a training run as configured: search, folds and final models."""
+    return _trained(s, d)[1].metrics
 
 
 @check("inference_run")
 def _(s, d):
-    """Train, score the future rows, publish, read back."""
-    history, run = _trained(s, d)
+    """Train without search and folds, score the future rows, publish, read back."""
+    history, run = _trained(s, d, cross_validate=False, tune=False)
     enc = staged(run.encoding, "encoding")
     rows = scoring.inference_run(history, demo.config(), enc, lambda r: score_trees(r, run.model.nodes, run.model.features))
     batch = scoring.forecast_rows(rows, i.AS_OF)
@@ -123,8 +123,8 @@ def _(s, d):
 
 @check("benchmark_run")
 def _(s, d):
-    """Train, score the last week, report rows."""
-    history, run = _trained(s, d)
+    """Train without search and folds, score the last week, report rows."""
+    history, run = _trained(s, d, cross_validate=False, tune=False)
     enc = staged(run.encoding, "encoding")
     return scoring.benchmark_run(
         history, demo.config(), enc, lambda r: score_trees(r, run.model.nodes, run.model.features), 7)[0]
