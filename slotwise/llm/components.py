@@ -1,8 +1,10 @@
 """Connected components of a table of links, by contraction.
 
-In each round a node takes the smallest of its neighbours and itself for a parent, and the links are rewritten between
-parents. At least half of the nodes that still have links go in a round, so there are few rounds. Rounds are written to
-the shared folder; nothing but row counts comes to the driver.
+Each node has a random rank, a hash of its id. In each round a node takes the lowest-ranked of its neighbours and itself
+for a parent, and the links are rewritten between parents. A node with a link is the lowest of itself and its neighbours
+with a chance of one half at most, so the nodes with links are halved in a round, or better, whatever the order of their
+ids: a path of 1,000 links takes seven or so. Rounds are written to the shared folder; nothing but row counts comes to the
+driver.
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ def components(links: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) of all nodes with links, from links (a, b); null ends are no links."""
     links = stage(links.filter("a < b or a > b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     rounds = []
+    rank = lambda c: F.struct(F.xxhash64(c).alias("rank"), F.col(c).alias("node"))
     while not links.isEmpty():
         ends = links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("other")))
-        parents = stage(ends.groupBy("id").agg(F.least(F.min("other"), F.first("id")).alias("parent")), "parents")
+        lowest = ends.groupBy("id").agg(F.min(rank("other")).alias("lowest"))
+        parents = stage(lowest.select("id", F.least(F.col("lowest"), rank("id"))["node"].alias("parent")), "parents")
         rounds.append(parents)
         of_a, of_b = (parents.select(F.col("id").alias(c), F.col("parent").alias(f"p{c}")) for c in "ab")
         moved = links.join(of_a, "a").join(of_b, "b").filter("pa <> pb")
@@ -30,8 +34,9 @@ def components(links: DataFrame) -> DataFrame:
         return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
     def follow(found: DataFrame, parents: DataFrame) -> DataFrame:
-        up = parents.select(F.col("id").alias("component"), F.col("parent").alias("up"))
-        return found.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component"))
+        up = parents.select(F.col("id").alias("root"), F.col("parent").alias("up"))
+        return found.join(up, "root", "left").select("id", F.coalesce("up", "root").alias("root"))
 
-    first = rounds[0].select("id", F.col("parent").alias("component"))
-    return stage(reduce(follow, rounds[1:], first), "components")
+    found = stage(reduce(follow, rounds[1:], rounds[0].select("id", F.col("parent").alias("root"))), "roots")
+    smallest = found.groupBy(F.col("root").alias("_root")).agg(F.min("id").alias("component"))
+    return stage(found.join(smallest, F.col("root") == F.col("_root")).select("id", "component"), "components")

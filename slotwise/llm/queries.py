@@ -110,14 +110,8 @@ ORACLES = {
         solid as (
             select id, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as line from flat
             where trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
-        runs as (
-            select id, i, line, lead(line) over next as line2, lead(i) over next as i2
-            from solid window next as (partition by id order by i)),
-        firsts as (
-            select id, i, i2, min(id * 1000000 + i) over (partition by line, line2) as first from runs where line2 is not null),
-        gone as (
-            select id, i from firsts where id * 1000000 + i <> first
-            union select id, i2 from firsts where id * 1000000 + i <> first)
+        firsts as (select id, i, min(id * 1000000 + i) over (partition by line) as first from solid),
+        gone as (select id, i from firsts where id * 1000000 + i <> first)
         select f.id as doc_id, count(*) as n_lines, count(g.id) as n_removed,
             sha256(coalesce(string_agg(f.line, chr(10) order by f.i) filter (g.id is null), '')) as kept_sha256
         from flat f left join gone g on f.id = g.id and f.i = g.i group by f.id""",

@@ -111,6 +111,18 @@ def test_components(spark):
     assert got == {**{k: 1 for k in (1, 2, 3, 4, 20)}, **{k: 7 for k in (7, 8, 9)}, **{k: 100 for k in range(100, 141)}}
 
 
+def test_long_paths_take_few_rounds(spark, monkeypatch):
+    from slotwise.llm import components as module
+
+    stages = []
+    stage = module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name: stages.append(name) or stage(df, name))
+    path = spark.range(1000).selectExpr("id as a", "id + 1 as b")
+    rows = module.components(path).collect()
+    assert len(rows) == 1001 and {r.component for r in rows} == {0}
+    assert stages.count("parents") <= 12
+
+
 def substring_brute(data, window):
     first = {}
     for i, t, *_ in sorted(data, key=lambda r: number(r[0])):
@@ -200,6 +212,13 @@ def test_lines(spark, gram, window):
     assert collected(got, "doc_id", "n_lines", "n_removed", "kept_sha256") == lines_brute(data, gram + window - 1)
 
 
+def test_no_later_copy_of_a_line_stays(spark):
+    many = "\n".join(f"line {k % 150_000}" for k in range(200_000))
+    data = [(1, "only line", None, None), (2, "only line", None, None), (3, "a\nonly line\nb", None, None), (4, "b", None, None), (5, many, None, None), (6, "line 7\n\n  line 8\t", None, None)]
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup.line_digests(documents(spark, data)).collect()}
+    assert got == {1: (1, 0), 2: (1, 1), 3: (3, 1), 4: (1, 1), 5: (200_000, 50_000), 6: (3, 2)}
+
+
 @pytest.mark.parametrize("of", [exact_dedup.exact_classes, exact_dedup.exact_dedup, minhash.near_duplicates, minhash.near_dedup, substring_dedup.substring_digests, line_dedup.line_digests])
 def test_empty_table(spark, of):
     assert of(documents(spark, [])).count() == 0
