@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from slotwise.config import EngineConfig
 from slotwise.functions import clock
 from slotwise.functions.numbers import clip, ratio
-from slotwise.operators.columns import ensure_columns, fill_numeric
+from slotwise.operators.columns import MAP_PROGRAMS, ensure_columns, fill_numeric, with_program_facts
 
 
 def with_slot_ts(df: DataFrame) -> DataFrame:
@@ -58,10 +58,10 @@ def active_programs(df: DataFrame) -> DataFrame:
     )
 
 
-def active_semi(df: DataFrame) -> DataFrame:
-    """Only rows of programs with some actual volume in the table."""
-    active = active_programs(df).where("is_active")
-    return df.join(active, "program_id", "left_semi")
+def active_semi(df: DataFrame, many: bool = False) -> DataFrame:
+    """Only rows of programs with some actual volume in the table. `many`: see with_program_facts."""
+    active = active_programs(df).select("program_id", F.col("is_active").alias("_active"))
+    return with_program_facts(df, active, many).where("_active").drop("_active")
 
 
 def operational_flag(df: DataFrame, enabled: bool = True, min_volume: int = 1) -> DataFrame:
@@ -78,7 +78,7 @@ def clean(df: DataFrame, cfg: EngineConfig) -> DataFrame:
     df = df.transform(with_slot_ts).transform(clock_parts).transform(relevant_slots)
     df = df.transform(target, cfg.target)
     if cfg.mode != "inference":
-        df = df.transform(active_semi).transform(operational_filter, cfg.operational_filter, cfg.min_volume)
+        df = df.transform(active_semi, len(cfg.programs) > MAP_PROGRAMS).transform(operational_filter, cfg.operational_filter, cfg.min_volume)
     return fill_numeric(df)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.operators.columns import with_program_facts
+
 SMOOTHING = 30
 
 
@@ -23,16 +25,16 @@ def target_encoding_fit(df: DataFrame, target: str = "sl_actual", smoothing: int
     )
 
 
-def encoding_lookup(df: DataFrame, encoding: DataFrame, default: float = 0.5) -> DataFrame:
-    """Program -> encoding; unseen programs get the stored global mean, else 0.5."""
+def encoding_lookup(df: DataFrame, encoding: DataFrame, default: float = 0.5, many: bool = False) -> DataFrame:
+    """Program -> encoding; unseen programs get the stored global mean, else 0.5. `many`: see with_program_facts."""
     fallback = F.coalesce(encoding.agg(F.max("global_mean")).scalar(), F.lit(default))
-    joined = df.drop("program_enc").join(encoding.select("program_id", "enc"), "program_id", "left")
+    joined = with_program_facts(df.drop("program_enc"), encoding.select("program_id", "enc"), many)
     return joined.withColumn("program_enc", F.coalesce(F.col("enc"), fallback)).drop("enc")
 
 
-def encoding_override(df: DataFrame, stored: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+def encoding_override(df: DataFrame, stored: DataFrame, tolerance: float = 1e-6, many: bool = False) -> DataFrame:
     """The stored per-program value wins; enc_mismatch marks rows it changed."""
-    joined = df.join(stored.select("program_id", F.col("enc").alias("_enc")), "program_id", "left")
+    joined = with_program_facts(df, stored.select("program_id", F.col("enc").alias("_enc")), many)
     return joined.withColumns(
         {
             "enc_mismatch": F.coalesce(F.abs(F.col("program_enc") - F.col("_enc")) > tolerance, F.lit(False)),

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slotwise import catalog
 from slotwise.functions.numbers import clip, clip_residual
 from slotwise.operators.cleaning import r2_label
+from slotwise.operators.columns import with_program_facts
 
 # Bands of the actual service level.
 BANDS = [("sl_0_30", 0.0, 0.3), ("sl_30_60", 0.3, 0.6), ("sl_60_80", 0.6, 0.8), ("sl_80_100", 0.8, 1.01)]
@@ -78,13 +80,14 @@ def metrics_by_program(df: DataFrame, keys: Sequence[str] = ("program_id",)) ->
     return _with_uplift(_operational(df).groupBy(*keys).agg(*metric_columns()))
 
 
-def metrics_document(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Global row (program_id NULL) and one row per program in one pass."""
+def metrics_document(df: DataFrame, keys: Sequence[str] = (), pillars: bool = False) -> DataFrame:
+    """Global row (program_id NULL) and one row per program in one pass; with `pillars`, the mean pillar impacts too."""
     keys = list(keys)
+    impacts = [F.avg(c).alias(c) for c in catalog.PILLAR_COLUMNS] if pillars else []
     sets = [[F.col(k) for k in keys], [F.col(k) for k in [*keys, "program_id"]]]
     cols = [F.col(k) for k in [*keys, "program_id"]]
     out = _operational(df).groupingSets(sets, *cols).agg(
-        *metric_columns(), F.grouping("program_id").cast("int").alias("is_total")
+        *metric_columns(), *impacts, F.grouping("program_id").cast("int").alias("is_total")
     )
     return _with_uplift(out)
 
@@ -148,29 +151,28 @@ def psi_bins(x: Column, low: Column, high: Column, buckets: int = 10) -> Column:
 
 
 def psi_drift(
-    df: DataFrame, keys: Sequence[str], sample: str = "role", value: str = "sl_actual", buckets: int = 10,
-    threshold: float = 0.15, expected: str = "train", actual: str = "test",
+    df: DataFrame, sample: str = "role", value: str = "sl_actual", buckets: int = 10,
+    threshold: float = 0.15, expected: str = "train", actual: str = "test", many: bool = False,
 ) -> DataFrame:
-    """Population stability index of `actual` rows against `expected` rows per key.
+    """Population stability index of `actual` rows against `expected` rows per program. `many`: see with_program_facts.
 
     Bins span the pooled range; empty bins count as 0.0001; a missing sample
     gives 0.0.
     """
-    keys = list(keys)
     v = F.col(value).cast("double")
-    span = df.groupBy(*keys).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    binned = df.join(span, keys).withColumn("_bin", psi_bins(v, F.col("_lo"), F.col("_hi"), buckets))
+    span = df.groupBy("program_id").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    binned = with_program_facts(df.select("program_id", sample, value), span, many).where("program_id IS NOT NULL").withColumn("_bin", psi_bins(v, F.col("_lo"), F.col("_hi"), buckets))
     is_e, is_a = F.col(sample) == expected, F.col(sample) == actual
     per_key = [F.count_if(is_e & (F.col("_bin") == b)).alias(f"_e{b}") for b in range(buckets)]
     per_key += [F.count_if(is_a & (F.col("_bin") == b)).alias(f"_a{b}") for b in range(buckets)]
-    counts = binned.groupBy(*keys).agg(F.count_if(is_e).alias("n_expected"), F.count_if(is_a).alias("n_actual"), *per_key)
+    counts = binned.groupBy("program_id").agg(F.count_if(is_e).alias("n_expected"), F.count_if(is_a).alias("n_actual"), *per_key)
     terms = F.lit(0.0)
     for b in range(buckets):
         e = F.try_divide(F.col(f"_e{b}"), F.col("n_expected"))
         a = F.try_divide(F.col(f"_a{b}"), F.col("n_actual"))
         e, a = (F.when(c == 0, F.lit(0.0001)).otherwise(c) for c in (e, a))
         terms = terms + (a - e) * F.ln(a / e)
-    out = counts.select(*keys, "n_expected", "n_actual", F.coalesce(terms, F.lit(0.0)).alias("psi"))
+    out = counts.select("program_id", "n_expected", "n_actual", F.coalesce(terms, F.lit(0.0)).alias("psi"))
     return out.withColumn("drift", F.when(F.col("psi") > threshold, "DRIFT").otherwise("STABLE"))
 
 

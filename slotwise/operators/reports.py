@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from slotwise import catalog
 from slotwise.functions.clock import slot_text
 from slotwise.functions.numbers import ratio
+from slotwise.operators.columns import with_program_facts
 from slotwise.operators.windows import program_filter
 
 
@@ -109,18 +110,18 @@ def order_keys(df: DataFrame, keys: Sequence[str] = ("ref_date", "slot", "progra
     return df.orderBy(*keys)
 
 
-def slot_end(df: DataFrame, per: Sequence[str] = ("program_id",)) -> DataFrame:
-    """Start and end text of each slot; the step is the gap of the first two distinct slots (30 if one).
+def slot_end(df: DataFrame, many: bool = False) -> DataFrame:
+    """Start and end text of each slot; the step is the gap of its program's first two distinct slots (30 if one).
 
-    A day has at most 1440 distinct slots, which bounds the collected set.
+    A day has at most 1440 distinct slots, which bounds the collected set. `many`: see with_program_facts.
     """
     slots = F.sort_array(F.collect_set("slot"))
-    steps = df.groupBy(*per).agg(
+    steps = df.groupBy("program_id").agg(
         F.when(F.size(slots) >= 2, F.get(slots, F.lit(1)) - F.get(slots, F.lit(0)))
         .otherwise(catalog.SLOT_MINUTES)
         .alias("step")
     )
-    return df.join(steps, list(per)).withColumns(
+    return with_program_facts(df, steps, many).where("step IS NOT NULL").withColumns(
         {"slot_start": slot_text("slot"), "slot_end": slot_text(F.col("slot") + F.col("step"))}
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.config import EngineConfig
+from slotwise.operators.columns import with_program_facts
 
 
 def date_window(
@@ -54,14 +55,14 @@ def program_filter(df: DataFrame, programs: Sequence[int], channel: int | None =
     return df.where(F.col("program_id").isin(*[int(p) for p in programs]))
 
 
-def recent_window(df: DataFrame, ts: str = "slot_ts", days: int = 90, per: Sequence[str] = ()) -> DataFrame:
-    """Rows within `days` of the latest timestamp, overall or per key."""
+def recent_window(df: DataFrame, ts: str = "slot_ts", days: int = 90, per_program: bool = False, many: bool = False) -> DataFrame:
+    """Rows within `days` of the latest timestamp, overall or of their program. `many`: see with_program_facts."""
     span = F.expr(f"INTERVAL {int(days)} DAYS")
-    if not per:
+    if not per_program:
         newest = df.agg(F.max(ts)).scalar()
         return df.where(F.col(ts) >= newest - span)
-    newest = df.groupBy(*per).agg(F.max(ts).alias("_newest"))
-    return df.join(newest, list(per)).where(F.col(ts) >= F.col("_newest") - span).drop("_newest")
+    newest = df.groupBy("program_id").agg(F.max(ts).alias("_newest"))
+    return with_program_facts(df, newest, many).where(F.col(ts) >= F.col("_newest") - span).drop("_newest")
 
 
 def evaluation_window(df: DataFrame, as_of: dt.datetime, days: int, ts: str = "slot_ts") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from slotwise import catalog
 from slotwise.config import EngineConfig
 from slotwise.operators import daily, encoding, features, history, windows
+from slotwise.operators.columns import MAP_PROGRAMS
 from slotwise.operators.mart import interval_mart
 from slotwise.sources.stages import staged
 
@@ -57,7 +58,7 @@ def feature_table(
         enc = encoding.target_encoding_fit(rows)
     if stage:
         enc = staged(enc, "encoding")
-    return encoding.encoding_lookup(wide, enc)
+    return encoding.encoding_lookup(wide, enc, many=len(cfg.programs) > MAP_PROGRAMS)
 
 
 def full_history(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from slotwise import catalog
 from slotwise.config import EngineConfig
 from slotwise.operators import cleaning, columns, drivers, encoding, metrics, windows
+from slotwise.operators.columns import MAP_PROGRAMS
 from slotwise.plans.history import feature_table
 from slotwise.sources.forecast import FACT_COLUMNS, fact_schema
 
@@ -44,7 +45,7 @@ def future_features(history: DataFrame, cfg: EngineConfig, stored_encoding: Data
 def inference_run(history: DataFrame, cfg: EngineConfig, stored_encoding: DataFrame, scorer: Scorer) -> DataFrame:
     """Forecast rows in published shape, before the type cast; see sources.forecast.publish."""
     future = future_features(history, cfg, stored_encoding)
-    future = encoding.encoding_override(future, stored_encoding)
+    future = encoding.encoding_override(future, stored_encoding, many=len(cfg.programs) > MAP_PROGRAMS)
     return explained(scorer(scoring_columns(future, cfg.features)))
 
 
@@ -65,14 +66,14 @@ def benchmark_rows(
     inference = cfg.with_mode("inference")
     feats = feature_table(cleaning.clean(past, inference), inference, stored_encoding)
     rows = windows.evaluation_window(feats, cfg.as_of, days)
-    rows = encoding.encoding_override(rows, stored_encoding)
+    rows = encoding.encoding_override(rows, stored_encoding, many=len(cfg.programs) > MAP_PROGRAMS)
     return explained(scorer(scoring_columns(rows, cfg.features)))
 
 
 def benchmark_run(
     history: DataFrame, cfg: EngineConfig, stored_encoding: DataFrame, scorer: Scorer, days: int = 7
 ) -> tuple[DataFrame, DataFrame]:
-    """(result rows, metric rows: global and per program)."""
+    """(result rows, metric rows with mean pillar impacts: global and per program)."""
     rows = benchmark_rows(history, cfg, stored_encoding, scorer, days)
     result = columns.result_projection(rows, {"sl_plan": "sl_plan_wfm"}, RESULT_COLUMNS)
-    return result, metrics.metrics_document(rows)
+    return result, metrics.metrics_document(rows, pillars=True)

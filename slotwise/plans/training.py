@@ -12,6 +12,7 @@ from slotwise.functions.numbers import clip
 from slotwise.models import boosting
 from slotwise.models import training as tr
 from slotwise.operators import cleaning, encoding, metrics, splits, windows
+from slotwise.operators.columns import MAP_PROGRAMS
 from slotwise.operators.reports import union_programs
 from slotwise.plans.history import feature_table
 from slotwise.sources.stages import stage_sink, staged
@@ -64,12 +65,13 @@ def training_run(
     tune = cfg.model.optimize if tune is None else tune
     cross_validate = cfg.model.use_cv if cross_validate is None else cross_validate
     cfg = cfg.with_mode("training")
+    many = len(cfg.programs) > MAP_PROGRAMS
     window = windows.program_filter(history.where(windows.config_window("ref_date", cfg)), cfg.programs, cfg.channel)
     feats = staged(feature_table(cleaning.clean(window, cfg), cfg), "features", "program_id")
     flagged = splits.future_split(feats, cfg.as_of)
     future = flagged.where("is_future").drop("is_future")
     past = splits.date_split(flagged.where("NOT is_future").drop("is_future"), cfg.test_share)
-    train = windows.recent_window(past.where("NOT is_test"), days=cfg.model.window_days, per=["program_id"])
+    train = windows.recent_window(past.where("NOT is_test"), days=cfg.model.window_days, per_program=True, many=many)
     train, test = train.drop("is_test"), past.where("is_test").drop("is_test")
     train = staged(train, "train", "program_id")
     readiness = metrics.training_readiness(train, programs, cfg.model.min_operational)
@@ -89,7 +91,7 @@ def training_run(
     model = tr.trained(grown, features, history.sparkSession)
     if features:
         folds = staged(tr.last_fold(train, cfg), "last_fold", "program_id")
-        drift = metrics.psi_drift(folds, ["program_id"], "role", cfg.target, 10, cfg.model.drift_threshold)
+        drift = metrics.psi_drift(folds, "role", cfg.target, 10, cfg.model.drift_threshold, many=many)
         drift = drift.where(F.col("n_actual") >= cfg.model.min_drift_rows)
         parts.append(long_metrics(drift.select("program_id", "psi", (F.col("drift") == "DRIFT").cast("int").alias("has_drift"))))
         seen = folds.where("role = 'train'").drop("role", "row_num", "n_rows")

@@ -188,3 +188,35 @@ def linear_coefs(programs: DataFrame) -> DataFrame:
         F.lit(LINEAR_BASE).alias("base_value"),
         F.array(*[F.lit(f) for f in LINEAR_FEATURES]).alias("features"),
     )
+
+
+# A fixed forest in target space, as nested cuts: (feature, threshold, cover, left, right) or a leaf (value, cover). Paths
+# ask a feature again, and trees differ in weight.
+FOREST = [
+    (1.0, ("sl_lag_1", 0.45171, 1000.0,
+           ("vol_plan", 2.0, 600.0, (0.3121339171, 350.0), (0.2217339171, 250.0)), ("hour", 12.0, 400.0, (0.1217339171, 180.0), (0.0517339171, 220.0)))),
+    (0.5, ("vol_plan", 1.0, 1000.0,
+           (-0.0417339171, 300.0), ("vol_plan", 3.0, 700.0, (0.0611339171, 420.0), ("sl_lag_1", 0.70173, 280.0, (0.1013339171, 200.0), (-0.0231339171, 80.0))))),
+    (0.5, ("capacity_margin", 0.50171, 1000.0,
+           ("hour", 9.0, 450.0, (0.0819339171, 150.0), (-0.0317339171, 300.0)), ("capacity_margin", 0.90171, 550.0, (0.0117339171, 350.0), (0.0413339171, 200.0)))),
+]
+FOREST_FEATURES = ["sl_lag_1", "vol_plan", "hour", "capacity_margin"]
+
+
+def forest_nodes(programs: DataFrame) -> DataFrame:
+    """The fixed forest as a node table, for every program of the given one-column table."""
+    rows: list[tuple] = []
+    for tree, (weight, top) in enumerate(FOREST):
+        todo = [(0, top)]
+        while todo:
+            node, own = todo.pop()
+            if len(own) == 2:
+                rows.append((tree, weight, node, -1, -1, None, None, *own))
+                continue
+            feature, threshold, cover, left, right = own
+            rows.append((tree, weight, node, 2 * node + 1, 2 * node + 2, feature, threshold, 0.0, cover))
+            todo += [(2 * node + 1, left), (2 * node + 2, right)]
+    schema = "tree int, weight double, node int, left int, right int, feature string, threshold double, value double, cover double"
+    fields = [f.split() for f in schema.split(", ")]
+    every = F.array(*[F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(r, fields)]) for r in rows])
+    return programs.select("program_id", F.lit("fixed").alias("member"), F.inline(every))

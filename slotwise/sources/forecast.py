@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,35 +65,87 @@ def rolling_overwrite(existing: DataFrame, batch: DataFrame, scope: str = "date"
     return stale_anti(existing, batch, scope).unionByName(batch.select(*existing.columns))
 
 
-def publish(spark: SparkSession, path: str, batch: DataFrame, scope: str = "date") -> None:
-    """Apply a batch to the stored table. Applying it twice equals applying it once.
+#: Attempts to publish on top of the newest version.
+ATTEMPTS = 10
 
-    Only the dates of the batch are rewritten. The new content of those dates
-    is staged first, so a failure before the final commit leaves the table
-    untouched, and the commit replaces whole date partitions.
+
+def _manifests(spark: SparkSession, path: str):
+    """(folder of the manifests as a Hadoop path, its file system)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_manifests")
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Published versions of a table, oldest first; none for a table that does not exist."""
+    folder, fs = _manifests(spark, path)
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+
+
+def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict[str, str]:
+    """Folder of each date of a version, the newest by default. One entry for each date of the table."""
+    known = versions(spark, path)
+    if not known or version == 0:
+        return {}
+    rows = spark.read.schema("ref_date string, folder string").json(f"{path}/_manifests/{version or known[-1]}.json")
+    return {r["ref_date"]: f"{path}/{r['folder']}" for r in rows.collect()}
+
+
+def commit(spark: SparkSession, path: str, version: int, folders: dict[str, str]) -> bool:
+    """Make a version visible; False if another writer already made one of that number.
+
+    The manifest is written aside and renamed, which fails if its name is taken: readers see all of it or nothing.
     """
-    batch_path = stage_sink(batch, new_stage(spark, "batch"), None)
-    batch = read_stage(spark, batch_path, batch.schema)
+    jvm, (folder, fs) = spark._jvm, _manifests(spark, path)
+    fs.mkdirs(folder)
+    lines = [json.dumps({"ref_date": d, "folder": f.removeprefix(f"{path}/")}) for d, f in sorted(folders.items())]
+    aside = jvm.org.apache.hadoop.fs.Path(folder, f".{version}-{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(bytearray("\n".join(lines).encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
-        existing = spark.read.schema(batch.schema).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
+        context.rename(aside, jvm.org.apache.hadoop.fs.Path(folder, f"{version}.json"), no_options)
+    except Py4JJavaError as e:
+        fs.delete(aside, False)
+        if "FileAlreadyExists" not in str(e.java_exception):
             raise
-        merged = batch
-    else:
-        touched = existing.join(batch.select("ref_date").distinct(), "ref_date", "left_semi")
-        merged = rolling_overwrite(touched, batch, scope)
-    staged_path = stage_sink(merged.select(*batch.columns), new_stage(spark, "merged"), None)
-    rows = read_stage(spark, staged_path, batch.schema)
-    (
-        rows.hint("rebalance", "ref_date")
-        .sortWithinPartitions("ref_date", "program_id", "channel_id", "slot")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ref_date")
-        .parquet(path)
-    )
-
-
-def read_forecast(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+        return False
+    return True
+
+
+def publish(spark: SparkSession, path: str, batch: DataFrame, scope: str = "date") -> int:
+    """Apply a batch to the stored table in one version, and return its number. Applying it twice equals applying it once.
+
+    The new content of the batch's dates goes into a folder of its own, which no version names yet. One manifest then gives
+    the folder of every date, so a reader has the table before the batch or after it, never between. A version is based on
+    the one before it: of two writers with the same base one commits, the other starts again from the new version.
+    """
+    batch_path = stage_sink(batch, new_stage(spark, "batch"), None)
+    batch = read_stage(spark, batch_path, batch.schema)
+    dates = [str(r["ref_date"]) for r in batch.select("ref_date").distinct().collect()]
+    for _ in range(ATTEMPTS):
+        base = max(versions(spark, path), default=0)
+        folders = manifest(spark, path, base)
+        touched = [folders[d] for d in dates if d in folders]
+        merged = rolling_overwrite(spark.read.schema(batch.schema).parquet(*touched), batch, scope) if touched else batch
+        folder = f"{path}/data/{uuid.uuid4().hex}"
+        (
+            merged.select(*batch.columns).withColumn("day", F.date_format("ref_date", "yyyy-MM-dd"))
+            .hint("rebalance", "day")
+            .sortWithinPartitions("day", "program_id", "channel_id", "slot")
+            .write.partitionBy("day")
+            .parquet(folder)
+        )
+        if commit(spark, path, base + 1, folders | {d: f"{folder}/day={d}" for d in dates}):
+            return base + 1
+    raise RuntimeError(f"{path}: other writers were first {ATTEMPTS} times")
+
+
+def read_forecast(spark: SparkSession, path: str, schema, version: int | None = None) -> DataFrame:
+    """A published version, the newest by default. Rows are read from the folders its manifest names."""
+    folders = manifest(spark, path, version)
+    return spark.read.schema(schema).parquet(*folders.values()) if folders else spark.createDataFrame([], schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotwise import catalog
 from slotwise.functions import suffix as sfx
 from slotwise.sources.stages import read_stage, stage_sink
 
@@ -14,9 +15,11 @@ METRIC = (
     "uplift_mae_pct double"
 )
 METRIC_COLUMNS = [c.split()[0] for c in METRIC.split(", ")]
+#: What a program's metrics hold on top: its mean pillar impacts.
+PROGRAM_METRIC = METRIC + "".join(f", {c} double" for c in catalog.PILLAR_COLUMNS)
 DOC_SCHEMA = (
     f"overall struct<{METRIC.replace(' ', ':').replace(',:', ',')}>, "
-    f"by_program map<string,struct<{METRIC.replace(' ', ':').replace(',:', ',')}>>, "
+    f"by_program map<string,struct<{PROGRAM_METRIC.replace(' ', ':').replace(',:', ',')}>>, "
     "metadata struct<executed_at:string,days:int,suffix:string>, _corrupt_record string"
 )
 
@@ -53,6 +56,9 @@ def save_encoding(encoding: DataFrame, path: str) -> str:
     return stage_sink(encoding.select("program_id", "enc", "global_mean", "n"), path)
 
 
+# Fixed value: the time of a run whose document and name have none.
+UNKNOWN_TIME = "desconhecida"
+
 # Names in the JSON documents of a program's encoding, and of the mean in the document for all programs.
 ENCODING_NAMES = {"program_id": "programa", "enc": "encoding", "global_mean": "media_global", "n": "n_amostras"}
 GLOBAL_MEAN_NAME = "__media_global__"
@@ -102,12 +108,16 @@ def load_encoding(spark: SparkSession, per_program_path: str | None, global_path
 
 
 def metric_documents(metrics: DataFrame, runs: DataFrame) -> DataFrame:
-    """One JSON document per run from global (is_total) and per-program metric rows."""
+    """One JSON document per run from global (is_total) and per-program metric rows.
+
+    Programs carry their mean pillar impacts if the rows have them.
+    """
     body = F.struct(*METRIC_COLUMNS)
+    own = F.struct(*METRIC_COLUMNS, *[c for c in catalog.PILLAR_COLUMNS if c in metrics.columns])
     docs = metrics.groupBy("suffix").agg(
         F.max(F.when(F.col("is_total") == 1, body)).alias("overall"),
         F.map_from_entries(
-            F.collect_list(F.when(F.col("is_total") == 0, F.struct(F.col("program_id").cast("string"), body)))
+            F.collect_list(F.when(F.col("is_total") == 0, F.struct(F.col("program_id").cast("string"), own)))
         ).alias("by_program"),
     )
     meta = F.struct(
@@ -147,7 +157,7 @@ def scan_metric_docs(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(
             F.nullif(F.col("metadata.executed_at"), F.lit("")),
             F.nullif(sfx.timestamp_text("suffix"), F.lit("")),
-            F.lit("desconhecida"),
+            F.lit(UNKNOWN_TIME),
         ).alias("executed_at"),
         F.coalesce(F.col("metadata.days"), sfx.days("suffix")).alias("days"),
         "overall",

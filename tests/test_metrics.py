@@ -46,14 +46,14 @@ def psi(expected, actual, buckets=10):
 def test_psi(spark, expected, actual):
     rows = [(1, "train", v) for v in expected] + [(1, "test", v) for v in actual]
     df = spark.createDataFrame(rows, "program_id int, role string, sl_actual double")
-    r = metrics.psi_drift(df, ["program_id"]).first()
+    r = metrics.psi_drift(df).first()
     assert math.isclose(r.psi, psi(expected, actual), abs_tol=1e-9)
     assert r.drift == ("DRIFT" if r.psi > 0.15 else "STABLE")
 
 
 def test_psi_without_second_sample_is_zero(spark):
     df = spark.createDataFrame([(1, "train", 0.2), (1, "train", 0.4)], "program_id int, role string, sl_actual double")
-    assert metrics.psi_drift(df, ["program_id"]).first().psi == 0.0
+    assert metrics.psi_drift(df).first().psi == 0.0
 
 
 def test_bands_need_ten_rows(spark):

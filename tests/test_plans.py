@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from slotwise.operators import cleaning, history
 from slotwise.plans import history as plans
 from slotwise.sources import demo
+from slotwise.sources.stages import staged
 from verification import inputs
 
 LAZY = [
@@ -87,3 +89,38 @@ def test_broadcast_is_never_forced():
 def test_clean_needs_no_udf(spark, sf_dir):
     plan = plan_of(cleaning.clean(inputs.live_mart(spark, sf_dir), demo.config("training")))
     assert "Python" not in plan
+
+
+FACTS = ["encoding_lookup", "encoding_override", "active_semi", "slot_end", "psi_drift", "recent_window"]
+
+
+@pytest.mark.parametrize("name", FACTS)
+def test_program_facts_need_no_exchange_of_rows(spark, sf_dir, name):
+    """Facts of programs come as one map: no join on the program, and both forms give the same rows."""
+    from slotwise.operators import encoding, metrics, reports, windows
+
+    rows = inputs.light(spark, sf_dir, "training").withColumn("role", F.when(F.col("ref_date") < "2024-01-25", "train").otherwise("test"))
+    rows = staged(rows.withColumn("program_enc", F.lit(0.5)), "rows")
+    enc = staged(inputs.stored_encoding(spark, sf_dir), "encoding")
+    forms = {
+        "encoding_lookup": lambda many: encoding.encoding_lookup(rows, enc, many=many),
+        "encoding_override": lambda many: encoding.encoding_override(rows, enc, many=many),
+        "active_semi": lambda many: cleaning.active_semi(rows, many), "slot_end": lambda many: reports.slot_end(rows, many),
+        "psi_drift": lambda many: metrics.psi_drift(rows, many=many),
+        "recent_window": lambda many: windows.recent_window(rows, days=7, per_program=True, many=many),
+    }
+    one, two = (forms[name](many) for many in (False, True))
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Join" in two._jdf.queryExecution().optimizedPlan().toString()
+    assert one.columns == two.columns and one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and not one.isEmpty()
+
+
+def test_too_many_programs_ask_for_the_join(spark, monkeypatch):
+    from slotwise.operators import columns
+
+    monkeypatch.setattr(columns, "MAP_PROGRAMS", 3)
+    facts = spark.range(5).selectExpr("cast(id as int) as program_id", "id as fact")
+    with pytest.raises(Exception, match="many=True"):
+        columns.with_program_facts(facts.drop("fact"), facts).collect()
+    rows = columns.with_program_facts(facts.select("program_id").unionByName(spark.createDataFrame([(9,), (None,)], "program_id int")), facts, many=True)
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted([(k, k) for k in range(5)] + [(9, None), (None, None)], key=repr)

@@ -154,3 +154,53 @@ def test_attributions_keep_the_transform_flag(spark, tmp_path):
     for flag in (True, False):
         path = stores.save_attributions(df, str(tmp_path / str(flag)), target_transform=flag)
         assert stores.load_attributions(spark, path).first().target_transform is flag
+
+
+def test_reader_never_sees_half_a_publish(spark, existing, monkeypatch):
+    """Between the folder writes and the manifest, readers have the old version; after it, all of the new one."""
+    path = stages.new_stage(spark, "forecast")
+    forecast.publish(spark, path, existing)
+    before, seen, commit = content(forecast.read_forecast(spark, path, existing.schema)), [], forecast.commit
+    batch = existing.withColumn("sl_pred", F.lit(0.125).cast(existing.schema["sl_pred"].dataType))
+
+    def watched(spark, path, version, folders):
+        seen.append(content(forecast.read_forecast(spark, path, existing.schema)))
+        return commit(spark, path, version, folders)
+
+    monkeypatch.setattr(forecast, "commit", watched)
+    assert forecast.publish(spark, path, batch) == 2
+    assert seen == [before]
+    assert content(forecast.read_forecast(spark, path, existing.schema)) == content(batch)
+    assert content(forecast.read_forecast(spark, path, existing.schema, version=1)) == before
+
+
+def test_two_writers_lose_no_rows(spark, existing, monkeypatch):
+    """A writer whose base is no longer the newest version starts again from the newest."""
+    path = stages.new_stage(spark, "forecast")
+    dates = sorted(r[0] for r in existing.select("ref_date").distinct().collect())
+    first, second = (existing.where(F.col("ref_date") == d) for d in dates[:2])
+    commit, calls = forecast.commit, []
+
+    def beaten(spark, path, version, folders):
+        calls.append(version)
+        if len(calls) == 1:  # another writer commits while this one is about to
+            monkeypatch.setattr(forecast, "commit", commit)
+            forecast.publish(spark, path, second)
+            monkeypatch.setattr(forecast, "commit", beaten)
+        return commit(spark, path, version, folders)
+
+    monkeypatch.setattr(forecast, "commit", beaten)
+    forecast.publish(spark, path, first)
+    assert len(calls) == 2 and calls[1] > calls[0]
+    assert content(forecast.read_forecast(spark, path, existing.schema)) == content(first.unionByName(second))
+    assert forecast.versions(spark, path) == [1, 2]
+
+
+def test_failed_writer_leaves_the_table(spark, existing, monkeypatch):
+    path = stages.new_stage(spark, "forecast")
+    forecast.publish(spark, path, existing)
+    monkeypatch.setattr(forecast, "commit", lambda *a: False)
+    with pytest.raises(RuntimeError, match="other writers"):
+        forecast.publish(spark, path, existing.limit(1))
+    assert content(forecast.read_forecast(spark, path, existing.schema)) == content(existing)
+    assert forecast.read_forecast(spark, stages.new_stage(spark, "nothing"), existing.schema).count() == 0

@@ -126,7 +126,7 @@ t AS (SELECT program_id, ne AS n_expected, na AS n_actual, coalesce(sum((a - e)
 SELECT *, CASE WHEN psi > 0.15 THEN 'DRIFT' ELSE 'STABLE' END AS drift FROM t""")
 def _(s, d):
     role = F.when(F.col("ref_date") < "2024-01-25", "train").otherwise("test")
-    return metrics.psi_drift(i.light(s, d, "training").withColumn("role", role), ["program_id"])
+    return metrics.psi_drift(i.light(s, d, "training").withColumn("role", role))
 
 
 P5 = "impact_volume impact_people impact_handle_time impact_health impact_context"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slotwise import catalog
 from slotwise.models.linear import score_linear
+from slotwise.models.shap import score_trees
 from slotwise.operators import cleaning, encoding, features, windows
 from slotwise.operators.mart import interval_mart
 from slotwise.plans import history as plans
@@ -75,6 +76,14 @@ def scored(spark: SparkSession, sf: str, mode: str = "inference") -> DataFrame:
     return score_linear(feats(spark, sf, mode, history), coefs(history), demo.LINEAR_FEATURES)
 
 
+def fixed_scores(spark: SparkSession, sf: str, mode: str = "inference") -> DataFrame:
+    """Rows scored and explained by the fixed forest."""
+    history = history_stage(spark, sf)
+    active = cleaning.active_programs(history).where("is_active")
+    features = {r["program_id"]: list(demo.FOREST_FEATURES) for r in active.collect()}
+    return score_trees(feats(spark, sf, mode, history), demo.forest_nodes(active), features)
+
+
 KEYS = "ref_date:date slot program_id channel_id:bigint"
 MART_INTS = (
     "vol_plan vol_actual vol_answered vol_in_sla vol_abandoned hc_plan aht_plan_total aht_actual_total wait_total "

@@ -125,6 +125,49 @@ def _(s, d):
     return out.select(*catalog.KEYS, "base_value", "raw_value", F.inline("contribs"))
 
 
+FOREST_LEVEL = "greatest(0.0, least(1.0, 1 - (exp(raw_value) - 1)))"
+
+
+def fixed_model(s, d):
+    """The fixed forest for every program that has actuals, as a trained model."""
+    features = {p: list(demo.FOREST_FEATURES) for p in _features(s, d)}
+    programs = s.createDataFrame([(p,) for p in features], "program_id int")
+    nodes = demo.forest_nodes(programs)
+    inputs = s.createDataFrame([(p, k, f, 0.0) for p, fs in features.items() for k, f in enumerate(fs)], tr.IMPORTANCES)
+    return tr.Trained(nodes, inputs, features)
+
+
+@check("score_trees_fixed", f"{K} raw_value sl_pred:double", ["forest_scored_train"], "SELECT * FROM forest_scored_train")
+def _(s, d):
+    """A hand-written forest, scored from its node table after storage."""
+    model = tr.load_models(s, tr.save_models(fixed_model(s, d), new_stage(s, "models")))
+    return score_trees(train_rows(s, d), model.nodes, model.features, attribute=False)
+
+
+@check("attributions_trees_fixed", f"{K} position:bigint feature pillar:string impact base_value:double", ["forest_long_train"],
+       "SELECT * FROM forest_long_train")
+def _(s, d):
+    """Attributions by path patterns against all subsets of features."""
+    model = fixed_model(s, d)
+    out = score_trees(train_rows(s, d), model.nodes, model.features)
+    return out.select(*catalog.KEYS, "base_value", F.inline("contribs"))
+
+
+@check("evaluate_holdout_fixed", f"program_id:bigint part:string {METRIC_SPEC}", ["forest_scored_train"],
+       f"SELECT program_id, CASE WHEN ref_date < DATE '2024-01-25' THEN 'train' ELSE 'test' END AS part, {metric_select()} "
+       f"FROM (SELECT * REPLACE ({FOREST_LEVEL} AS sl_pred) FROM forest_scored_train) AS x GROUP BY 1, 2")
+def _(s, d):
+    train, test = _halves(s, d)
+    return tr.evaluate_holdout(train, test, fixed_model(s, d), CFG)
+
+
+@check("backtest_fixed", f"program_id:bigint {METRIC_SPEC}", ["forest_scored_train"],
+       f"SELECT program_id, {metric_select()} FROM (SELECT * REPLACE ({FOREST_LEVEL} AS sl_pred) FROM forest_scored_train) AS x "
+       "WHERE ref_date >= DATE '2024-01-25' GROUP BY 1")
+def _(s, d):
+    return metrics.metrics_by_program(tr.backtest(_halves(s, d)[1], fixed_model(s, d), CFG))
+
+
 @check("evaluate_holdout")
 def _(s, d):
     train, test = _halves(s, d)

@@ -11,7 +11,7 @@ from slotwise.plans.training import training_run
 from slotwise.sources import demo, forecast
 from slotwise.sources.stages import new_stage, staged
 from verification import inputs as i
-from verification.models import CFG
+from verification.models import CFG, fixed_model
 from verification.registry import check, columns
 from verification.sqltext import D, METRIC_SPEC, div, metric_select
 
@@ -97,6 +97,34 @@ def _(s, d):
     return scoring.benchmark_run(history, demo.config(), _stored(history), _linear(history))[1]
 
 
+def _fixed(s, d):
+    model = fixed_model(s, d)
+    return lambda rows: score_trees(rows, model.nodes, model.features)
+
+
+@check("inference_run_fixed", RUN, ["forest_explained_infer"], f"SELECT * FROM forest_explained_infer WHERE ref_date >= {D}")
+def _(s, d):
+    """The inference run with a hand-written forest: everything after the fit, against SQL."""
+    history = i.history_stage(s, d)
+    return scoring.inference_run(history, demo.config(), _stored(history), _fixed(s, d))
+
+
+@check("benchmark_run_fixed", f"{K} vol_actual vol_plan hc_plan:bigint sl_actual sl_plan_wfm sl_pred {P5}:double {DRIVERS}",
+       ["forest_explained_bench"], f"SELECT *, sl_plan AS sl_plan_wfm FROM forest_explained_bench WHERE ref_date >= {D} - 7")
+def _(s, d):
+    history = i.history_stage(s, d)
+    return scoring.benchmark_run(history, demo.config(), _stored(history), _fixed(s, d))[0]
+
+
+@check("benchmark_pillars", f"program_id is_total:bigint mae_model {P5}:double", ["forest_explained_bench"],
+       f"SELECT program_id, grouping(program_id) AS is_total, {metric_select()}, " + ", ".join(f"avg({c}) AS {c}" for c in catalog.PILLAR_COLUMNS)
+       + f" FROM forest_explained_bench WHERE ref_date >= {D} - 7 AND vol_actual > 0 GROUP BY GROUPING SETS ((), (program_id))")
+def _(s, d):
+    """Mean pillar impacts next to the metrics of a benchmark run."""
+    history = i.history_stage(s, d)
+    return scoring.benchmark_run(history, demo.config(), _stored(history), _fixed(s, d))[1]
+
+
 def _trained(s, d, **given):
     history = i.history_stage(s, d)
     programs = demo.plan(s, d).select("program_id").distinct()

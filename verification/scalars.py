@@ -187,7 +187,7 @@ SELECT program_id, count(*) AS n_rows, min(slot_ts) AS first_ts, max(slot_ts) AS
 FROM clean_train c JOIN (SELECT program_id, max(slot_ts) AS newest FROM clean_train GROUP BY 1) n USING (program_id)
 WHERE slot_ts >= newest - INTERVAL 7 DAY GROUP BY 1""")
 def _(s, d):
-    df = windows.recent_window(i.light(s, d, "training"), days=7, per=["program_id"])
+    df = windows.recent_window(i.light(s, d, "training"), days=7, per_program=True)
     return df.groupBy("program_id").agg(
         F.count("*").alias("n_rows"), F.min("slot_ts").alias("first_ts"), F.max("slot_ts").alias("last_ts"))
 

@@ -99,6 +99,18 @@ def _(s, d):
     return docs.select("suffix", "executed_at", "days", F.size("by_program").alias("n_programs"), "overall.*")
 
 
+@check("metric_document_pillars", f"suffix program_id:string mae_model {' '.join(catalog.PILLAR_COLUMNS)}:double", ["forest_explained_infer"],
+       f"SELECT '20240131_000000_30d' AS suffix, cast(program_id AS varchar) AS program_id, {metric_select()}, "
+       + ", ".join(f"avg({c}) AS {c}" for c in catalog.PILLAR_COLUMNS) + " FROM forest_explained_infer WHERE vol_actual > 0 GROUP BY 2")
+def _(s, d):
+    """Mean pillar impacts of each program, stored in the document of a run and read back."""
+    rows = scoring.explained(i.fixed_scores(s, d)).withColumn("suffix", F.lit("20240131_000000_30d"))
+    runs = demo.runs(s, d).limit(1).select(F.lit("20240131_000000_30d").alias("suffix"), "as_of", "days")
+    path = stores.metrics_sink(stores.metric_documents(metrics.metrics_document(rows, ["suffix"], True), runs), stages.new_stage(s, "docs"))
+    docs = stores.scan_metric_docs(s, path).select("suffix", F.explode("by_program").alias("program_id", "m"))
+    return docs.select("suffix", "program_id", "m.*")
+
+
 @check("metrics_sink", f"suffix:string program_id:bigint {' '.join(c + ':double' for c in ('mae_model', 'rmse_model', 'mae_plan', 'uplift_mae_pct'))}",
        ["clean_infer", "fx_runs"], f"SELECT suffix, program_id, {metric_select()} FROM {RUN_SCORES} GROUP BY 1, 2")
 def _(s, d):

@@ -6,6 +6,8 @@ the Spark operators.
 
 from __future__ import annotations
 
+from math import factorial
+
 from slotwise import catalog
 from slotwise.sources import demo
 
@@ -247,25 +249,71 @@ def linear_terms() -> list[tuple[str, str]]:
 
 
 _RAW = " + ".join([f"{demo.LINEAR_BASE!r} + ({linear_terms()[0][1]}", *[t for _, t in linear_terms()[1:]]]) + ")"
-for s in ("infer", "bench", "train"):
-    cte(f"scored_{s}", [f"feat_{s}", "mart_train"], f"""
+
+
+def forest_leaves() -> list[tuple[float, dict[str, tuple[float, float, float]]]]:
+    """Leaves of the fixed forest: (weighted value, feature -> (above, up to, share of the training rows that follow))."""
+    out = []
+    for weight, top in demo.FOREST:
+        todo = [(top, {})]
+        while todo:
+            own, path = todo.pop()
+            if len(own) == 2:
+                out.append((weight * own[0], path))
+                continue
+            f, at, cover, left, right = own
+            low, high, share = path.get(f, (float("-inf"), float("inf"), 1.0))
+            todo += [(left, {**path, f: (low, min(high, at), share * left[-1 if len(left) == 2 else 2] / cover)}),
+                     (right, {**path, f: (max(low, at), high, share * right[-1 if len(right) == 2 else 2] / cover)})]
+    return out
+
+
+def forest_value(known: set[str]) -> str:
+    """Expected output of the fixed forest if only some features are known."""
+    terms = []
+    for value, path in forest_leaves():
+        factors = [repr(value)]
+        for f, (low, high, share) in path.items():
+            tests = [f"{f} > {low!r}"] * (low > float("-inf")) + [f"{f} <= {high!r}"] * (high < float("inf"))
+            factors.append(f"CASE WHEN {' AND '.join(tests)} THEN 1.0::double ELSE 0.0::double END" if f in known else f"{share!r}::double")
+        terms.append("(" + " * ".join(factors) + ")")
+    return " + ".join(terms)
+
+
+def forest_terms() -> list[tuple[str, str]]:
+    """Shapley values of the fixed forest by their definition: all subsets of the other features, as columns v<bits>."""
+    names, out = demo.FOREST_FEATURES, []
+    k = len(names)
+    for i, f in enumerate(names):
+        parts = []
+        for bits in range(1 << k):
+            if not bits >> i & 1:
+                size = bits.bit_count()
+                parts.append(f"{factorial(size) * factorial(k - size - 1)}.0::double / {factorial(k)}.0 * (v{bits | 1 << i} - v{bits})")
+        out.append((f, "(" + " + ".join(parts) + ")"))
+    return out
+
+
+def _explained(prefix: str, s: str, source: str, raw: str, base: str, terms: list[tuple[str, str]]) -> None:
+    """Statements of scored, long, pillar, driver and explained rows of one model."""
+    cte(f"{prefix}scored_{s}", [source, "mart_train"], f"""
 SELECT *, CASE WHEN vol_plan = 0 THEN 0.0 ELSE greatest(0.0, least(1.0, 1 - (exp(raw_value) - 1))) END AS sl_pred
-FROM (SELECT *, {_RAW} AS raw_value, {demo.LINEAR_BASE!r} AS base_value FROM feat_{s}
+FROM (SELECT *, {raw} AS raw_value, {base} AS base_value FROM {source}
       WHERE program_id IN (SELECT program_id FROM mart_train GROUP BY 1 HAVING sum(vol_actual) > 0)) AS f
 """)
     # Long form: one row per interval and model input.
-    cte(f"long_{s}", [f"scored_{s}"], "\nUNION ALL\n".join(
+    cte(f"{prefix}long_{s}", [f"{prefix}scored_{s}"], "\nUNION ALL\n".join(
         f"SELECT ref_date, slot, program_id, channel_id, base_value, {i} AS position, '{f}' AS feature, "
-        f"'{p}' AS pillar, {t} AS impact FROM scored_{s}"
-        for i, (f, t) in enumerate(linear_terms()) for p in [catalog.PILLAR_OF[f]]))
-    cte(f"pillars_{s}", [f"long_{s}"], f"""
+        f"'{p}' AS pillar, {t} AS impact FROM {prefix}scored_{s}"
+        for i, (f, t) in enumerate(terms) for p in [catalog.PILLAR_OF[f]]))
+    cte(f"{prefix}pillars_{s}", [f"{prefix}long_{s}"], f"""
 SELECT ref_date, slot, program_id, channel_id,
   coalesce(sum(impact) FILTER (pillar = 'volume'), 0) AS impact_volume,
   coalesce(sum(impact) FILTER (pillar = 'people'), 0) AS impact_people,
   coalesce(sum(impact) FILTER (pillar = 'handle_time'), 0) AS impact_handle_time,
   coalesce(sum(impact) FILTER (pillar = 'operational_health'), 0) AS impact_health,
   coalesce(sum(impact) FILTER (pillar LIKE '%_context'), 0) AS impact_context
-FROM long_{s} GROUP BY ALL
+FROM {prefix}long_{s} GROUP BY ALL
 """)
     _side = """
   coalesce(max({what}) FILTER (sign_ = {sign} AND rk = {i}), {pad}) AS {side}_{i}_{col}"""
@@ -273,18 +321,26 @@ FROM long_{s} GROUP BY ALL
         _side.format(what=w, sign=g, i=i, pad=pad, side=side, col=c)
         for side, g in (("detractor", -1), ("booster", 1)) for i in (1, 2, 3)
         for w, c, pad in (("feature", "name", "'Sem Impacto Relevante'"), ("pillar", "pillar", "'N/A'"), ("impact", "impact", "0.0")))
-    cte(f"drivers_{s}", [f"long_{s}"], f"""
+    cte(f"{prefix}drivers_{s}", [f"{prefix}long_{s}"], f"""
 SELECT ref_date, slot, program_id, channel_id, {_cols}
 FROM (SELECT *, row_number() OVER (PARTITION BY ref_date, slot, program_id, channel_id, sign_
                                    ORDER BY abs(impact) DESC, position) AS rk
-      FROM (SELECT *, CASE WHEN impact < -0.001 THEN -1 WHEN impact > 0.001 THEN 1 ELSE 0 END AS sign_ FROM long_{s}) AS a) AS b
+      FROM (SELECT *, CASE WHEN impact < -0.001 THEN -1 WHEN impact > 0.001 THEN 1 ELSE 0 END AS sign_ FROM {prefix}long_{s}) AS a) AS b
 GROUP BY ref_date, slot, program_id, channel_id
 """)
-    cte(f"explained_{s}", [f"scored_{s}", f"pillars_{s}", f"drivers_{s}"], f"""
-SELECT * FROM scored_{s} JOIN pillars_{s} USING (ref_date, slot, program_id, channel_id)
-JOIN drivers_{s} USING (ref_date, slot, program_id, channel_id)
+    cte(f"{prefix}explained_{s}", [f"{prefix}scored_{s}", f"{prefix}pillars_{s}", f"{prefix}drivers_{s}"], f"""
+SELECT * FROM {prefix}scored_{s} JOIN {prefix}pillars_{s} USING (ref_date, slot, program_id, channel_id)
+JOIN {prefix}drivers_{s} USING (ref_date, slot, program_id, channel_id)
 """)
 
+
+_ALL = (1 << len(demo.FOREST_FEATURES)) - 1
+for s in ("infer", "bench", "train"):
+    _explained("", s, f"feat_{s}", _RAW, repr(demo.LINEAR_BASE), linear_terms())
+    cte(f"forest_{s}", [f"feat_{s}"], "SELECT *, " + ", ".join(
+        f"{forest_value({f for i, f in enumerate(demo.FOREST_FEATURES) if bits >> i & 1})} AS v{bits}" for bits in range(_ALL + 1)) + f" FROM feat_{s}")
+    _explained("forest_", s, f"forest_{s}", f"v{_ALL}", "v0", forest_terms())
+
 R2 = ("CASE WHEN count(*) < 2 THEN 0.0 WHEN max({y}) = min({y}) THEN CASE WHEN sum(({y}-{p})*({y}-{p})) = 0 THEN 1.0 ELSE 0.0 END "
       "ELSE 1 - sum(({y}-{p})*({y}-{p})) / (var_pop({y}) * count(*)) END")
 

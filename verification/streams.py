@@ -27,6 +27,19 @@ def _(s, d):
     return intraday.since_days(intraday.read_updates(s, path), i.AS_OF)
 
 
+@check("stream_late_rows", f"{K} {' '.join(mart_ops.INTRADAY_SUMS)}:bigint", ["actual"], "SELECT * FROM actual")
+def _(s, d):
+    """The events in twelve micro-batches without order in time: most batches hold rows behind the watermark."""
+    source, path = new_stage(s, "stream-events"), new_stage(s, "stream-slots")
+    events = demo.table(s, d, "events")
+    events.repartition(12, "event_id").write.parquet(source)
+    stream = s.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rows = s.sql(demo.INTRADAY_SQL.replace("SELECT event_id,", "SELECT event_id, cast(ts AS timestamp) AS event_time,").replace("FROM events", "FROM {events}"),
+                 events=stream)
+    intraday.write_slots(rows, path, new_stage(s, "stream-ckpt"), "event_time").awaitTermination()
+    return intraday.since_days(intraday.read_slots(s, path), i.AS_OF)
+
+
 @check("stream_rolling_overwrite", f"{K} sl_pred:double", ["mart"], f"""
 WITH f AS (SELECT ref_date, slot, program_id, channel_id, sl_plan AS sl_pred FROM mart WHERE vol_plan > 0),
 b AS (SELECT ref_date, slot, program_id, channel_id, 0.5 AS sl_pred FROM mart WHERE vol_plan > 1 AND slot >= 480)
