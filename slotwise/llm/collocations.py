@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from slotwise.llm.common import parts, stage, whole
 from slotwise.llm.hashing import mixed, word_hashes
 
 #: Words of a shard; bytes of text that are split at once; rows of a batch of n-grams.
-SHARD, BLOCK, BATCH = 1 << 21, 1 << 22, 1 << 16
+SHARD, BLOCK, BATCH = 1 << 20, 1 << 22, 1 << 16
 #: Bits of the map of frequent pairs: so many for each pair, and at most (32 MB).
 BITS_EACH, PAIR_BITS = 16, 1 << 28
 #: Bits of one row of the map's table.
@@ -98,8 +99,15 @@ class BothWays:
     """Index of a sequence and of its reverse. Intervals are (low, low in the reverse, count), one for each n-gram."""
 
     def __init__(self, seq: np.ndarray, depth: int):
-        self.n = len(seq)
-        self.left, self.right = Index(seq, depth), Index(seq[::-1], depth)
+        self.n, self.seq, self.depth = len(seq), seq, depth
+
+    @cached_property
+    def left(self) -> Index:
+        return Index(self.seq, self.depth)
+
+    @cached_property
+    def right(self) -> Index:
+        return Index(self.seq[::-1], self.depth)
 
     def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([self.n], np.int64)
