@@ -13,6 +13,8 @@ gives an empty result; labels may be empty. Other columns are not read.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from itertools import permutations
 from math import factorial
 
@@ -72,54 +74,59 @@ def mask_counts(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return found.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n"), one("good").alias("good"), one("toxic").alias("toxic"))
 
 
-def potentials(games: DataFrame, removed: Column, filters: int) -> DataFrame:
-    """games with `potential`: an array over the coalitions, each times the number of orders, which keeps it whole.
+def potentials(removed: Column, filters: int) -> Column:
+    """The potential of each coalition, in the order of their bits, times the number of orders.
 
-    The dividend of a coalition of k filters enters with 1 / k, and k divides the number of orders: no division has a rest.
+    A coalition's members come before it in that order. The number of orders is divisible by the size of any coalition, and
+    so is each sum: no division has a rest.
     """
-    orders = factorial(filters)
-    sets = sorted(range(1 << filters), key=lambda s: s.bit_count())
-    out = games.withColumn("_p0", F.lit(0).cast("long"))
-    for size in range(1, filters + 1):
-        level = {}
-        for s in (s for s in sets if s.bit_count() == size):
-            without = [F.col(f"_p{s ^ (1 << i)}") for i in range(filters) if s >> i & 1]
-            level[f"_p{s}"] = F.call_function("div", orders * F.get(removed, F.lit(s)) + sum(without[1:], without[0]), F.lit(size))
-        out = out.withColumns(level)
-    return out.withColumn("potential", F.array(*[F.col(f"_p{s}") for s in range(1 << filters)])).drop(*[f"_p{s}" for s in sets])
+    def potential(acc: Column, s: Column) -> Column:
+        without = [F.when(s.bitwiseAND(1 << i) != 0, F.get(acc, s.bitwiseXOR(F.lit(1 << i)))).otherwise(0) for i in range(filters)]
+        return F.call_function("div", factorial(filters) * F.get(removed, s) + sum(without[1:], without[0]), F.bit_count(s))
+
+    coalitions = F.sequence(F.lit(1), F.lit((1 << filters) - 1))
+    return F.aggregate(coalitions, F.array(F.lit(0).cast("long")), lambda acc, s: F.concat(acc, F.array(potential(acc, s))))
 
 
 def games_of(counts: DataFrame, filters: int) -> DataFrame:
     """part, total, alone, and what each coalition removes: all documents, good ones, toxic ones (arrays)."""
-    def removed(c: str) -> Column:
-        hit = [F.sum(F.when(F.col("mask").bitwiseAND(s) != 0, F.col(c)).otherwise(0)) for s in range(1 << filters)]
-        return F.array(*hit)
-
-    alone = F.array(*[F.sum(F.when(F.col("mask") == 1 << i, F.col("n")).otherwise(0)) for i in range(filters)])
-    return counts.groupBy("part").agg(
-        F.sum("n").alias("total"), alone.alias("alone"), removed("n").alias("removed"), removed("good").alias("good"), removed("toxic").alias("toxic")
+    def over(places: Column, hit: Callable[[Column, Column], Column], c: str) -> Column:
+        zero = F.lit(0).cast("long")
+        return F.transform(places, lambda s: F.aggregate("kinds", zero, lambda acc, x: acc + F.when(hit(x["mask"], s), x[c]).otherwise(0)))
+
+    coalitions = F.sequence(F.lit(0), F.lit((1 << filters) - 1))
+    any_of = lambda mask, s: mask.bitwiseAND(s) != 0
+    kinds = counts.groupBy("part").agg(F.sum("n").alias("total"), F.collect_list(F.struct("mask", "n", "good", "toxic")).alias("kinds"))
+    return kinds.select(
+        "part", "total", over(F.array(*[F.lit(1 << i) for i in range(filters)]), lambda mask, s: mask == s, "n").alias("alone"),
+        over(coalitions, any_of, "n").alias("removed"), over(coalitions, any_of, "good").alias("good"), over(coalitions, any_of, "toxic").alias("toxic"),
     )
 
 
-def audit_steps(counts: DataFrame, names: str) -> DataFrame:
-    """One row per part, order and step; all orders of the filters in `names`."""
-    filters, grand = len(names), (1 << len(names)) - 1
+def all_steps(names: str) -> Column:
+    """Array of (filter_order, step, place, before, after) over all orders of the filters; before and after are coalitions."""
     steps = []
-    for order in permutations(range(filters)):
-        text, before = "".join(names[i] for i in order), 0
+    for order in permutations(range(len(names))):
+        before = 0
         for step, i in enumerate(order, 1):
-            values = {"filter_order": text, "step": step, "at": i, "before": before, "after": before | 1 << i}
-            steps.append(F.struct(*[F.lit(v).alias(k) for k, v in values.items()]))
+            steps.append({"filter_order": "".join(names[k] for k in order), "step": step, "place": i, "before": before, "after": before | 1 << i})
             before |= 1 << i
-    games = potentials(games_of(counts, filters), F.col("removed"), filters)
-    rows = games.select("*", F.inline(F.array(*steps)))
+    return F.from_json(F.lit(json.dumps(steps)), "array<struct<filter_order:string,step:int,place:int,before:int,after:int>>")
+
+
+def audit_steps(counts: DataFrame, names: str) -> DataFrame:
+    """One row per part, order and step; all orders of the filters in `names`."""
+    filters = len(names)
+    games = games_of(counts, filters)
+    rows = games.select("*", potentials(F.col("removed"), filters).alias("potential")).select("*", F.inline(all_steps(names)))
     step = lambda c: F.get(c, F.col("after")) - F.get(c, F.col("before"))
-    own = F.get(F.array(*[F.lit(1 << i) for i in range(filters)]), F.col("at"))
+    own = F.col("after") - F.col("before")
+    grand = F.lit((1 << filters) - 1)
     return rows.select(
         "part", "filter_order", "step", (F.col("total") - F.get("removed", F.col("after"))).alias("kept"), step("removed").alias("removed"),
-        (F.get("removed", own) - step("removed")).alias("redundant"), F.get("alone", F.col("at")).alias("unique_fails"),
+        (F.get("removed", own) - step("removed")).alias("redundant"), F.get("alone", F.col("place")).alias("unique_fails"),
         step("good").alias("good_lost"), step("toxic").alias("toxic_lost"),
-        (F.get("potential", F.lit(grand)) - F.get("potential", F.lit(grand) - own)).alias("shapley"),
+        (F.get("potential", grand) - F.get("potential", grand - own)).alias("shapley"),
     )
 
 
