@@ -2,16 +2,20 @@
 
 A tokenizer that knows comments, quoted attributes and raw-text elements feeds a tree builder that closes and opens tags
 where HTML leaves them out. Rendering skips what is not shown, keeps blocks apart (paragraphs and headings by a blank
-line), numbers and indents lists, keeps preformatted text, and lines up the cells of a table in columns.
+line), numbers and indents lists, keeps preformatted text, and lines up the cells of a table in columns. Text of drawings
+(svg) and formulas (math) is text. All steps take time in proportion to the page, whatever its nesting and quotes.
 
 Cases: a null page has a null text, an empty one an empty text. Broken markup is never an error: stray end tags are
-ignored, open elements end with the page, elements nested deeper than DEPTH become children of that depth. Pages are
-read whole. Equal rows get equal results. An empty table gives an empty result. Other columns are not read.
+ignored, open elements end with the page, a quoted value that does not end closes with the next `>`, and a tag without one is
+text. Elements may nest to any depth; below LEVELS lists, quotes and tables within each other, more of them are plain
+blocks, without indent or columns. Pages are read whole. Equal rows get equal results. An empty table gives an empty result.
+Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -19,16 +23,20 @@ from pyspark.sql import DataFrame
 
 from slotwise.llm.common import with_made
 
-DEPTH = 150
+#: Nested lists, quotes and tables that are laid out.
+LEVELS = 40
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template title noscript iframe object canvas audio video svg math datalist noembed noframes map".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
+HIDDEN = frozenset(
+    "head script style template title noscript iframe object canvas audio video datalist noembed noframes "
+    "desc defs metadata symbol clippath mask pattern annotation annotation-xml".split()
+)
 IN_HEAD = frozenset("base link meta title script style noscript template".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr fieldset menu dir xmp".split())
 BLOCK = SPACED | frozenset(
     "html body address article aside center dd details dialog div dt fieldset figcaption footer form header hgroup legend li main nav "
-    "optgroup option search section summary caption thead tbody tfoot tr td th".split()
+    "optgroup option search section summary caption thead tbody tfoot tr td th svg text".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -45,16 +53,18 @@ ENDS = {
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An end tag does not reach over these.
 SCOPE = frozenset("table td th caption html template".split())
-TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|/?[A-Za-z][^\s/>]*([^>]*)>)""", re.S)
+NAME = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+#: What matters in a tag after its name: its end, or a value in quotes.
+STEP = re.compile(r""">|=\s*(["'])""")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 GAP = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "depth")
+    __slots__ = ("tag", "attrs", "kids")
 
-    def __init__(self, tag: str, attrs: str, depth: int):
-        self.tag, self.attrs, self.kids, self.depth = tag, attrs, [], depth
+    def __init__(self, tag: str, attrs: str):
+        self.tag, self.attrs, self.kids = tag, attrs, []
 
     def attributes(self) -> dict[str, str]:
         found: dict[str, str] = {}
@@ -63,37 +73,97 @@ class Node:
         return found
 
 
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) of a page; kind is text, start, end or raw (the text of a raw-text element)."""
+    at, text, last, lost = 0, 0, page.rfind(">"), set()
+
+    def end_of(at: int) -> int:
+        """Place of the `>` that ends a tag, from a place with one ahead of it."""
+        first = at
+        while (m := STEP.search(page, at)) and m[1]:
+            close = -1 if m[1] in lost else page.find(m[1], m.end())
+            if close < 0:  # no such quote ahead of here, nor of any later place
+                lost.add(m[1])
+                return page.find(">", m.end()) if m.end() <= last else page.find(">", first)
+            at = close + 1
+        return m.start() if m else page.find(">", first)
+
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            close = re.compile("--!?>").search(page, at + 4)
+            stop = close.end() if close else len(page)
+        elif page[at + 1 : at + 2] in ("!", "?"):
+            stop = page.find(">", at) + 1 or len(page)
+        elif (m := NAME.match(page, at + 1)) and m.end() <= last:
+            stop = end_of(m.end()) + 1
+        else:
+            at += 1
+            continue
+        if at > text:
+            yield "text", page[text:at], ""
+        if page[at + 1] not in "!?":
+            name, attrs = m[2].lower(), page[m.end() : stop - 1]
+            yield ("end" if m[1] else "start"), name, attrs
+            if not m[1] and name in RAW and not attrs.endswith("/"):
+                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, stop)
+                close = end.start() if end else len(page)
+                yield "raw", page[stop:close], name
+                stop = end.end() if end else len(page)
+        at = text = stop
+    if text < len(page):
+        yield "text", page[text:], ""
+
+
+class Stack:
+    """Open elements, and where those of each name are."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.where = [root], {root.tag: [0]}
+
+    def push(self, node: Node) -> None:
+        self.where.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, size: int) -> None:
+        while len(self.nodes) > size:
+            self.where[self.nodes.pop().tag].pop()
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of these names; 0 if none is open but the root."""
+        return max((places[-1] for n in names if (places := self.where.get(n))), default=0)
+
+    def close(self, names, limits) -> bool:
+        """End the innermost of these names, unless a limit is nearer."""
+        found = self.last(names)
+        if found and found >= self.last(limits):
+            self.cut(found)
+            return True
+        return False
+
+
 def tree(page: str) -> Node:
-    root = Node("html", "", 0)
+    root = Node("html", "")
     body = None
-    stack = [root]
+    stack = Stack(root)
+    nodes = stack.nodes
 
     def push(tag: str, attrs: str = "") -> None:
-        node = Node(tag, attrs, stack[-1].depth + 1)
-        stack[-1].kids.append(node)
+        node = Node(tag, attrs)
+        nodes[-1].kids.append(node)
         if tag not in VOID:
-            if node.depth < DEPTH:
-                stack.append(node)
-            else:
-                stack[-1].kids.pop()  # too deep: its content stays with the parent
-
-    def close(names, limits) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in names:
-                del stack[k:]
-                return
-            if stack[k].tag in limits:
-                return
+            stack.push(node)
 
     def in_body() -> None:
         nonlocal body
-        if len(stack) > 1 and stack[1].tag == "head":
-            del stack[1:]
+        if stack.where.get("template"):
+            return
+        if len(nodes) > 1 and nodes[1].tag == "head":
+            stack.cut(1)
         if body is None:
             push("body")
-            body = stack[-1]
-        elif len(stack) == 1:
-            stack.append(body)
+            body = nodes[-1]
+        elif len(nodes) == 1:
+            stack.push(body)
 
     def start(tag: str, attrs: str) -> None:
         nonlocal body
@@ -101,7 +171,7 @@ def tree(page: str) -> Node:
             root.attrs += " " + attrs
             return
         if tag == "head":
-            if body is None and len(stack) == 1:
+            if body is None and len(nodes) == 1:
                 push("head")
             return
         if tag == "body":
@@ -111,67 +181,51 @@ def tree(page: str) -> Node:
         if not (body is None and tag in IN_HEAD):
             in_body()
         if tag in CLOSES_P:
-            close({"p"}, SCOPE | {"button"})
-        if tag in HEADINGS and stack[-1].tag in HEADINGS:
-            stack.pop()
+            stack.close({"p"}, SCOPE | {"button"})
+        if tag in HEADINGS and nodes[-1].tag in HEADINGS:
+            stack.cut(len(nodes) - 1)
         elif tag in ENDS:
             names, limits = ENDS[tag]
-            depth = 0
-            while depth != len(stack):
-                depth = len(stack)
-                close(names, limits)
-        if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
+            while stack.close(names, limits):
+                pass
+        if tag in ("td", "th") and nodes[-1].tag in ("table", "tbody", "thead", "tfoot"):
             push("tr")
         push(tag, attrs)
 
-    at = 0
-    for m in iter(lambda: TAG.search(page, at), None):
-        if m.start() > at:
-            text = page[at : m.start()]
-            if body is not None or not text.isspace():
+    for kind, name, rest in tokens(page):
+        if kind == "text":
+            if body is not None or not name.isspace():
                 in_body()
-                stack[-1].kids.append(unescape(text) if "&" in text else text)
-        at = m.end()
-        if not m[2]:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "br":
-                start("br", "")
-            elif tag == "p" and not any(n.tag == "p" for n in stack):
-                start("p", "")
-                stack.pop()
-            elif tag not in ("html", "body"):
-                close({tag}, () if tag in SCOPE else SCOPE)
-            continue
-        start(tag, m[3])
-        if tag in RAW and not m[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            stop = end.start() if end else len(page)
-            if tag in ("textarea", "xmp"):
-                stack[-1].kids.append(unescape(page[at:stop]) if tag == "textarea" else page[at:stop])
-            close({tag}, ())
-            at = end.end() if end else len(page)
-    if at < len(page) and not (body is None and page[at:].isspace()):
-        in_body()
-        stack[-1].kids.append(unescape(page[at:]))
+                nodes[-1].kids.append(unescape(name) if "&" in name else name)
+        elif kind == "start":
+            start(name, rest)
+        elif kind == "raw":
+            if rest in ("textarea", "xmp"):
+                nodes[-1].kids.append(unescape(name) if rest == "textarea" else name)
+            stack.close({rest}, ())
+        elif name == "br":
+            start("br", "")
+        elif name == "p" and not stack.where.get("p"):
+            start("p", "")
+            stack.cut(len(nodes) - 1)
+        elif name not in ("html", "body"):
+            stack.close({name}, () if name in SCOPE else SCOPE)
     return root
 
 
-def shown(node: Node) -> bool | None:
-    """False if neither the element nor its children show; None if only its own text does not."""
+def shown(node: Node, seen: bool) -> bool | None:
+    """Whether the element's own text shows, within an element whose text does or doesn't; None if no child shows either."""
     if node.tag in HIDDEN:
-        return False
+        return None
     if not node.attrs:
-        return node.tag != "dialog"
+        return None if node.tag == "dialog" else seen
     a = node.attributes()
     style = re.sub(r"\s+|!important", "", a.get("style", "").lower())
     rules = dict(r.split(":", 1) for r in style.split(";") if ":" in r)
     if "hidden" in a or rules.get("display") == "none" or rules.get("content-visibility") == "hidden" or node.tag == "dialog" and "open" not in a:
-        return False
-    if rules.get("visibility") == "visible":
-        return True
-    return None if rules.get("visibility") in ("hidden", "collapse") else True
+        return None
+    visibility = rules.get("visibility")
+    return True if visibility == "visible" else False if visibility in ("hidden", "collapse") else seen
 
 
 class Page:
@@ -222,23 +276,37 @@ class Page:
             self.due = 0
 
 
-def render(node: Node, page: Page, pre: bool = False, seen: bool = True) -> None:
+def finished(task: Generator):
+    """Result of a task that yields the tasks it needs and gets their results: recursion without depth."""
+    tasks, value = [task], None
+    while tasks:
+        try:
+            tasks.append(tasks[-1].send(value))
+            value = None
+        except StopIteration as done:
+            tasks.pop()
+            value = done.value
+    return value
+
+
+def render(node: Node, page: Page, pre: bool, seen: bool, level: int) -> Generator:
+    """Put an element's children into the page."""
     number = 0
     attrs = node.attributes() if node.tag == "ol" and node.attrs else {}
     if node.tag == "ol":
         start = attrs.get("start", "1")
         number = int(start) - 1 if re.fullmatch(r"-?\d{1,9}", start) else 0
     closed = node.tag == "details" and "open" not in node.attributes()
+    deep = level >= LEVELS
     for kid in node.kids:
         if isinstance(kid, str):
             if seen and kid and not closed:
                 page.put(kid, pre)
             continue
-        show = shown(kid)
-        if show is False or closed and kid.tag != "summary":
-            continue
-        own = show is True and (seen or "visible" in kid.attrs.lower())
+        own = shown(kid, seen)
         tag = kid.tag
+        if own is None or closed and tag != "summary":
+            continue
         if tag == "br":
             if page.open:
                 page.end()
@@ -246,87 +314,132 @@ def render(node: Node, page: Page, pre: bool = False, seen: bool = True) -> None
                 page.due = max(page.due, 1)
         elif tag == "hr":
             page.end(1)
-        elif tag == "table":
+        elif tag == "table" and not deep:
             page.end(1)
-            page.nested(table_lines(kid, own))
+            page.nested((yield table_lines(kid, own, level + 1)))
             page.end(1)
         elif tag == "li":
             number += 1
             if "value" in kid.attrs and re.fullmatch(r"-?\d{1,9}", value := kid.attributes().get("value", "")):
                 number = int(value)
             mark = f"{number}. " if node.tag == "ol" else "- "
-            inner = block_lines(kid, pre, own)
-            page.nested([(mark if k == 0 else " " * len(mark) if line else "") + line for k, line in enumerate(inner)])
-        elif tag in ("blockquote", "dd"):
+            if deep:
+                page.end()
+                page.lead = mark
+                yield render(kid, page, pre, own, level)
+                page.end()
+                page.lead = ""
+            else:
+                inner = yield block_lines(kid, pre, own, level + 1)
+                page.nested([(mark if k == 0 else " " * len(mark) if line else "") + line for k, line in enumerate(inner)])
+        elif tag in ("blockquote", "dd") and not deep:
             page.end(1 if tag in SPACED else 0)
-            page.nested(["  " + line if line else "" for line in block_lines(kid, pre, own)])
+            inner = yield block_lines(kid, pre, own, level + 1)
+            page.nested(["  " + line if line else "" for line in inner])
             page.end(1 if tag in SPACED else 0)
         elif tag in BLOCK:
             gap = 0 if tag in ("ul", "ol") and node.tag == "li" else int(tag in SPACED)
             page.end(gap)
-            render(kid, page, pre or tag in ("pre", "xmp", "textarea"), own)
+            yield render(kid, page, pre or tag in ("pre", "xmp", "textarea"), own, level)
             page.end(gap)
         else:
-            render(kid, page, pre or tag == "textarea", own)
+            yield render(kid, page, pre or tag == "textarea", own, level)
 
 
-def block_lines(node: Node, pre: bool = False, seen: bool = True) -> list[str]:
+def block_lines(node: Node, pre: bool = False, seen: bool = True, level: int = 0) -> Generator:
     page = Page()
-    render(node, page, pre, seen)
+    yield render(node, page, pre, seen, level)
     page.end()
     return page.lines
 
 
-def table_lines(node: Node, seen: bool) -> list[str]:
+class Grid:
+    """Cells of a table by row and column; a cell may reach over columns, and into rows below of its group."""
+
+    def __init__(self):
+        self.rows: list[dict[int, list[str]]] = []
+        self.held: list[tuple[int, int, int]] = []  # columns that cells above hold: (first, end, rows left)
+
+    def group(self) -> None:
+        self.held = []
+
+    def row(self, cells: list[tuple[list[str], int, int]]) -> None:
+        """A row of (lines, columns, rows) cells."""
+        row, at, held = {}, 0, iter(sorted(self.held))
+        taken = next(held, None)
+        kept = [(a, b, n - 1) for a, b, n in self.held if n > 1]
+        for lines, wide, high in cells:
+            while taken and at >= taken[0]:
+                at = max(at, taken[1])
+                taken = next(held, None)
+            row[at] = lines
+            if high > 1:
+                kept.append((at, at + wide, high - 1))
+            at += wide
+        self.rows.append(row)
+        self.held = kept
+
+    def lines(self) -> list[str]:
+        """Rows as lines, columns in which a cell starts side by side."""
+        width: dict[int, int] = {}
+        for row in self.rows:
+            for column, cell in row.items():
+                width[column] = max(width.get(column, 0), max(map(len, cell), default=0))
+        columns = sorted(width)
+        out = []
+        for row in self.rows:
+            last = max(row, default=-1)
+            used = [c for c in columns if c <= last]
+            for k in range(max((len(cell) for cell in row.values()), default=0)):
+                out.append("  ".join((cell[k] if k < len(cell := row.get(c, [])) else "").ljust(width[c]) for c in used).rstrip())
+        return out
+
+
+def span_of(node: Node, name: str) -> int:
+    """colspan or rowspan; a rowspan of 0 reaches to the end of the group."""
+    value = node.attributes().get(name, "1") if node.attrs else "1"
+    if not re.fullmatch(r"[0-9]{1,6}", value):
+        return 1
+    return min(int(value), 1000) or 1 if name == "colspan" else min(int(value), 65534) or 65534
+
+
+def table_lines(node: Node, seen: bool, level: int) -> Generator:
     """Rows of a table, cells side by side in columns of equal width; captions and other content stand above."""
-    above, rows = [], []
+    above, grid = [], Grid()
 
-    def collect(part: Node, seen: bool) -> None:
-        loose = Node("div", "", part.depth)
+    def collect(part: Node, seen: bool) -> Generator:
+        loose = Node("div", "")
+        grid.group()
         for kid in part.kids:
             if isinstance(kid, str) or kid.tag not in ("thead", "tbody", "tfoot", "tr", "colgroup", "col"):
                 loose.kids.append(kid)
-            elif (show := shown(kid)) is not False:
+            elif (own := shown(kid, seen)) is not None:
                 if kid.tag == "tr":
-                    rows.append(row_cells(kid, seen and show is True))
+                    grid.row((yield row_cells(kid, own)))
                 else:
-                    collect(kid, seen and show is True)
-        above.extend(block_lines(loose, False, seen))
+                    yield collect(kid, own)
+                    grid.group()
+        above.extend((yield block_lines(loose, False, seen, level)))
 
-    def row_cells(row: Node, seen: bool) -> list[list[str]]:
-        cells: list[list[str]] = []
-        loose = Node("div", "", row.depth)
+    def row_cells(row: Node, seen: bool) -> Generator:
+        cells = []
+        loose = Node("div", "")
         for kid in row.kids:
             if isinstance(kid, str) or kid.tag not in ("td", "th"):
                 loose.kids.append(kid)
-            elif (show := shown(kid)) is not False:
-                cells.append(block_lines(kid, False, seen and show is True))
-                span = kid.attributes().get("colspan", "1") if kid.attrs else "1"
-                if span.isdecimal() and 1 < int(span) <= 1000:
-                    cells += [[]] * (int(span) - 1)
-        above.extend(block_lines(loose, False, seen))
+            elif (own := shown(kid, seen)) is not None:
+                cells.append(((yield block_lines(kid, False, own, level)), span_of(kid, "colspan"), span_of(kid, "rowspan")))
+        above.extend((yield block_lines(loose, False, seen, level)))
         return cells
 
-    collect(node, seen)
-    width: list[int] = []
-    for row in rows:
-        for k, cell in enumerate(row):
-            wide = max(map(len, cell), default=0)
-            if k == len(width):
-                width.append(wide)
-            else:
-                width[k] = max(width[k], wide)
-    out = list(above)
-    for row in rows:
-        for k in range(max(map(len, row), default=0)):
-            out.append("  ".join((cell[k] if k < len(cell) else "").ljust(width[c]) for c, cell in enumerate(row)).rstrip())
-    return out
+    yield collect(node, seen)
+    return above + grid.lines()
 
 
 def page_text(html: str | None) -> str | None:
     if html is None:
         return None
-    return "\n".join(block_lines(tree(html)))
+    return "\n".join(finished(block_lines(tree(html))))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

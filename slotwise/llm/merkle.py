@@ -1,33 +1,56 @@
-"""Document fingerprints: a Merkle tree over sections and paragraphs.
+"""Document fingerprints: a Merkle tree over sections, paragraphs and runs of words.
 
-A text is its sections (between blank lines), a section its paragraphs (lines); nothing is lost by the two splits, so
-equal roots mean equal texts. Below a paragraph, runs of a few words tell how alike two texts are.
+A text is its sections (between blank lines), a section its paragraphs (lines), a paragraph its leaves: from each word on,
+the run of RUN words with the blanks between them. Nothing is lost by these splits, so equal roots mean equal texts. An edit
+changes the few leaves that reach over it and no others: two texts are as alike as the share of their distinct leaves that
+they have in common. Differing branches are found from the root down, between the equal branches at both ends.
 
 Native: DataFrame operations only.
 
-Cases: a null text is empty and has the fingerprint of the empty text. Two texts without words are alike (1.0), one
-without words is unlike any other (0.0). Rows of one id are ordered by text, rows without id come after all others. With
-one row, the next document is the row itself. An empty table gives an empty result. Other columns are not read.
+Cases: a null text is empty and has the fingerprint of the empty text. Two texts without leaves are alike (1.0), one
+without is unlike any other (0.0). Rows of one id are ordered by text and share a range of ids; rows without id come after
+all others, in the order of a hash of the text. With one row, the next document is the row itself. An empty table gives an
+empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import parts, whole
 
-#: Words in a run.
-RUN = 4
-#: Code points of text in one key range.
-RANGE_CHARS = 8_000_000
+#: Words of a leaf.
+RUN = 3
+#: A word with the blanks after it, or the blanks a paragraph begins with.
+TOKEN = r"[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+|[\x20\x09\x0B-\x0D]++"
+#: Code points of text in one range of ids; ranges that are put in order together.
+RANGE_CHARS, RANGES = 8_000_000, 4096
+
+
+def with_value(value: Column, of) -> Column:
+    """of(value), where the value is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def runs(paragraph: Column, hashed) -> Column:
+    """Hashes of the runs from each word on; those at the end are shorter."""
+    run = lambda w, i: F.concat_ws("", *[F.get(w, i + k) for k in range(RUN)])  # noqa: E731  slice() would copy all words
+    words = F.regexp_extract_all(paragraph, F.lit(TOKEN), F.lit(0))
+    return with_value(words, lambda w: F.transform(w, lambda _, i: hashed(run(w, i))))
+
+
+def leaves(text: Column) -> Column:
+    """Distinct leaves of a text, as 64-bit hashes."""
+    return F.array_distinct(F.flatten(F.transform(F.split(text, r"\n", -1), lambda p: runs(p, F.xxhash64))))
 
 
 def tree(text: Column) -> Column:
-    """Array of sections, each an array of paragraph hashes."""
-    return F.transform(F.split(text, r"\n\n", -1), lambda s: F.transform(F.split(s, r"\n", -1), F.md5))
+    """Array of sections, each an array of paragraph hashes; a paragraph is hashed from its leaves."""
+    def paragraph(p: Column) -> Column:
+        return F.md5(F.concat(F.lit("paragraph:"), F.array_join(runs(p, F.md5), ",")))
+
+    return F.transform(F.split(text, r"\n\n", -1), lambda s: F.transform(F.split(s, r"\n", -1), paragraph))
 
 
 def section_hashes(nodes: Column) -> Column:
@@ -42,70 +65,102 @@ def fingerprint(text: Column) -> Column:
     return root(tree(text))
 
 
+def equal_ends(a: Column, b: Column) -> Column:
+    """struct(first, last): equal elements at the start of two arrays, and at their end without those."""
+    least = F.least(F.size(a), F.size(b))
+
+    def run(x: Column, y: Column) -> Column:
+        same = F.zip_with(F.slice(x, F.lit(1), least), F.slice(y, F.lit(1), least), lambda p, q: p == q)
+        return F.coalesce(F.nullif(F.array_position(same, False).cast("int"), F.lit(0)), least + 1) - 1
+
+    both = F.struct(run(a, b).alias("first"), run(F.reverse(a), F.reverse(b)).alias("last"))
+    return with_value(both, lambda e: F.struct(e["first"].alias("first"), F.least(least - e["first"], e["last"]).alias("last")))
+
+
+def between(a: Column, b: Column, of) -> Column:
+    """of(place, element of a, element of b) of the elements between the equal ends, in order; null where one has no more."""
+    def found(ends: Column) -> Column:
+        first, last = ends["first"], ends["last"]
+        count = F.greatest(F.size(a), F.size(b)) - first - last
+        at = lambda x, k: F.when(k < F.size(x) - last, F.get(x, k))
+        places = F.when(count > 0, F.sequence(first, first + F.greatest(count, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+        differ = F.filter(places, lambda k: ~at(a, k).eqNullSafe(at(b, k)))
+        return F.transform(differ, lambda k: of(k, at(a, k), at(b, k)))
+
+    return with_value(equal_ends(a, b), found)
+
+
 def changed_branches(old: Column, new: Column) -> Column:
-    """Where two trees differ: (section, paragraph) from 0; paragraph -1 where only one of them has the section."""
-    def paragraphs(i: Column) -> Column:
-        a, b = F.get(old, i), F.get(new, i)
-        alone = F.array(F.struct(i.alias("section"), F.lit(-1).alias("paragraph")))
-        places = F.sequence(F.lit(0), F.greatest(F.size(a), F.size(b)) - 1)
-        differ = F.filter(places, lambda j: ~F.get(a, j).eqNullSafe(F.get(b, j)))
-        both = F.transform(differ, lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
-        return F.when(a.isNull() | b.isNull(), alone).otherwise(both)
+    """Where two trees differ: (section, paragraph) from 0; paragraph -1 where only one of them has the section.
 
-    sections = F.sequence(F.lit(0), F.greatest(F.size(old), F.size(new)) - 1)
-    differ = F.filter(sections, lambda i: ~F.get(old, i).eqNullSafe(F.get(new, i)))
-    return F.flatten(F.transform(differ, paragraphs))
+    Sections between the equal ones at both ends are compared in order, and so are the paragraphs of a section.
+    """
+    branch = lambda section, paragraph: F.struct(section.alias("section"), paragraph.alias("paragraph"))
 
+    def section(i: Column, a: Column, b: Column) -> Column:
+        alone = F.array(branch(i, F.lit(-1)))
+        return F.when(a.isNull() | b.isNull(), alone).otherwise(between(a, b, lambda j, x, y: branch(i, j)))
 
-def runs(text: Column, words: int = RUN) -> Column:
-    """Distinct hashes of the text's word runs; a run ends with its paragraph."""
-    found = F.regexp_extract_all(text, F.lit(rf"(?:[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+){{1,{words}}}+"), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda run: F.xxhash64(F.rtrim(run))))
+    return F.flatten(between(old, new, section))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the common runs over all runs, of two results of runs()."""
+    """Twice the common leaves over all leaves, of two arrays of distinct leaves."""
     both = F.size(a) + F.size(b)
     return F.when(both == 0, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both)
 
 
-def id_ranges(rows: DataFrame, count: int) -> tuple[Column, Column, int]:
-    """The key range of a row's doc_id (from 0), the largest id of that range, the number of ranges. Brings `count` ids to the driver."""
-    at = [i / count for i in range(1, count)]
-    found = rows.agg(F.min("doc_id"), F.percentile_approx("doc_id", at, 20 * count) if at else F.lit(None)).first()
-    bounds = sorted({b for b in found[1] or [] if b > found[0]})
-    width = max(1, math.isqrt(len(bounds)))
-    chunks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    if not bounds:
-        place = F.lit(0)
-    else:
-        chunk = F.size(F.filter(F.lit([c[0] for c in chunks]), lambda b: b <= F.col("doc_id")))
-        inner = F.filter(F.get(F.array(*[F.lit(c) for c in chunks]), chunk - 1), lambda b: b <= F.col("doc_id"))
-        place = F.when(F.col("doc_id") < bounds[0], 0).when(F.col("doc_id").isNull(), 0).otherwise((chunk - 1) * width + F.size(inner))
-    tops = dict(rows.groupBy(place.alias("k")).agg(F.max("doc_id")).collect())
-    return place, F.get(F.lit([tops.get(k) for k in range(len(bounds) + 1)]).cast("array<bigint>"), place), len(bounds) + 1
+def ranged(docs: DataFrame) -> DataFrame:
+    """Rows with `range`, a number that falls with the place of the row: ids in ranges of equal width, then rows without id.
+
+    The ends of the ids, the sizes and nothing else come to the driver.
+    """
+    no_id = F.col("doc_id").isNull()
+    found = docs.agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(F.length("text")).alias("chars"),
+        F.sum(F.when(no_id, F.length("text"))).alias("loose"),
+    ).first()
+    count, loose = (parts(docs.sparkSession, found[c], RANGE_CHARS) for c in ("chars", "loose"))
+    low, high = found["low"] or 0, found["high"] or 0
+    width = F.lit((high - low) // count + 1).cast("decimal(20,0)")
+    place = F.call_function("div", F.col("doc_id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)"), width)
+    by_hash = F.conv(F.substring(F.md5("text"), 1, 8), 16, 10).cast("long")
+    return docs.withColumn("range", F.when(no_id, -1 - F.call_function("div", by_hash * loose, F.lit(1 << 32))).otherwise(place))
+
+
+def following(ranges: DataFrame) -> DataFrame:
+    """range, after: the range that comes next, downwards; after the lowest comes the highest. From distinct numbers.
+
+    Ranges are put in order RANGES at a time, then those groups, a row for each.
+    """
+    groups = ranges.withColumn("group", F.floor(F.col("range") / RANGES))
+    inside = Window.partitionBy("group").orderBy(F.col("range").desc())
+    rows = groups.withColumn("after", F.lead("range").over(inside))
+    tops = groups.groupBy("group").agg(F.max("range").alias("top"))
+    all_groups = Window.orderBy(F.col("group").desc())
+    first = F.first("top").over(all_groups.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    tops = tops.select(F.col("group").alias("_group"), F.coalesce(F.lead("top").over(all_groups), first).alias("next_top"))
+    return rows.join(tops, F.col("group") == F.col("_group")).select("range", F.coalesce("after", "next_top").alias("after"))
 
 
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """Each row with next_<column> of the document that follows in descending doc_id; after the last comes the first.
 
-    Rows are dealt by ranges of ids, and the first document of a range is copied to the range before it, so one shuffle
-    of the texts is enough and no range is larger than its share.
+    Rows are dealt by ranges of ids and put in order there. Only the last row of a range meets the first row of the next one
+    in a join, so the texts are shuffled once.
     """
-    spark = docs.sparkSession
-    chars = docs.agg(F.sum(F.length("text"))).first()[0]
-    place, top, count = id_ranges(docs.select("doc_id"), parts(spark, chars, RANGE_CHARS))
-    own = F.struct(F.col("range"), F.lit(False).alias("copy"))
-    copy = F.struct(F.expr(f"(range + 1) % {count}").alias("range"), F.lit(True).alias("copy"))
-    rows = (
-        docs.withColumn("range", place.cast("int"))
-        .withColumn("dealt", F.explode(F.when(F.col("doc_id").eqNullSafe(top), F.array(own, copy)).otherwise(F.array(own))))
-        .drop("range")
-        .select("*", "dealt.range", "dealt.copy")
-        .drop("dealt")
+    rows = ranged(docs)
+    order = Window.partitionBy("range").orderBy(
+        F.col("doc_id").desc_nulls_last(), F.when(F.col("doc_id").isNull(), F.md5("text")), "text"
     )
-    order = Window.partitionBy("range").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
-    return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).filter("not copy").drop("range", "copy")
+    after = {f"next_{c}": F.lead(c).over(order) for c in columns}
+    placed = rows.withColumns(after | {"place": F.row_number().over(order), "more": F.lead(F.lit(True)).over(order)})
+    heads = placed.filter("place = 1").select(F.col("range").alias("_range"), *[F.col(c).alias(f"_{c}") for c in columns])
+    links = following(rows.select("range").distinct()).withColumnRenamed("range", "_from")
+    ends = placed.filter("more is null").join(links, F.col("range") == F.col("_from")).join(heads, F.col("after") == F.col("_range"))
+    ends = ends.withColumns({f"next_{c}": F.col(f"_{c}") for c in columns})
+    out = [*docs.columns, *after]
+    return placed.filter("more").select(*out).unionByName(ends.select(*out))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -113,19 +168,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edit replaces the last third of a text by the head of the next document, descending doc_id.
     """
-    rows = docs.select("doc_id", whole(F.col("text")).alias("text")).withColumn("runs", runs(F.col("text")))
+    rows = docs.select("doc_id", whole(F.col("text")).alias("text"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     return (
-        with_next(rows, ["text", "runs"])
+        with_next(rows, ["text"])
         .withColumn("n_chars", F.length("text").cast("long"))
         .withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next_text", F.lit(1), cut)))
-        .withColumn("tree", tree(F.col("text")))
-        .withColumn("edited_tree", tree(F.col("edited")))
+        .withColumns({"tree": tree(F.col("text")), "edited_tree": tree(F.col("edited"))})
+        .withColumns({c: leaves(F.col(t)) for c, t in (("leaves", "text"), ("edited_leaves", "edited"), ("next_leaves", "next_text"))})
         .select(
             "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
             root(F.col("tree")).alias("fingerprint"), root(F.col("edited_tree")).alias("edited_fingerprint"),
-            likeness(F.col("runs"), runs(F.col("edited"))).alias("near_edited"),
-            likeness(F.col("runs"), F.col("next_runs")).alias("near_next"),
+            likeness(F.col("leaves"), F.col("edited_leaves")).alias("near_edited"),
+            likeness(F.col("leaves"), F.col("next_leaves")).alias("near_next"),
             F.size("tree").alias("n_sections"),
             F.size(changed_branches(F.col("tree"), F.col("edited_tree"))).alias("n_changed"),
         )

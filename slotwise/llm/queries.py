@@ -126,30 +126,56 @@ ORACLES = {
             from follow),
         trees as (
             select *,
-                list_transform(string_split(text, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: md5(p))) as tree,
-                list_transform(string_split(edited, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: md5(p)))
-                    as edited_tree,
-                list_distinct(list_transform(regexp_extract_all(text, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}'), lambda r: rtrim(r, ' '))) as runs,
-                list_distinct(list_transform(regexp_extract_all(edited, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}'), lambda r: rtrim(r, ' ')))
-                    as edited_runs,
-                list_distinct(list_transform(regexp_extract_all(next_text, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}'), lambda r: rtrim(r, ' ')))
-                    as next_runs
-            from edits)
+                list_transform(string_split(text, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p:
+                    md5('paragraph:' || array_to_string(list_transform([regexp_extract_all(p, '[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*|[\x20\x09\x0B-\x0D]+')], lambda t: list_transform(range(1, len(t) + 1),
+                        lambda i: md5(array_to_string(t[i:i + 2], ''))))[1], ',')))) as tree,
+                list_transform(string_split(edited, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p:
+                    md5('paragraph:' || array_to_string(list_transform([regexp_extract_all(p, '[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*|[\x20\x09\x0B-\x0D]+')], lambda t: list_transform(range(1, len(t) + 1),
+                        lambda i: md5(array_to_string(t[i:i + 2], ''))))[1], ',')))) as edited_tree,
+                list_distinct(flatten(list_transform(string_split(text, chr(10)), lambda p:
+                    list_transform([regexp_extract_all(p, '[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*|[\x20\x09\x0B-\x0D]+')], lambda t: list_transform(range(1, len(t) + 1),
+                        lambda i: array_to_string(t[i:i + 2], '')))[1]))) as leaves,
+                list_distinct(flatten(list_transform(string_split(edited, chr(10)), lambda p:
+                    list_transform([regexp_extract_all(p, '[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*|[\x20\x09\x0B-\x0D]+')], lambda t: list_transform(range(1, len(t) + 1),
+                        lambda i: array_to_string(t[i:i + 2], '')))[1]))) as edited_leaves,
+                list_distinct(flatten(list_transform(string_split(next_text, chr(10)), lambda p:
+                    list_transform([regexp_extract_all(p, '[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*|[\x20\x09\x0B-\x0D]+')], lambda t: list_transform(range(1, len(t) + 1),
+                        lambda i: array_to_string(t[i:i + 2], '')))[1]))) as next_leaves
+            from edits),
+        heads as (select *, coalesce(nullif(list_position(list_transform(range(1, least(len(tree), len(edited_tree)) + 1), lambda i: tree[i] = edited_tree[i]), false), 0), least(len(tree), len(edited_tree)) + 1) - 1 as head from trees),
+        ends as (
+            select *, least(least(len(tree), len(edited_tree)) - head,
+                coalesce(nullif(list_position(list_transform(range(1, least(len(tree), len(edited_tree)) + 1), lambda i: tree[len(tree) - i + 1] = edited_tree[len(edited_tree) - i + 1]), false), 0), least(len(tree), len(edited_tree)) + 1) - 1) as tail
+            from heads),
+        sections as (
+            select *, list_transform(range(1, greatest(len(tree), len(edited_tree)) - head - tail + 1), lambda k: struct_pack(
+                a := case when head + k <= len(tree) - tail then tree[head + k] end,
+                b := case when head + k <= len(edited_tree) - tail then edited_tree[head + k] end)) as pairs
+            from ends),
+        pair_heads as (
+            select *, list_transform(list_filter(pairs, lambda x: x.a is distinct from x.b), lambda x: struct_pack(a := x.a, b := x.b,
+                head := coalesce(nullif(list_position(list_transform(range(1, least(len(x.a), len(x.b)) + 1), lambda i: x.a[i] = x.b[i]), false), 0), least(len(x.a), len(x.b)) + 1) - 1)) as headed
+            from sections),
+        pair_ends as (
+            select *, list_transform(headed, lambda x: struct_pack(a := x.a, b := x.b, head := x.head, tail := least(least(len(x.a), len(x.b)) - x.head,
+                coalesce(nullif(list_position(list_transform(range(1, least(len(x.a), len(x.b)) + 1), lambda i: x.a[len(x.a) - i + 1] = x.b[len(x.b) - i + 1]), false), 0), least(len(x.a), len(x.b)) + 1) - 1))) as differ
+            from pair_heads),
+        counted as (
+            select *, coalesce(list_sum(list_transform(differ, lambda x: case when x.a is null or x.b is null then 1 else
+                len(list_filter(range(1, greatest(len(x.a), len(x.b)) - x.head - x.tail + 1), lambda k:
+                    (case when x.head + k <= len(x.a) - x.tail then x.a[x.head + k] end)
+                        is distinct from (case when x.head + k <= len(x.b) - x.tail then x.b[x.head + k] end))) end)), 0)::int as n_changed
+            from pair_ends)
         select doc_id, n_chars, sha256(edited) as edited_sha256,
             md5('root:' || array_to_string(list_transform(tree, lambda s: md5('section:' || array_to_string(s, ','))), ',')) as fingerprint,
             md5('root:' || array_to_string(list_transform(edited_tree, lambda s: md5('section:' || array_to_string(s, ','))), ','))
                 as edited_fingerprint,
-            case when len(runs) + len(edited_runs) = 0 then 1.0
-                else 2.0::double * len(list_intersect(runs, edited_runs)) / (len(runs) + len(edited_runs)) end::double as near_edited,
-            case when len(runs) + len(next_runs) = 0 then 1.0
-                else 2.0::double * len(list_intersect(runs, next_runs)) / (len(runs) + len(next_runs)) end::double as near_next,
-            len(tree)::int as n_sections,
-            list_sum(list_transform(range(1, greatest(len(tree), len(edited_tree)) + 1), lambda i:
-                case when tree[i] is not distinct from edited_tree[i] then 0
-                    when tree[i] is null or edited_tree[i] is null then 1
-                    else len(list_filter(range(1, greatest(len(tree[i]), len(edited_tree[i])) + 1),
-                        lambda j: tree[i][j] is distinct from edited_tree[i][j])) end))::int as n_changed
-        from trees""",
+            case when len(leaves) + len(edited_leaves) = 0 then 1.0
+                else 2.0::double * len(list_intersect(leaves, edited_leaves)) / (len(leaves) + len(edited_leaves)) end::double as near_edited,
+            case when len(leaves) + len(next_leaves) = 0 then 1.0
+                else 2.0::double * len(list_intersect(leaves, next_leaves)) / (len(leaves) + len(next_leaves)) end::double as near_next,
+            len(tree)::int as n_sections, n_changed
+        from counted""",
     "op6_minhash": r"""
         with recursive words as (
             select doc_id, regexp_extract_all(

@@ -6,7 +6,7 @@ import random
 import re
 
 import pytest
-from corpus_cases import collected, documents, rows
+from corpus_cases import collected, documents, rows, sentence
 from pyspark.sql import functions as F
 
 from slotwise.llm import html_text, language_id, merkle, mixing, piece_bpe, secrets
@@ -142,9 +142,13 @@ def test_fingerprints(spark):
 def test_next_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(merkle, "RANGE_CHARS", 20)
     data = [((k * 37) % 1009 - 400, f"text {k} " * (k % 5), None, None) for k in range(300)] + [(None, "none", None, None)]
-    order = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    data += [(None, f"none {k}", None, None) for k in range(20)] + [(-(1 << 63), "low", None, None), ((1 << 63) - 1, "high", None, None)]
+    order = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.md5(r[1].encode()).hexdigest() if r[0] is None else ""))
+    monkeypatch.setattr(merkle, "RANGES", 3)
     got = merkle.with_next(documents(spark, data).select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["text"])
-    assert {r.doc_id: r.next_text for r in got.collect()} == {r[0]: order[(k + 1) % len(order)][1] for k, r in enumerate(order)}
+    got = got.collect()
+    assert len(got) == len(data) and sum(r.next_text == "none" for r in got) <= 1
+    assert {(r.doc_id, r.text): r.next_text for r in got} == {(r[0], r[1]): order[(k + 1) % len(order)][1] for k, r in enumerate(order)}
 
 
 def test_one_document_is_its_own_next(spark):
@@ -152,10 +156,46 @@ def test_one_document_is_its_own_next(spark):
     assert r.edited_sha256 == sha("one two three four" + "one two t") and r.near_next == 1.0
 
 
+BRANCHES = [
+    ("a\nb\n\nc\nd", "a\nX\n\nc\nd\n\ne", [(0, 1), (2, -1)]),
+    ("\n".join(f"line {k}" for k in range(20)), "new\n" + "\n".join(f"line {k}" for k in range(20)), [(0, 0)]),
+    ("\n".join(f"line {k}" for k in range(20)), "\n".join(f"line {k}" for k in range(20) if k != 7), [(0, 7)]),
+    ("a\n\nb\n\nc", "a\n\nnew\n\nb\n\nc", [(1, -1)]),
+    ("a\n\nb\n\nc", "a\n\nc", [(1, -1)]),
+    ("x\nx\nx", "x\nx", [(0, 2)]), ("same", "same", []), ("", "x", [(0, 0)]), ("", "", []), ("a b", "a  b", [(0, 0)]),
+]
+
+
 def test_changed_branches(spark):
-    df = spark.createDataFrame([("a\nb\n\nc\nd", "a\nX\n\nc\nd\n\ne")], "a string, b string")
-    found = df.select(merkle.changed_branches(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("d")).first().d
-    assert [tuple(x) for x in found] == [(0, 1), (2, -1)]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b, _) in enumerate(BRANCHES)], "k int, a string, b string")
+    found = df.select("k", merkle.changed_branches(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("d")).collect()
+    assert {r.k: [tuple(x) for x in r.d] for r in found} == {k: want for k, (_, _, want) in enumerate(BRANCHES)}
+
+
+def test_likeness_of_small_edits(spark):
+    """One word, or one line, in front, in the middle or at the end: texts of 50 words or more stay above 0.9."""
+    texts = [t for _, t, *_ in rows() if len(WORDS.findall(t or "")) >= 50] + [" ".join(sentence(random.Random(k), 50 + k)[:400] for _ in "x") for k in range(40)]
+    edits = []
+    for t in (t for t in texts if len(WORDS.findall(t)) >= 50):
+        words = t.split(" ")
+        half = len(words) // 2
+        edits += [(t, "word " + t), (t, "one more line\n" + t), (t, " ".join(words[:half] + ["word"] + words[half:])), (t, t + " word"), (t, t.replace(words[half], "other", 1))]
+    df = spark.createDataFrame(edits, "a string, b string")
+    near = df.select(merkle.likeness(merkle.leaves(F.col("a")), merkle.leaves(F.col("b"))).alias("n"), "a", "b")
+    low = near.filter("n <= 0.9 or n >= 1.0").collect()
+    assert not [r for r in low if r.n <= 0.9 or r.a == r.b], low[:2]
+
+
+def test_leaves(spark):
+    """Runs of three words from each word on, blanks included, inside a paragraph; the words before them give the text back."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["a", "b ", "the ", "\t", "x.", "\n", "\x0b", "é ", "日 ", "zz", " "]) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    rows_ = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.transform(F.split("t", "\n", -1), lambda p: merkle.runs(p, lambda run: run)).alias("r")).collect()
+    for r in rows_:
+        assert len(r.r) == len(r.t.split("\n"))
+        for paragraph, own in zip(r.t.split("\n"), r.r):
+            words = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*|[\x20\x09\x0B-\x0D]+", paragraph)
+            assert "".join(words) == paragraph and own == ["".join(words[k : k + 3]) for k in range(len(words))]
 
 
 # -- secrets
@@ -261,6 +301,12 @@ PAGES = {
     "<h1>T</h1>para<div>one</div><div>two</div>": "T\n\npara\none\ntwo",
     "<head><title>t</title><body><details><summary>s</summary>hidden</details>": "s",
     "<blockquote>q<p>r</blockquote><hr>z": "  q\n\n  r\n\nz",
+    "<svg><title>no</title><text>label</text><text>b</text></svg><math><mi>x</mi><mo>=</mo><annotation>no</annotation></math><map>maptext</map>": "label\nb\nx=maptext",
+    "<div style='visibility:hidden'>a<b class='not-visible-here'>LEAK</b><b style='visibility: VISIBLE'>v</b></div>w": "v\nw",
+    "<a '>q</a> <a b=\"c>d</a> <i>e</i>": "q d e",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<td>d<tr><td>e</table>": "a  b\n   c  d\ne",
+    "<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>": "a  b\n   c\nd  e",
+    "<table><tr><td colspan=3>wide<td>x<tr><td>1<td>y</table>": "wide     x\n1     y",
     "": "", "  \n ": "", "plain": "plain", "</p></div>x</b>": "x", "<": "<", "<b": "<b", "<!-- open": "",
 }
 
@@ -274,6 +320,60 @@ def test_deep_and_long_pages():
     assert html_text.page_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert html_text.page_text("<p>word " * 20_000).count("word") == 20_000
     assert html_text.page_text("<table><tr><td>" * 300 + "x").strip() == "x"
+    hidden = "<div>" * 160 + "<span style='display:none'>SECRET</span><noscript>NO</noscript><svg><defs>D</defs></svg>x"
+    assert html_text.page_text(hidden) == "x"
+    assert html_text.page_text("<div><p>" * 50_000 + "<i style='visibility:hidden'>" * 50_000 + "<b style='visibility:visible'>y").strip() == "y"
+    assert html_text.page_text("<ul><li>" * 3_000 + "z").split()[-1] == "z"
+
+
+@pytest.mark.parametrize("piece", ["<a '", "<a \"", "<a b='", "<a b=\"", "<a b='>", "<b>", "<b><div>", "<", "</", "<!--", "<!", "</b>", "<p><b>", "<td>", "<li><blockquote>", "<table>", "a=' ", "<td colspan=1000 rowspan=9>"])
+def test_time_in_proportion(piece):
+    """A megabyte of one piece of markup takes a few seconds at most, and twice as much about twice the time."""
+    import time
+
+    took = []
+    for size in (1 << 19, 1 << 20):
+        start = time.process_time()
+        html_text.page_text(piece * (size // len(piece)) + "end")
+        took.append(time.process_time() - start)
+    assert took[1] < 3.2 * took[0] + 0.5 and took[1] < 40
+
+
+def random_element(rng, depth, seen, words):
+    """Markup of a random element, closed properly; the words that show are added to `words`."""
+    out = ""
+    for _ in range(rng.randint(0, 4)):
+        if depth and rng.random() < 0.6:
+            tag = rng.choice(["div", "section", "span", "b", "math", "blockquote", "ul", "script", "noscript", "template", "textarea", "table", "canvas"])
+            style = rng.choice(["", "", "", "", " hidden", " style='display:none'", " style=\"visibility:hidden\"", " style='visibility: visible'", " title='a>b' class=\"visible hidden\"", " data-x=hidden"])
+            shows = {"": seen, " style=\"visibility:hidden\"": False, " style='visibility: visible'": True}.get(style, seen)
+            gone = style in (" hidden", " style='display:none'") or tag in ("script", "noscript", "template", "canvas")
+            inside: list[str] = []
+            if tag in ("script", "textarea", "noscript"):
+                word = f"w{rng.randrange(10**9)}"
+                body, inside = f" <b>{word}</b> if (a<b) ", [word] * shows
+            elif tag == "ul":
+                body = "".join(f"<li>{random_element(rng, depth - 1, shows, inside)}</li>" for _ in range(rng.randint(0, 3)))
+            elif tag == "table":
+                body = "".join("<tr>" + "".join(f"<td>{random_element(rng, depth - 1, shows, inside)}</td>" for _ in range(rng.randint(1, 3))) + "</tr>" for _ in range(rng.randint(1, 3)))
+            else:
+                body = random_element(rng, depth - 1, shows, inside)
+            out += f"<{tag}{style}>{body}</{tag}>"
+            words += [] if gone else inside
+        else:
+            word = f"w{rng.randrange(10**9)}"
+            out += rng.choice([" ", "", "<br>", "<!-- no -->", "&amp; "]) + f" {word} "
+            words += [word] * seen
+    return out
+
+
+def test_visible_words_of_random_trees():
+    """What a plain recursion over the generated tree takes for visible, and nothing else, comes out."""
+    rng = random.Random(12)
+    for _ in range(400):
+        words: list[str] = []
+        page = random_element(rng, 5, True, words)
+        assert sorted(re.findall(r"w\d+", html_text.page_text(page))) == sorted(words), page
 
 
 def test_all_visible_words_stay():
