@@ -67,4 +67,5 @@ def exact_dedup(docs: DataFrame, keep: Callable[[Column], Column] = F.max, singl
     keys = repeated.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), text_hash(F.col("text")).alias("hash"))
     rows = rows.join(keys, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_sha")), "left_semi")
-    return left.unionByName(rows.groupBy("id", "hash").agg(F.min("row").alias("row")).select("row.*"))
+    one = F.min_by("row", F.to_json("row"))  # as text: rows may hold maps, which have no order
+    return left.unionByName(rows.groupBy("id", "hash").agg(one.alias("row")).select("row.*"))

@@ -86,12 +86,17 @@ def tail(host: Column, labels: int) -> Column:
     return F.substring_index(host, ".", -labels)
 
 
+def parent(host: Column) -> Column:
+    """The host without its first label, if two or more are left: what it shares with its neighbours, never itself."""
+    return F.when(F.size(F.split(host, r"\.")) > 2, F.regexp_replace(host, r"^[^.]*\.", ""))
+
+
 def from_pages(pages: DataFrame) -> DataFrame:
     """page_id, text, declared, suffix, domain and host of web pages."""
     text = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#A-Za-z0-9]+;", " ")
     declared = primary(F.regexp_extract("html", r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1))
     host = host_of(F.col("url"))
-    return pages.select("page_id", text.alias("text"), declared.alias("declared"), tail(host, 1).alias("suffix"), tail(host, 3).alias("domain"), host.alias("host"))
+    return pages.select("page_id", text.alias("text"), declared.alias("declared"), tail(host, 1).alias("suffix"), parent(host).alias("domain"), host.alias("host"))
 
 
 def from_documents(docs: DataFrame) -> DataFrame:

@@ -40,8 +40,10 @@ SHINGLE, PERCENT = 5, 80
 SKETCH, OVERLAP = 32, 12
 #: Parts of a set and values retained of each, for the inverted lists; sizes below which sets are kept whole.
 BANDS, DEPTH, SMALL = 28, 3, 80
-#: Members of one hub in a task; shingles of a block in step 4; bits of the bitmap of wanted ids.
-FAN, BLOCK_SHINGLES, BITS = 512, 500_000, 1 << 25
+#: Members of one hub in a task; shingles of a block in step 4.
+FAN, BLOCK_SHINGLES = 512, 500_000
+#: Bits of the bitmap of wanted ids for each of them, and at most (32 MB); more ids are joined instead.
+BITS_EACH, MOST_BITS = 16, 1 << 28
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -130,32 +132,41 @@ def flip(x: Column) -> Column:
     return x.bitwiseXOR(F.lit(NO_ID))
 
 
-def bit_of(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(BITS))
+def bit_of(column: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(bits))
 
 
-def bitmap(wanted: DataFrame) -> bytes:
-    """BITS bits, of which those of the wanted ids are set."""
-    bits = wanted.select(bit_of("id").alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("map"))
-    flat = np.zeros(BITS // 8, np.uint8)
-    for r in bits.collect():
+def bitmap(wanted: DataFrame, bits: int) -> bytes:
+    """`bits` bits, of which those of the wanted ids are set."""
+    placed = wanted.select(bit_of("id", bits).alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit + 1)").alias("k"))
+    flat = np.zeros(bits // 8, np.uint8)
+    for r in placed.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("map")).collect():
         flat[(r["k"] - 1) * 4096 : r["k"] * 4096] = np.frombuffer(r["map"], np.uint8)
     return flat.tobytes()
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """id, set (bytes of the sorted hashes) of the wanted ids, and of the few others that a bitmap of BITS bits lets through."""
-    flat = bitmap(wanted)
+    """id, set (bytes of the sorted hashes) of the wanted ids.
+
+    A bitmap sized by their number keeps most other texts from being read again; the few it lets through do no harm. Where
+    it would not fit, the texts are joined to the ids.
+    """
+    bits = 1 << max(18, (BITS_EACH * wanted.count()).bit_length())
+    small = bits <= MOST_BITS
+    flat = bitmap(wanted, bits) if small else b""
 
     def run(batches):
         have = np.frombuffer(flat, np.uint8)
         for b in small_batches(batches):
-            at = b.column("bit").to_numpy()
-            b = b.filter(pa.array(have[at >> 3] >> (at & 7) & 1 == 1))
+            if small:
+                at = b.column("bit").to_numpy()
+                b = b.filter(pa.array(have[at >> 3] >> (at & 7) & 1 == 1))
             sets = [s.tobytes() for s in shingle_sets(b.column("text").to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    made = docs.withColumn("bit", bit_of("id")).mapInArrow(run, "id long, set binary")
+    if not small:
+        docs = docs.join(wanted.select(F.col("id").alias("_wanted")).distinct(), F.col("id") == F.col("_wanted"), "left_semi")
+    made = docs.withColumn("bit", bit_of("id", bits)).mapInArrow(run, "id long, set binary")
     return stage(made.filter(F.length("set") > 0), "sets")
 
 

@@ -10,6 +10,8 @@ without words get target 0. An empty table gives an empty result. Other columns
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +21,6 @@ from slotwise.llm.common import WORD, stage, whole
 WEIGHTS = (5, 2, 1)
 #: A source is repeated so often at most.
 EPOCHS = 3
-#: Hex digits of the key that name a key range; a range is the unit of the prefix sums.
-DIGITS = 3
 
 
 def size_of(text: Column) -> Column:
@@ -53,13 +53,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, share: float = 1
     """doc_id, source, size, source_size, target, taken, mark (a hash of the text) for each row.
 
     Only ids, sources, sizes and keys are kept after the first pass. Key ranges are summed first; a window then runs
-    over the one range per source in which the budget ends, so a hot source costs no more than 1/16^DIGITS of its rows
-    in one task.
+    over the one range per source in which the budget ends. There are about as many ranges as a range of all rows has rows,
+    so neither the ranges of a source nor the rows of a range outgrow a task: a million each for 10^12 rows.
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     mark = F.xxhash64(whole(F.col("text")))
     rows = stage(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), key.alias("key"), mark.alias("mark")), "mix")
-    ranges = rows.groupBy("source", F.substring("key", 1, DIGITS).alias("range")).agg(F.sum("size").alias("range_size"))
+    digits = max(1, math.ceil(math.log(max(rows.count(), 2), 16) / 2))
+    ranges = rows.groupBy("source", F.substring("key", 1, digits).alias("range")).agg(F.sum("size").alias("range_size"))
     targets = mix_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, epochs, share)
     plan = targets.withColumn("budget", F.least(F.floor("target"), F.col("source_size") * epochs))
     plan = plan.withColumn("whole", F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(0).cast("long"))
@@ -73,7 +74,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, share: float = 1
         .select(F.col("source").alias("_c"), F.col("cut.range").alias("cut_range"), F.col("cut.range_before").alias("cut_before"))
     )
     plan = plan.join(cuts, F.col("source").eqNullSafe(F.col("_c"))).drop("_c").withColumnRenamed("source", "_s")
-    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).withColumn("range", F.substring("key", 1, DIGITS))
+    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).withColumn("range", F.substring("key", 1, digits))
     inside = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (
         placed.filter("range = cut_range")
