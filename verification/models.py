@@ -1,5 +1,7 @@
 """Model operators. Tree fits have no SQL twin; linear ones do."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from slotwise import catalog
@@ -79,6 +81,34 @@ def _(s, d):
     return tr.param_search(train_rows(s, d), _features(s, d), CFG)
 
 
+SIZES = "SELECT program_id, count(*) AS n FROM feat_train WHERE program_id IN (SELECT program_id FROM mart_train GROUP BY 1 HAVING sum(vol_actual) > 0) GROUP BY 1"
+
+
+@check("cv_fold_sizes", "program_id fold n_rows:bigint", ["feat_train", "mart_train"],
+       f"SELECT program_id, fold, n // 6 AS n_rows FROM ({SIZES}) AS s, (SELECT unnest(range(5)) AS fold) AS f")
+def _(s, d):
+    """Every program is tested on five folds of n div 6 rows: the exact part of the cross-validation."""
+    cfg = replace(CFG, model=replace(CFG.model, trees=1))  # sizes do not depend on the trees
+    return tr.time_series_cv(train_rows(s, d), _features(s, d), cfg).select("program_id", "fold", "n_rows")
+
+
+@check("param_search_summary", "program_id n_trials n_best n_in_range n_stopped_or_complete:bigint", ["feat_train", "mart_train"],
+       f"SELECT program_id, 20 AS n_trials, 1 AS n_best, 20 AS n_in_range, 20 AS n_stopped_or_complete FROM ({SIZES}) AS s")
+def _(s, d):
+    """The exact part of a search as configured: trials, one best of the complete ones, all eight parameters in range."""
+    found = tr.param_search(train_rows(s, d), _features(s, d), CFG)
+    low_high = {("feature_fraction" if k == "feature" else k): v for k, v in tr.SEARCH.items()}
+    inside = F.lit(True)
+    for name, (low, high) in low_high.items():
+        inside = inside & F.col(name).cast("double").between(low, high)
+    rungs = F.lit(False)
+    for r in tr.RUNGS:
+        rungs = rungs | (F.col("grown") == r)
+    return found.groupBy("program_id").agg(
+        F.count_distinct("trial").alias("n_trials"), F.count_if(F.col("is_best") & F.col("complete")).alias("n_best"),
+        F.count_if(inside).alias("n_in_range"), F.count_if(F.col("complete") | (rungs & (F.col("grown") < F.col("trees")))).alias("n_stopped_or_complete"))
+
+
 @check("ensemble")
 def _(s, d):
     train, test = _halves(s, d)
