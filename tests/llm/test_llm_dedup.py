@@ -212,6 +212,19 @@ def test_lines(spark, gram, window):
     assert collected(got, "doc_id", "n_lines", "n_removed", "kept_sha256") == lines_brute(data, gram + window - 1)
 
 
+def test_sets_by_a_join(spark, monkeypatch):
+    """Where the ids would not fit the bitmap, texts are joined to them: the same links."""
+    monkeypatch.setattr(minhash, "MOST_BITS", 0)
+    assert collected(minhash.near_duplicates(documents(spark), words=2), "doc_id", "n_shingles", "component_id", "kept") == near_brute(rows(), 2)
+
+
+def test_repeated_rows_with_a_map(spark):
+    docs = documents(spark).withColumn("more", F.create_map(F.lit("a"), F.col("source"), F.lit("b"), F.col("text")))
+    left = exact_dedup.exact_dedup(docs, single=True)
+    assert left.columns == docs.columns
+    assert left.select("text").count() == len({t or "" for _, t, *_ in rows()})
+
+
 def test_no_later_copy_of_a_line_stays(spark):
     many = "\n".join(f"line {k % 150_000}" for k in range(200_000))
     data = [(1, "only line", None, None), (2, "only line", None, None), (3, "a\nonly line\nb", None, None), (4, "b", None, None), (5, many, None, None), (6, "line 7\n\n  line 8\t", None, None)]

@@ -287,6 +287,12 @@ def test_evidence_decides_where_the_text_does_not(spark):
     assert not out[502].kept and not out[503].kept
 
 
+def test_domain_is_apart_from_the_host(spark):
+    hosts = {"a.example.org": "example.org", "m.a.example.org": "a.example.org", "example.org": None, "org": None, "": None}
+    pages = spark.createDataFrame([(h, f"http://{h}/x") for h in hosts], "page_id string, url string").withColumn("html", F.lit("x"))
+    assert {r.page_id: r.domain for r in language_id.from_pages(pages).collect()} == hosts
+
+
 # -- pages
 
 PAGES = {
