@@ -81,3 +81,16 @@ def test_residual_target_runs(spark, sf_dir, history):
     done = training_run(history, programs, cfg, None, False, False)
     worst = done.metrics.where("metric = 'mae_model_test'").agg(F.max("value")).first()[0]
     assert 0 <= worst <= 1
+
+
+def test_ensemble_gives_the_test_metrics(spark, sf_dir, history):
+    """use_ensemble and its member list change the test metrics, and only those."""
+    programs = demo.plan(spark, sf_dir).select("program_id").distinct()
+    found = []
+    for changes in ({}, {"use_ensemble": True, "ensemble_members": ("ridge",)}, {"use_ensemble": True, "ensemble_members": ("boosted", "forest")}):
+        cfg = replace(CFG, model=replace(CFG.model, **changes))
+        rows = training_run(history, programs, cfg, None, False, False).metrics.where("metric IN ('mae_model_test', 'mae_model_train')").collect()
+        found.append({(r.program_id, r.metric): r.value for r in rows})
+    tests = [{k: v for k, v in f.items() if k[1] == "mae_model_test"} for f in found]
+    assert tests[0] != tests[1] != tests[2] != tests[0] and all(t.keys() == tests[0].keys() for t in tests) and tests[0]
+    assert [{k: v for k, v in f.items() if k[1] == "mae_model_train"} == {k: v for k, v in found[0].items() if k[1] == "mae_model_train"} for f in found] == [True] * 3
