@@ -146,21 +146,18 @@ def following(ranges: DataFrame) -> DataFrame:
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """Each row with next_<column> of the document that follows in descending doc_id; after the last comes the first.
 
-    Rows are dealt by ranges of ids and put in order there. Only the last row of a range meets the first row of the next one
-    in a join, so the texts are shuffled once.
+    Rows are dealt by ranges of ids and put in order there. The first row of a range is copied behind the last row of the
+    range before, so the texts are shuffled once, and a copy of one row for each range besides.
     """
     rows = ranged(docs)
-    order = Window.partitionBy("range").orderBy(
-        F.col("doc_id").desc_nulls_last(), F.when(F.col("doc_id").isNull(), F.md5("text")), "text"
-    )
-    after = {f"next_{c}": F.lead(c).over(order) for c in columns}
-    placed = rows.withColumns(after | {"place": F.row_number().over(order), "more": F.lead(F.lit(True)).over(order)})
-    heads = placed.filter("place = 1").select(F.col("range").alias("_range"), *[F.col(c).alias(f"_{c}") for c in columns])
-    links = following(rows.select("range").distinct()).withColumnRenamed("range", "_from")
-    ends = placed.filter("more is null").join(links, F.col("range") == F.col("_from")).join(heads, F.col("after") == F.col("_range"))
-    ends = ends.withColumns({f"next_{c}": F.col(f"_{c}") for c in columns})
-    out = [*docs.columns, *after]
-    return placed.filter("more").select(*out).unionByName(ends.select(*out))
+    order = [F.col("doc_id").desc_nulls_last(), F.when(F.col("doc_id").isNull(), F.md5("text")), "text"]
+    heads = rows.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy(*order))).filter("place = 1")
+    heads = heads.select(F.col("range").alias("_range"), *docs.columns)
+    links = following(rows.select("range").distinct())
+    copies = heads.join(links, F.col("_range") == F.col("after")).select("range", *docs.columns, F.lit(True).alias("copy"))
+    both = rows.select("range", *docs.columns, F.lit(False).alias("copy")).unionByName(copies)
+    along = Window.partitionBy("range").orderBy("copy", *order)
+    return both.withColumns({f"next_{c}": F.lead(c).over(along) for c in columns}).filter("not copy").drop("range", "copy")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
