@@ -12,9 +12,9 @@ numbered by the size of the input, so a task's share is bounded.
 Hashes have 64 bits, two different windows of n are taken for equal with a chance of n * n / 2**65.
 
 Cases: a null text has no words. Texts below the window keep all words. Different texts of one id are documents of their
-own, in the order of a hash of the text (the mark; 0 for ids with one text, but for those that share a bit of a bitmap of
-fixed size with another). Rows equal in id and text are one document. A null id counts as the smallest. An empty table
-gives an empty result. Other columns are not read.
+own, in the order of a hash of the text (the mark; 0 for ids with one text, but for those that share a bit of a bitmap,
+sized by the ids with several texts, with one of these). Rows equal in id and text are one document. A null id counts as
+the smallest. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import WORD, parts, whole
+from slotwise.llm.common import WORD, parts, stage, whole
 from slotwise.llm.hashing import NO_ID, mixed, windows
-from slotwise.llm.minhash import bit_of, bitmap
+from slotwise.llm.minhash import BITS_EACH, MOST_BITS, bit_of, bitmap
 
 #: Words in a window.
 WINDOW = 20
@@ -137,6 +137,8 @@ def sent(batches: Iterator[pd.DataFrame], several: bytes, window: int, bits: int
     """Step 1: windows by bucket; those repeated in the task go on to step 3 by way of any bucket (no hashes)."""
     width = (64 - bits + 7) // 8
     for ids, marks, texts in chunks(batches, several):
+        once = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])))  # of rows equal in id and text, one
+        ids, marks, texts = ids[once], marks[once], [texts[k] for k in once]
         h, row, p = windows(np.arange(len(ids)), texts, window)
         i, m = ids[row], marks[row]
         again = not_first(h, i, m, p)
@@ -237,9 +239,12 @@ def _run(docs: DataFrame, window: int, of, schema: str) -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = parts(spark, chars, GROUP_CHARS)
     bits = max(8, (parts(spark, chars, 5 * BUCKET_WINDOWS) - 1).bit_length())
-    docs = docs.withColumns({"mark": F.xxhash64(whole(F.col("text"))), "bit": bit_of("doc_id")})
+    docs = docs.withColumn("mark", F.xxhash64(whole(F.col("text"))))
     texts_of = docs.groupBy(F.col("doc_id").alias("id")).agg(F.min("mark").alias("lo"), F.max("mark").alias("hi"))
-    several = bitmap(texts_of.filter("lo <> hi"))
+    shared = stage(texts_of.filter("lo <> hi").select("id"), "shared")
+    size = min(MOST_BITS, 1 << max(18, (BITS_EACH * shared.count()).bit_length()))
+    docs = docs.withColumn("bit", bit_of("doc_id", size))
+    several = bitmap(shared, size)
     marks = docs.mapInPandas(lambda b: sent(b, several, window, bits, groups), "bucket long, group long, ids binary, marks binary, places binary, hashes binary")
     repeated = marks.groupBy("bucket").applyInPandas(lambda r: counted(r, bits, groups), "group long, ids binary, marks binary, places binary, texts binary")
     texts = docs.mapInPandas(lambda b: texts_sent(b, several, groups), repeated.schema)

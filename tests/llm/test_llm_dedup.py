@@ -168,6 +168,18 @@ def test_substrings_of_versions(spark):
     assert substring_dedup.substring_digests(documents(spark)).count() == len(rows())
 
 
+@pytest.mark.parametrize("same_bit", [False, True])
+def test_substrings_in_one_task(spark, monkeypatch, same_bit):
+    """Rows equal in id and text in one task repeat nothing; where ids share the bit of one with two texts, all places carry a mark."""
+    if same_bit:
+        monkeypatch.setattr(substring_dedup, "bit_of", lambda column, bits: F.lit(5))
+        monkeypatch.setattr(minhash, "bit_of", lambda column, bits: F.lit(5))
+    extra = [(10**6, t, None, None) for t in ("first text of this id", "second text of this id")]
+    want = substring_brute(distinct_ids(rows()), 20) + [(i, 5, 0, sha(t)) for i, t, *_ in extra]
+    got = substring_dedup.substring_digests(documents(spark, distinct_ids(rows()) + extra).coalesce(1))
+    assert collected(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("swap", [False, True])
 def test_texts_of_one_id(spark, swap):
     """What repeats in one text of an id is not cut from the other, which may be shorter; what both have goes from one."""
