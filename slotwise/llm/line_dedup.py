@@ -1,15 +1,18 @@
 """Line dedup by winnowing.
 
-Lines are hashed, blank ones left out. Every run of GRAM + WINDOW - 1 lines holds the smallest gram of one window, so two
-equal runs have that fingerprint at the same place. Fingerprints that occur once are dropped; around the others, a
-match is extended both ways to whole runs, by their hash, and a run that starts earlier elsewhere (smaller id, or same
-id and earlier line) is repeated. Overlapping repeated runs make the maximal runs that are deleted.
+Lines are hashed, blank ones left out. (1) Runs: each run of GRAM + WINDOW - 1 lines has a fingerprint, the rightmost
+smallest hash of its WINDOW grams; equal runs have the same fingerprint at the same place of the run. Fingerprints found
+at one place only are dropped. A match of one of the others is extended both ways to all runs that have it for their
+fingerprint, and a run that starts earlier elsewhere (smaller id, or same id and earlier line) is repeated. Overlapping
+repeated runs make maximal runs: a line more on either side, equal to the one beside the earlier copy, would make a
+repeated run with its neighbours and hence belong to it already. (2) Rest: a line outside all repeated runs goes if it has
+an earlier copy, found by its own hash. So no later copy of a line stays, long or short, alone or not.
 
-The query guarantees single lines (GRAM, WINDOW = 1, 1): then each line is a fingerprint, a match needs no extension to
-be found, and the deleted runs are as long as lines with earlier copies follow each other.
+With `gram` and `window` given, runs of that length are all that is deleted.
 
 Only hashes are shuffled until the last join. A line in a third of the documents is merged by the map side of the
-aggregations; in the joins its rows are the skewed side that adaptive execution splits.
+aggregations; in the joins its rows are the skewed side that adaptive execution splits. Work on a document is linear in
+its lines.
 
 Lines are trimmed for comparison. Hashes have 64 bits.
 
@@ -20,14 +23,16 @@ An empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import stage, whole
 from slotwise.llm.hashing import NO_ID
 
-#: Lines of a gram, and grams of a window: repeated runs of GRAM + WINDOW - 1 lines are found.
-GRAM, WINDOW = 1, 1
+#: Lines of a gram, and grams of a window: repeated runs of GRAM + WINDOW - 1 lines are found by their fingerprints.
+GRAM, WINDOW = 1, 2
 BLANKS = " \t\x0b\x0c\r"
 
 
@@ -35,10 +40,18 @@ def lines_of(text: Column) -> Column:
     return F.split(whole(text), "\n", -1)
 
 
-def solid(lines: Column) -> Column:
-    """(place, hash) of the lines that aren't blank."""
-    trimmed = F.transform(lines, lambda line, i: F.struct(i.alias("place"), F.btrim(line, F.lit(BLANKS)).alias("line")))
-    return F.transform(F.filter(trimmed, lambda x: x["line"] != ""), lambda x: F.struct(x["place"].alias("place"), F.xxhash64(x["line"]).alias("hash")))
+def trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
+
+
+def line_hashes(lines: Column) -> Column:
+    """Hashes of the lines that aren't blank."""
+    return F.transform(F.filter(F.transform(lines, trimmed), lambda x: x != ""), lambda x: F.xxhash64(x))
+
+
+def line_places(lines: Column) -> Column:
+    """Places of the lines that aren't blank."""
+    return F.filter(F.transform(lines, lambda line, i: F.when(trimmed(line) != "", i)), lambda i: i.isNotNull())
 
 
 def places(count: Column) -> Column:
@@ -46,38 +59,37 @@ def places(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value); value is evaluated once, also where `of` uses it for each element of an array."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def winnowed(hashes: Column, gram: int, window: int) -> Column:
-    """Places of the fingerprints: the rightmost smallest gram of each window."""
-    def least(grams: Column) -> Column:
-        def place(i: Column) -> Column:
-            part = F.slice(grams, i + 1, window)
-            return i + window - F.array_position(F.reverse(part), F.array_min(part)).cast("int")
-
-        return F.array_distinct(F.transform(places(F.size(grams) - window + 1), place))
-
-    return least(F.transform(places(F.size(hashes) - gram + 1), lambda i: F.xxhash64(F.slice(hashes, i + 1, gram))))
-
-
-def repeated_runs(docs: DataFrame, gram: int, window: int) -> DataFrame:
-    """id, mark, start (among the lines that aren't blank) of the repeated runs, from id, mark (of the text) and text."""
-    run, reach = gram + window - 1, window - 1
-    hashed = docs.select("id", "mark", F.transform(solid(lines_of(F.col("text"))), lambda x: x["hash"]).alias("hashes"))
-    if run == 1:
-        runs = stage(hashed.select("id", "mark", F.posexplode("hashes").alias("start", "run")), "lines")
-        return not_first(runs)
-    hashed = hashed.filter(F.size("hashes") >= run)
-    low = lambda at: F.greatest(at - reach, F.lit(0))
-    marks = F.transform(winnowed(F.col("hashes"), gram, window), lambda at: F.struct(
-        at.alias("at"), low(at).alias("low"), F.xxhash64(F.slice("hashes", at + 1, gram)).alias("print"),
-        F.slice("hashes", low(at) + 1, at + run - low(at)).alias("around"),
-    ))
-    marks = stage(hashed.select("id", "mark", F.inline(marks)), "marks")
-    often = marks.groupBy("print").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("print")
-    around = marks.join(often, "print", "left_semi")
-    starts = places(F.size("around") - run + 1)
-    runs = around.select("id", "mark", "low", "around", F.explode(starts).alias("k"))
-    runs = stage(runs.select("id", "mark", (F.col("low") + F.col("k")).alias("start"), F.xxhash64(F.slice("around", F.col("k") + 1, run)).alias("run")).distinct(), "runs")
-    return not_first(runs)
+    """start and hash of each run, and its fingerprint: the rightmost smallest gram (print) and the gram's place (at)."""
+    def joint(i: Column, n: int) -> Column:
+        return F.xxhash64(*[F.get(hashes, i + j) for j in range(n)])
+
+    def runs(grams: Column) -> Column:
+        def run(i: Column) -> Column:
+            least = F.array_min(F.array(*[F.struct(F.get(grams, i + j).alias("print"), (-i - j).alias("back")) for j in range(window)]))
+            return F.struct(i.alias("start"), joint(i, gram + window - 1).alias("run"), least["print"].alias("print"), (-least["back"]).alias("at"))
+
+        return F.transform(places(F.size(grams) - window + 1), run)
+
+    return let(F.transform(places(F.size(hashes) - gram + 1), lambda i: joint(i, gram)), runs)
+
+
+def repeated_runs(hashed: DataFrame, gram: int, window: int) -> DataFrame:
+    """id, mark, start (among the lines that aren't blank) of the repeated runs, from id, mark (of the text) and hashes."""
+    runs = stage(hashed.select("id", "mark", F.inline(winnowed(F.col("hashes"), gram, window))), "runs")
+    place = F.xxhash64("id", "mark", "at")
+    often = runs.groupBy("print").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo <> hi").select("print")
+    return not_first(runs.join(often, "print", "left_semi").select("id", "mark", "start", "run"))
+
+
+def repeated_lines(hashed: DataFrame) -> DataFrame:
+    """id, mark, start of all lines with an earlier copy."""
+    return not_first(hashed.select("id", "mark", F.posexplode("hashes").alias("start", "run")))
 
 
 def not_first(runs: DataFrame) -> DataFrame:
@@ -86,22 +98,52 @@ def not_first(runs: DataFrame) -> DataFrame:
     return runs.join(first, "run").filter(F.struct("id", "mark", "start") != F.col("first")).select("id", "mark", "start")
 
 
-def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """doc_id, text without its repeated runs, n_lines, n_removed, and the deleted lines' places."""
-    run = gram + window - 1
+def maximal(repeated: DataFrame, run: int) -> DataFrame:
+    """id, mark, low, high: first and last line of the maximal runs that overlapping repeated runs make."""
+    by = Window.partitionBy("id", "mark").orderBy("start")
+    apart = F.when(F.col("start") - F.lag("start").over(by) >= run, 1).otherwise(0)
+    joined = repeated.withColumn("apart", apart).withColumn("k", F.sum("apart").over(by))
+    return joined.groupBy("id", "mark", "k").agg(F.min("start").alias("low"), (F.max("start") + run - 1).alias("high")).drop("k")
+
+
+def line_dedup(docs: DataFrame, gram: int | None = None, window: int | None = None) -> DataFrame:
+    """doc_id, text without its repeated runs and lines, n_lines, n_removed, the deleted lines' places, n_in_runs (how many of
+    them are in repeated runs) and runs (places of the first and last line of each maximal one).
+
+    Without gram and window, runs by GRAM and WINDOW go, and then the other lines with an earlier copy.
+    """
+    rest = gram is None and window is None
+    gram, window = gram or GRAM, window or WINDOW
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(whole(F.col("text"))).alias("mark"), "text")
-    found = repeated_runs(docs, gram, window).groupBy("id", "mark").agg(F.collect_set("start").alias("starts"))
-    df = docs.join(found, ["id", "mark"], "left").withColumn("lines", lines_of(F.col("text")))
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + run - 1))))
-    at = F.transform(solid(F.col("lines")), lambda x: x["place"])
-    gone = F.array_sort(F.filter(F.transform(covered, lambda k: F.get(F.col("at"), k)), lambda p: p.isNotNull()))
-    df = df.withColumn("at", F.when(F.col("starts").isNotNull(), at))
-    df = df.withColumn("removed", F.coalesce(gone, F.array().cast("array<int>")))
-    kept = F.transform(F.array_except(places(F.size("lines")), F.col("removed")), lambda i: F.get(F.col("lines"), i))
-    return df.select(
-        F.nullif(F.col("id"), F.lit(NO_ID)).alias("doc_id"), F.array_join(kept, "\n").alias("text"), F.size("lines").cast("long").alias("n_lines"),
-        F.size("removed").cast("long").alias("n_removed"), "removed",
-    )
+    hashed = stage(docs.select("id", "mark", line_hashes(lines_of(F.col("text"))).alias("hashes")), "lines")
+    found = maximal(repeated_runs(hashed, gram, window), gram + window - 1).select("id", "mark", F.struct("low", "high").alias("match"), F.lit(None).cast("int").alias("line"))
+    if rest:
+        found = found.unionByName(repeated_lines(hashed).select("id", "mark", F.lit(None).cast(found.schema["match"].dataType).alias("match"), F.col("start").alias("line")))
+    found = found.groupBy("id", "mark").agg(F.sort_array(F.collect_list("match")).alias("matches"), F.collect_set("line").alias("alone"))
+    matches, alone = F.col("matches"), F.col("alone")
+
+    def cut(lines: Column) -> Column:
+        def without(in_runs: Column, at: Column, removed: Column) -> Column:
+            kept = F.transform(F.array_except(places(F.size(lines)), removed), lambda i: F.get(lines, i))
+            return F.struct(
+                F.array_join(kept, "\n").alias("text"), F.size(lines).cast("long").alias("n_lines"), F.size(removed).cast("long").alias("n_removed"),
+                removed.alias("removed"), F.size(in_runs).cast("long").alias("n_in_runs"),
+                F.transform(matches, lambda m: F.array(F.get(at, m["low"]), F.get(at, m["high"]))).alias("runs"),
+            )
+
+        def removed(in_runs: Column, at: Column) -> Column:
+            return F.sort_array(F.transform(F.array_union(in_runs, alone), lambda k: F.get(at, k)))
+
+        in_runs = F.flatten(F.transform(matches, lambda m: F.sequence(m["low"], m["high"])))
+        left = let(in_runs, lambda r: let(line_places(lines), lambda at: let(removed(r, at), lambda gone: without(r, at, gone))))
+        none = F.array().cast("array<int>")
+        return F.when(matches.isNull(), F.struct(
+            whole(F.col("text")).alias("text"), F.size(lines).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"),
+            none.alias("removed"), F.lit(0).cast("long").alias("n_in_runs"), F.array().cast("array<array<int>>").alias("runs"),
+        )).otherwise(left)
+
+    df = docs.join(found, ["id", "mark"], "left")
+    return df.select(F.nullif(F.col("id"), F.lit(NO_ID)).alias("doc_id"), F.inline(F.transform(F.array(lines_of(F.col("text"))), cut)))
 
 
 def line_digests(docs: DataFrame, **options) -> DataFrame:

@@ -224,6 +224,52 @@ def test_lines(spark, gram, window):
     assert collected(got, "doc_id", "n_lines", "n_removed", "kept_sha256") == lines_brute(data, gram + window - 1)
 
 
+def runs_brute(data, run):
+    """id, places of the first and last line of the maximal runs, number of lines in them."""
+    def solid(t):
+        return [(k, line.strip(" \t\x0b\x0c\r")) for k, line in enumerate((t or "").split("\n")) if line.strip(" \t\x0b\x0c\r")]
+
+    seen, out = set(), {}
+    for i, t, *_ in sorted(data, key=lambda r: number(r[0])):
+        own, gone = solid(t), []
+        for k in range(0 if i in out else len(own) - run + 1):
+            key = tuple(x for _, x in own[k : k + run])
+            if key not in seen:
+                seen.add(key)
+            elif gone and k <= gone[-1][1]:
+                gone[-1][1] = k + run - 1
+            else:
+                gone.append([k, k + run - 1])
+        out.setdefault(i, ([[own[a][0], own[b][0]] for a, b in gone], sum(b - a + 1 for a, b in gone)))
+    return sorted(((i, *out[i]) for i, *_ in data), key=repr)
+
+
+def test_runs_by_fingerprints_then_the_rest(spark):
+    """The query winnows for runs of two lines, and deletes the other lines with an earlier copy after them."""
+    assert line_dedup.GRAM + line_dedup.WINDOW - 1 == 2
+    more = ["a\nb\n\nc\nd", "x\na\n \nb\ny\nc\nd\nz", "d\nq\na\nb\nc\nd", "c\nr\nc\nd\nd\na\nb", "r\ns\nr\ns\nr\ns"]
+    data = distinct_ids(rows()) + [(10**6 + k, t, None, None) for k, t in enumerate(more)]
+    got = line_dedup.line_dedup(documents(spark, data).coalesce(1))
+    assert collected(got, "doc_id", "runs", "n_in_runs") == runs_brute(data, 2)
+    assert collected(got.withColumn("sha", F.sha2("text", 256)), "doc_id", "n_lines", "n_removed", "sha") == lines_brute(data, 1)
+    in_runs = {i: n for i, _, n, _ in lines_brute(data, 2)}
+    assert all(in_runs[i] == n for i, _, n in runs_brute(data, 2))
+    assert any(r.n_in_runs not in (0, r.n_removed) for r in got.collect())
+
+
+def test_fingerprints(spark):
+    """Each run has the rightmost smallest gram of its window; windows share them, so there are fewer than lines."""
+    hashes = [(k * 7919) % 1009 for k in range(3000)] + [5, 5, 5]
+    df = spark.createDataFrame([(hashes,)], "hashes array<long>")
+    for gram, window in [(1, 2), (2, 3), (1, 6)]:
+        got = df.select(F.inline(line_dedup.winnowed(F.col("hashes"), gram, window))).collect()
+        assert [r.start for r in got] == list(range(len(hashes) - gram - window + 2))
+        prints = {r["at"]: r["print"] for r in got}
+        assert all(r.start <= r["at"] < r.start + window for r in got)
+        assert all(r["print"] <= prints[k] if k < r["at"] else r["print"] < prints[k] for r in got for k in range(r.start, r.start + window) if k in prints and k != r["at"])
+        assert len(prints) < 0.75 * len(hashes)
+
+
 def test_sets_by_a_join(spark, monkeypatch):
     """Where the ids would not fit the bitmap, texts are joined to them: the same links."""
     monkeypatch.setattr(minhash, "MOST_BITS", 0)
