@@ -147,5 +147,6 @@ def line_dedup(docs: DataFrame, gram: int | None = None, window: int | None = No
 
 
 def line_digests(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_lines, n_removed, kept_sha256."""
-    return line_dedup(docs, **options).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    """doc_id, n_lines, n_removed, kept_sha256, n_in_runs, and the maximal repeated runs as low:high, comma-joined."""
+    runs = F.array_join(F.transform("runs", lambda r: F.concat_ws(":", r.cast("array<string>"))), ",")
+    return line_dedup(docs, **options).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "n_in_runs", runs.alias("runs"))

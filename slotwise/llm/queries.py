@@ -110,11 +110,26 @@ ORACLES = {
         solid as (
             select id, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as line from flat
             where trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+        runs as (
+            select id, i, line, row_number() over next as k, lead(line) over next as line2, lead(i) over next as i2
+            from solid window next as (partition by id order by i)),
+        run_firsts as (
+            select id, i, i2, k, min(id * 1000000 + i) over (partition by line, line2) as first from runs where line2 is not null),
+        repeated as (
+            select id, i, i2, k - row_number() over (partition by id order by k) as part
+            from run_firsts where id * 1000000 + i <> first),
+        maximal as (select id, min(i) - 1 as low, max(i2) - 1 as high, count(*) + 1 as n from repeated group by id, part),
+        matches as (
+            select id, sum(n)::bigint as n_in_runs, string_agg(low || ':' || high, ',' order by low) as runs from maximal group by id),
         firsts as (select id, i, min(id * 1000000 + i) over (partition by line) as first from solid),
-        gone as (select id, i from firsts where id * 1000000 + i <> first)
+        gone as (
+            select id, i from firsts where id * 1000000 + i <> first
+            union select id, i from repeated
+            union select id, i2 from repeated)
         select f.id as doc_id, count(*) as n_lines, count(g.id) as n_removed,
-            sha256(coalesce(string_agg(f.line, chr(10) order by f.i) filter (g.id is null), '')) as kept_sha256
-        from flat f left join gone g on f.id = g.id and f.i = g.i group by f.id""",
+            sha256(coalesce(string_agg(f.line, chr(10) order by f.i) filter (g.id is null), '')) as kept_sha256,
+            coalesce(any_value(m.n_in_runs), 0)::bigint as n_in_runs, coalesce(any_value(m.runs), '') as runs
+        from flat f left join gone g on f.id = g.id and f.i = g.i left join matches m on f.id = m.id group by f.id""",
     "op10_fingerprints": r"""
         with docs as (select doc_id, coalesce(text, '') as text from documents),
         follow as (

@@ -4,13 +4,16 @@ import hashlib
 import re
 from collections import defaultdict
 
+import duckdb
 import pytest
+from compare import compare
 from corpus_cases import collected, documents, rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from slotwise.llm import exact_dedup, line_dedup, minhash, substring_dedup
 from slotwise.llm.components import components
+from slotwise.llm.queries import ORACLES, QUERIES
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -257,6 +260,19 @@ def test_runs_by_fingerprints_then_the_rest(spark):
     assert any(r.n_in_runs not in (0, r.n_removed) for r in got.collect())
 
 
+def test_lines_against_sql_with_runs(spark, tmp_path):
+    """The query and its SQL tell the lines of repeated runs from those that repeat alone, on runs with blanks, overlaps and lines of one text."""
+    more = ["a\nb\n\nc\nd", "x\na\n \nb\ny\nc\nd\nz", "d\nq\na\nb\nc\nd", "c\nr\nc\nd\nd\na\nb", "r\ns\nr\ns\nr\ns"]
+    data = list({r[0]: r for r in rows() if r[0] is not None}.values()) + [(10**6 + k, t, None, None) for k, t in enumerate(more)]
+    documents(spark, data).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    ok, message = compare(QUERIES["op4_line_dedup"], ORACLES["op4_line_dedup"], spark, str(tmp_path), con)
+    assert ok, message
+    got = {r.doc_id: (r.n_removed, r.n_in_runs, r.runs) for r in QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect()}
+    assert [got[10**6 + k] for k in range(5)] == [(0, 0, ""), (4, 4, "1:3,5:6"), (5, 4, "2:5"), (6, 4, "2:3,5:6"), (5, 4, "2:5")]
+
+
 def test_fingerprints(spark):
     """Each run has the rightmost smallest gram of its window; windows share them, so there are fewer than lines."""
     hashes = [(k * 7919) % 1009 for k in range(3000)] + [5, 5, 5]
